@@ -2,12 +2,17 @@
 
 from __future__ import annotations
 
-from foliate.llm import exact_dedup, tokencount
+from foliate.llm import exact_dedup, linededup, mixing, neardup, packing, tokencount
 
 QUERIES = {
+    "op2_packing": packing.op2_packing,
+    "op4_mixing": mixing.op4_mixing,
     "op5_token_counts": tokencount.op5_token_counts,
     "op8_exact_dedup": exact_dedup.op8_exact_dedup,
+    "op9_near_dedup": neardup.op9_near_dedup,
+    "op10_line_dedup": linededup.op10_line_dedup,
 }
 ORACLES = {
     "op8_exact_dedup": exact_dedup.ORACLE,
+    "op10_line_dedup": linededup.ORACLE,
 }
