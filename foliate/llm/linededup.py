@@ -53,7 +53,8 @@ def dedup_lines(docs: DataFrame, text: str = "text", key: str = "doc_id") -> Dat
     """
     base = docs.withColumn("_print", F.xxhash64(text))
     made = line_chunks(base.select(F.col(key).alias("_key"), "_print", F.col(text).alias("_text")), "_text")
-    chunks = made.select("_key", "_print", F.posexplode("_chunks").alias("_pos", "_chunk")).where((F.col("_chunk.lines") >= MIN_LINES) & F.col("_chunk.text").rlike(r"[^\s]"))
+    # an outer generator, so that no filter on the array's size is pushed below it and evaluates it again
+    chunks = made.select("_key", "_print", F.posexplode_outer("_chunks").alias("_pos", "_chunk")).where((F.col("_chunk.lines") >= MIN_LINES) & F.col("_chunk.text").rlike(r"[^\s]"))
     place = F.coalesce(F.col("_key").cast("decimal(28,0)"), F.lit("9223372036854775808").cast("decimal(28,0)")) * F.lit(_PLACES).cast("decimal(10,0)") + F.col("_pos")
     chunks = chunks.select("_key", "_print", "_pos", place.cast("decimal(38,0)").alias("_place"), F.col("_chunk.lines").alias("_n"), F.md5(F.col("_chunk.text")).alias("_hash"), F.col("_chunk.text").alias("_bytes"))
     repeated = chunks.groupBy("_hash", "_bytes").agg(F.count(F.lit(1)).alias("_times"), F.min("_place").alias("_first")).where("_times > 1").select(F.col("_hash").alias("_again"), "_first")

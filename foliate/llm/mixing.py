@@ -93,7 +93,7 @@ def slots(mixed: DataFrame, block_words: int = BLOCK_WORDS, shard_slots: int = S
     total = int(share.agg(F.coalesce(F.round(F.sum("wanted")), F.lit(0))).first()[0])  # one number
     per_shard = max(shard_slots, int(total**0.5))
     shards = -(-total // per_shard)
-    drawn = share.withColumn("shard", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(max(shards, 1) - 1).cast("long"))))
+    drawn = share.withColumn("shard", F.explode_outer(F.sequence(F.lit(0).cast("long"), F.lit(max(shards, 1) - 1).cast("long"))))
     drawn = drawn.withColumn("n", F.least(F.lit(per_shard), F.lit(total) - F.col("shard") * per_shard))
     drawn = drawn.withColumn("u", F.pmod(F.xxhash64(F.lit(seed), "shard"), F.lit(1 << 30)) / F.lit(float(1 << 30)))
     high = F.floor(F.col("n") * (F.col("upto") / F.col("all")) + F.col("u"))
@@ -101,7 +101,7 @@ def slots(mixed: DataFrame, block_words: int = BLOCK_WORDS, shard_slots: int = S
     drawn = drawn.select("rank", "blocks", "shard", (high - low).alias("count"))
     first = F.coalesce(F.sum("count").over(W.partitionBy("rank").orderBy("shard").rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
     drawn = drawn.withColumn("first", first).where("count > 0")
-    slot = drawn.select("rank", "blocks", "shard", (F.col("first") + F.explode(F.sequence(F.lit(0).cast("long"), F.col("count") - 1))).alias("nth"))
+    slot = drawn.select("rank", "blocks", "shard", F.explode_outer(F.sequence("first", F.col("first") + F.col("count") - 1)).alias("nth"))
     slot = slot.withColumn("pass", F.floor(F.col("nth") / F.col("blocks"))).where(F.col("pass") < MOST_PASSES)
     return slot.select("rank", "pass", "shard", permuted(F.col("nth") % F.col("blocks"), F.col("blocks"), F.lit(seed), F.col("rank"), F.col("pass")).alias("block"))
 
@@ -115,7 +115,7 @@ def _read_blocks(docs: DataFrame, text: str, key: str, source: str, options: dic
     reads = slots(mixed, block_words, shard_slots, seed).groupBy("rank", "block", "pass").agg(F.count(F.lit(1)).alias("times"))
     parts = streams.join(mixed.select(F.col("source").alias("s"), "rank"), F.col("source").eqNullSafe(F.col("s"))).where("size > 0")
     last = F.floor((F.col("begin") + F.col("size") - 1) / block_words)
-    parts = parts.withColumn("block", F.explode(F.sequence(F.floor(F.col("begin") / block_words), last)))
+    parts = parts.withColumn("block", F.explode_outer(F.sequence(F.floor(F.col("begin") / block_words), last)))
     start = F.greatest(F.col("block") * block_words - F.col("begin"), F.lit(0))
     end = F.least((F.col("block") + 1) * block_words - F.col("begin"), F.col("size"))
     parts = parts.select("doc_id", "print", "rank", "begin", "size", "block", start.alias("start"), (end - start).alias("words"))
