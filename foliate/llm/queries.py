@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
-from foliate.llm import exact_dedup, linededup, mixing, neardup, packing, tokencount
+from foliate.llm import exact_dedup, langid, linededup, media_gif, mixing, neardup, packing, quality, tokencount
 
 QUERIES = {
+    "op1_media_gif": media_gif.op1_media_gif,
     "op2_packing": packing.op2_packing,
+    "op3_language_id": langid.op3_language_id,
     "op4_mixing": mixing.op4_mixing,
     "op5_token_counts": tokencount.op5_token_counts,
+    "op6_quality": quality.op6_quality,
     "op8_exact_dedup": exact_dedup.op8_exact_dedup,
     "op9_near_dedup": neardup.op9_near_dedup,
     "op10_line_dedup": linededup.op10_line_dedup,
