@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from foliate.llm import exact_dedup, langid, linededup, media_gif, mixing, neardup, packing, quality, tokencount
+from foliate.llm import exact_dedup, htmltext, langid, linededup, media_gif, mixing, neardup, packing, quality, tokencount
 
 QUERIES = {
     "op1_media_gif": media_gif.op1_media_gif,
@@ -11,6 +11,7 @@ QUERIES = {
     "op4_mixing": mixing.op4_mixing,
     "op5_token_counts": tokencount.op5_token_counts,
     "op6_quality": quality.op6_quality,
+    "op7_html_text": htmltext.op7_html_text,
     "op8_exact_dedup": exact_dedup.op8_exact_dedup,
     "op9_near_dedup": neardup.op9_near_dedup,
     "op10_line_dedup": linededup.op10_line_dedup,
