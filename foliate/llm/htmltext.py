@@ -133,16 +133,14 @@ def _streams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([*part.columns[:2], *columns], ["page", "host", "tokens", "zones", "long"])
 
 
-def _texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Arrow function: (page, id, url, html) -> page, id, url, the text where structure settles all, else zones and blocks."""
+def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Arrow function: (page, id, url, html) -> page, id, url and the blocks with their zones."""
+    kind = pa.list_(pa.struct([("zone", pa.int32()), ("text", pa.string())]))
     for batch in batches:
         for i in range(0, batch.num_rows, 200):
             part = batch.slice(i, 200)
-            got = [blocks(x or "") for x in part.column(3).to_pylist()]
-            settled = ["\n".join(t for z, t in page if z == MAIN) if all(z != OPEN for z, _ in page) else None for page in got]
-            left = [[{"zone": z, "text": t} for z, t in page] if done is None else [] for page, done in zip(got, settled, strict=True)]
-            kind = pa.list_(pa.struct([("zone", pa.int32()), ("text", pa.string())]))
-            yield pa.RecordBatch.from_arrays([*part.columns[:3], pa.array(settled, pa.string()), pa.array(left, kind)], ["page", "id", "url", "text", "blocks"])
+            got = [[{"zone": z, "text": t} for z, t in blocks(x or "")] for x in part.column(3).to_pylist()]
+            yield pa.RecordBatch.from_arrays([*part.columns[:3], pa.array(got, kind)], ["page", "id", "url", "blocks"])
 
 
 def suffix_ranks(tokens: np.ndarray, run: int) -> np.ndarray:
@@ -219,21 +217,19 @@ def main_text(pages: DataFrame, key: str = "page_id", url: str = "url", content:
 
     Blocks in article or main stay, blocks in menus, headers, footers, sidebars,
     notices, adverts, forms and comments go, and any other block goes if it lies
-    in a run of tokens that repeats on another page of its host.  Only pages with
-    such other blocks are joined with the runs.  A null or empty page has the
-    empty text; null or repeated keys and null URLs are pages like others.
-    ``pages`` must give its rows in the same order when read again, as a stored
-    table does.
+    in a run of tokens that repeats on another page of its host.  A null or empty
+    page has the empty text; null or repeated keys and null URLs are pages like
+    others.  ``pages`` must give its rows in the same order when read again, as a
+    stored table does.
     """
     kind = pages.schema[key].dataType.simpleString()
     base = pages.select(F.monotonically_increasing_id().alias("page"), pages[key].alias("id"), pages[url].alias("url"), pages[content].cast("string").alias("html"))
-    texts = base.mapInArrow(_texts, f"page long, id {kind}, url string, text string, blocks array<struct<zone:int,text:string>>")
+    found = base.mapInArrow(_blocks, f"page long, id {kind}, url string, blocks array<struct<zone:int,text:string>>")
     covered = repeated_blocks(base.select("page", host_of(F.col("url")).alias("host"), "html"), shard_pages).select(F.col("page").alias("p"), "covered")
-    open_pages = texts.where("text is null").join(covered, F.col("page") == F.col("p"), "left")
     known = F.coalesce("covered", F.array().cast("array<int>"))
     stays = F.filter("blocks", lambda b, i: (b["zone"] == MAIN) | ((b["zone"] == OPEN) & ~F.array_contains(known, i)))
-    decided = open_pages.select("id", "url", F.array_join(F.transform(stays, lambda b: b["text"]), "\n").alias("text"))
-    out = texts.where("text is not null").select("id", "url", "text").unionByName(decided)
+    joined = found.join(covered, F.col("page") == F.col("p"), "left")
+    out = joined.select("id", "url", F.array_join(F.transform(stays, lambda b: b["text"]), "\n").alias("text"))
     return out.select(F.col("id").alias(key), F.col("url").alias(url), "text", F.char_length("text").cast("long").alias("n_chars"))
 
 
