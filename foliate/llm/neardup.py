@@ -5,15 +5,16 @@ into CHUNKS chunks; two signatures that differ in at most
 CHUNKS * (ERRORS + 1) - 1 positions agree, by pigeonhole, in some chunk up to
 ERRORS positions.  Each chunk therefore emits one key for every way of leaving
 ERRORS positions out, and every such pair meets under a key.  A pair with the
-Jaccard similarity 0.8 escapes all keys with a probability of about 4e-8.
-
-Meeting pairs are not enumerated within a key.  First each row is held against
-its key's smallest row only; what passes the exact test on full shingle sets is
-linked, and linked rows form components.  Then only rows of different
-components under a key are held against each other, those of its largest
-component on one side alone.  So a group of any size costs a multiple of its rows,
-and no link between two components is lost.  Documents with equal shingle sets
-are one class from the start.
+Jaccard similarity 0.8 escapes all keys with a probability of about 10^-6.
+
+Pairs that meet are not enumerated.  A key's smallest row is its head.  First every
+row is held against the heads of its keys (the exact test on full shingle
+sets), and what passes is linked into components.  All rows that meet under a key
+share its head, so then each head's rows that are not in their largest component
+are held against all of the head's rows, in blocks of bounded size inside tasks
+that emit only links between components.  So a group of copies of any size costs a
+multiple of its rows, and no link between two components is lost.  Documents with
+equal shingle sets are one class from the start.
 """
 
 from __future__ import annotations
@@ -31,12 +32,13 @@ from foliate.plans.lineage import drop, durable
 
 SHINGLE_WORDS = 5
 SIMILARITY = 80  # per cent
-CHUNKS, WIDTH, ERRORS = 16, 6, 1
+CHUNKS, WIDTH, ERRORS = 13, 6, 1
 #: Positions of the 128-bit sketch (one bit a minhash) in which a pair may differ.
 #: At similarity 0.8 they number 12.8 on average; more than 36 occur once in 10^9.
 SKETCH_BITS, SKETCH_DISTANCE = 128, 36
 BATCH_BYTES = 4 << 20
 GROUP_ROWS = 256
+BLOCK_SHINGLES = 1 << 20
 
 _POSITIONS = CHUNKS * WIDTH
 _FACTORS = mix(np.arange(1, _POSITIONS + SKETCH_BITS + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)) | np.uint64(1)
@@ -88,34 +90,19 @@ def _chunk_keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                     if p not in out:
                         value = mix(value * np.uint64(0x9FB21C651E98DF25) + sig[:, :, p])
                 keys[:, :, v] = value
-            times = CHUNKS * len(left_out)
-            take = pa.array(np.repeat(np.arange(len(sig)), times))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(keys.reshape(-1).view(np.int64)), *(part.column(c).take(take) for c in (0, 2, 3, 4))],
-                ["key", "rep", "n", "s1", "s2"],
-            )
-
-
-def _alike(a: str, b: str):
-    """Sizes that allow the similarity, and sketches within the distance."""
-    one, two = F.col(f"{a}.n"), F.col(f"{b}.n")
-    apart = F.bit_count(F.col(f"{a}.s1").bitwiseXOR(F.col(f"{b}.s1"))) + F.bit_count(F.col(f"{a}.s2").bitwiseXOR(F.col(f"{b}.s2")))
-    return (F.least(one, two) * 100 >= F.greatest(one, two) * SIMILARITY) & (apart <= SKETCH_DISTANCE)
+            take = pa.array(np.repeat(np.arange(len(sig)), CHUNKS * len(left_out)))
+            yield pa.RecordBatch.from_arrays([pa.array(keys.reshape(-1).view(np.int64)), part.column(0).take(take)], ["key", "rep"])
 
 
-def _verified(pairs: DataFrame, docs: DataFrame, words: int) -> DataFrame:
-    """Of ``pairs`` (a, b) those with 100 * intersection >= SIMILARITY * union on full sets.
+def _alike():
+    """Sizes that allow the similarity, and sketches within the distance, of a row and its head."""
+    one, two = F.col("head_n"), F.col("n")
+    apart = F.bit_count(F.col("head_s1").bitwiseXOR(F.col("s1"))) + F.bit_count(F.col("head_s2").bitwiseXOR(F.col("s2")))
+    return (F.least(one, two) * 100 >= F.greatest(one, two) * SIMILARITY) & (apart <= SKETCH_DISTANCE)
 
-    The side a is the one that many pairs share; its pairs are dealt over groups
-    of about GROUP_ROWS, each of which gets a's set once.
-    """
-    pairs = pairs.withColumn("salt", F.pmod(F.xxhash64("b"), F.lit(1 << 30)))
-    sizes = pairs.groupBy("a").agg(F.ceil(F.count(F.lit(1)) / GROUP_ROWS).cast("int").alias("parts"))
-    pairs = pairs.join(sizes, "a").withColumn("salt", F.pmod("salt", F.col("parts")).cast("int"))
-    owners = pairs.select(F.col("a").alias("id"), "a", "salt", F.lit(True).alias("owner")).distinct()
-    members = pairs.select(F.col("b").alias("id"), "a", "salt", F.lit(False).alias("owner"))
-    asked = owners.unionByName(members)
-    homes = asked.groupBy("id").agg(F.count(F.lit(1)).alias("asked"))
+
+def _with_sets(asked: DataFrame, docs: DataFrame, words: int) -> DataFrame:
+    """``asked`` (id and more) with grams, the id's sorted shingle hashes as bytes."""
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -124,25 +111,84 @@ def _verified(pairs: DataFrame, docs: DataFrame, words: int) -> DataFrame:
                 got = shingle_sets(raw[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i], words)
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(i, j - i), pa.array([s.tobytes() for s in got], pa.binary())], ["id", "grams"])
 
-    texts = docs.select(F.col("doc_id").alias("id"), "text").join(homes.select("id"), "id", "left_semi").dropDuplicates(["id"])
-    dealt = texts.mapInArrow(sets, "id long, grams binary").join(asked, "id")
+    needed = asked.select("id").distinct()
+    texts = docs.select(F.col("doc_id").alias("id"), "text").join(needed, "id", "left_semi").dropDuplicates(["id"])
+    return texts.mapInArrow(sets, "id long, grams binary").join(asked, "id")
+
+
+def _against_heads(pairs: DataFrame, docs: DataFrame, words: int) -> DataFrame:
+    """Of ``pairs`` (head a, row b) those with 100 * intersection >= SIMILARITY * union on full sets.
+
+    A head's rows are dealt into groups of about GROUP_ROWS, each of which gets
+    the head's set once.
+    """
+    sizes = pairs.groupBy("a").agg(F.ceil(F.count(F.lit(1)) / GROUP_ROWS).alias("parts"))
+    pairs = pairs.join(sizes, "a").withColumn("salt", F.pmod(F.xxhash64("b"), "parts").cast("int"))
+    owners = pairs.select(F.col("a").alias("id"), "a", "salt", F.lit(True).alias("owner")).distinct()
+    asked = owners.unionByName(pairs.select(F.col("b").alias("id"), "a", "salt", F.lit(False).alias("owner")))
 
     def held(group: pa.Table) -> pa.Table:
-        owner = group.column("owner").to_pylist()
-        grams = group.column("grams").combine_chunks()
-        ids = group.column("id").to_pylist()
+        owner, ids = group.column("owner").to_pylist(), group.column("id").to_pylist()
+        grams = [np.frombuffer(g.as_buffer(), np.uint64) for g in group.column("grams")]
         at = owner.index(True)
-        own = np.frombuffer(grams[at].as_buffer(), np.uint64)
+        own = grams[at]
         links = []
-        for k, mine in enumerate(owner):
-            if not mine:
-                other = np.frombuffer(grams[k].as_buffer(), np.uint64)
+        for k, other in enumerate(grams):
+            if k != at:
                 both = np.intersect1d(own, other, assume_unique=True).size
                 if 100 * both >= SIMILARITY * (len(own) + len(other) - both):
                     links.append(ids[k])
         return pa.table({"a": pa.array([ids[at]] * len(links), pa.int64()), "b": pa.array(links, pa.int64())})
 
-    return dealt.groupBy("a", "salt").applyInArrow(held, "a long, b long")
+    return _with_sets(asked, docs, words).groupBy("a", "salt").applyInArrow(held, "a long, b long")
+
+
+def _across(group: pa.Table) -> pa.Table:
+    """Links between components in one block: its queries against its targets; at most one for each component joined."""
+    ids, parts = group.column("id").to_numpy(), group.column("part").to_pylist()
+    asks, takes = group.column("query").to_pylist(), group.column("target").to_pylist()
+    grams = [np.frombuffer(g.as_buffer(), np.uint64) for g in group.column("grams")]
+    sizes = np.array([len(g) for g in grams], np.int64)
+    vocabulary, at = np.unique(np.concatenate(grams), return_inverse=True)
+    starts = np.cumsum(sizes) - sizes
+    parent = {p: p for p in parts}
+
+    def root(p: int) -> int:
+        while parent[p] != p:
+            parent[p] = parent[parent[p]]
+            p = parent[p]
+        return p
+
+    links, mine = [], np.zeros(len(vocabulary), np.int64)
+    targets = np.array(takes, bool)
+    for q in np.flatnonzero(asks).tolist():
+        mine[at[starts[q] : starts[q] + sizes[q]]] = 1
+        both = np.add.reduceat(mine[at], starts)
+        mine[at[starts[q] : starts[q] + sizes[q]]] = 0
+        for k in np.flatnonzero(targets & (100 * both >= SIMILARITY * (sizes + sizes[q] - both))).tolist():
+            one, two = root(parts[q]), root(parts[k])
+            if one != two:
+                parent[max(one, two)] = min(one, two)
+                links.append((int(ids[q]), int(ids[k])))
+    return pa.table({"a": pa.array([x[0] for x in links], pa.int64()), "b": pa.array([x[1] for x in links], pa.int64())})
+
+
+def _between_components(members: DataFrame, docs: DataFrame, words: int) -> DataFrame:
+    """Links between rows of one head that are in different components, from ``members`` (head, rep, n, part).
+
+    The rows outside the head's largest component are queries, all its rows are targets; both are
+    dealt into blocks of about BLOCK_SHINGLES, and every block of queries meets every block of targets.
+    """
+    by_part = members.groupBy("head", "part").agg(F.count(F.lit(1)).alias("rows"), F.sum("n").alias("grams"))
+    heads = by_part.groupBy("head").agg(F.max_by("part", F.struct("rows", "part")).alias("main"), F.sum("rows").alias("rows"), F.sum("grams").alias("grams"), F.max(F.struct("rows", "part", "grams")).alias("most"), F.count(F.lit(1)).alias("parts"))
+    heads = heads.where("parts > 1 and rows > 2").select("head", "main", F.ceil(F.col("grams") / BLOCK_SHINGLES).alias("targets"), F.ceil((F.col("grams") - F.col("most.grams")) / BLOCK_SHINGLES).alias("queries"))
+    mixed = members.join(heads, "head").withColumn("asks", F.col("part") != F.col("main"))
+    own = F.xxhash64("rep")
+    every = lambda n: F.sequence(F.lit(0).cast("long"), F.col(n) - 1)
+    asking = mixed.where("asks").select("head", "rep", "part", F.explode_outer(every("targets")).alias("i"), F.pmod(own, "queries").alias("j"), F.lit(True).alias("query"), F.lit(False).alias("target"))
+    taking = mixed.select("head", "rep", "part", F.pmod(own, "targets").alias("i"), F.explode_outer(every("queries")).alias("j"), F.lit(False).alias("query"), F.lit(True).alias("target"))
+    cells = asking.unionByName(taking).groupBy("head", "i", "j", F.col("rep").alias("id"), "part").agg(F.max("query").alias("query"), F.max("target").alias("target"))
+    return _with_sets(cells, docs, words).groupBy("head", "i", "j").applyInArrow(_across, "a long, b long")
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -188,26 +234,21 @@ def near_duplicates(docs: DataFrame, text: str = "text", key: str = "doc_id", wo
     linked = prints.where("doc_id is not null and n > 0")
     classes = linked.groupBy("h1", "h2", "n").agg(F.min("doc_id").alias("rep"), F.first("sig").alias("sig"), F.first("s1").alias("s1"), F.first("s2").alias("s2"))
     classes = durable(classes, "classes")
-    keys = classes.select("rep", "sig", "n", "s1", "s2").mapInArrow(_chunk_keys, "key long, rep long, n long, s1 long, s2 long")
-    shared = keys.groupBy("key").agg(F.min(F.struct("rep", "n", "s1", "s2")).alias("head"), F.count(F.lit(1)).alias("rows")).where("rows > 1")
-    met = durable(keys.join(shared.select("key", "head"), "key"), "met")
-
-    first = met.where(F.col("rep") != F.col("head.rep")).select(F.col("head"), F.struct("rep", "n", "s1", "s2").alias("row")).where(_alike("head", "row"))
-    links = durable(_verified(first.select(F.col("head.rep").alias("a"), F.col("row.rep").alias("b")).distinct(), docs, words), "links")
+    keys = classes.select("rep", "sig").mapInArrow(_chunk_keys, "key long, rep long")
+    shared = keys.groupBy("key").agg(F.min("rep").alias("head"), F.count(F.lit(1)).alias("rows")).where("rows > 1")
+    met = keys.join(shared, "key").where("rep <> head").groupBy("head", "rep").agg(F.max("rows").alias("rows"))
+    facts = classes.select("rep", "n", "s1", "s2")
+    met = met.join(facts, "rep").join(facts.select(F.col("rep").alias("head"), F.col("n").alias("head_n"), F.col("s1").alias("head_s1"), F.col("s2").alias("head_s2")), "head")
+    # a row that is unlike its head may still be like another row under the key, if there is one
+    met = durable(met.select("head", "head_n", "rep", "n", "rows", _alike().alias("alike")).where("alike or rows > 2"), "met")
+
+    links = durable(_against_heads(met.where("alike").select(F.col("head").alias("a"), F.col("rep").alias("b")), docs, words), "links")
     parts = components(links)
-
-    placed = met.drop("head").join(parts, met["rep"] == parts["node"], "left").withColumn("part", F.coalesce("component", "rep")).drop("node", "component")
-    placed = durable(placed, "placed")
-    by_part = placed.groupBy("key", "part").agg(F.count(F.lit(1)).alias("rows"))
-    mixed = by_part.groupBy("key").agg(F.max_by("part", F.struct("rows", "part")).alias("main"), F.count(F.lit(1)).alias("parts")).where("parts > 1").select("key", "main")
-    open_rows = durable(placed.join(mixed, "key"), "open")
-    rest = open_rows.where("part <> main").alias("x")
-    meet = (F.col("x.key") == F.col("y.key")) & (F.col("x.part") != F.col("y.part")) & ((F.col("y.part") == F.col("y.main")) | (F.col("x.rep") < F.col("y.rep"))) & _alike("x", "y")
-    second = rest.join(open_rows.alias("y"), meet).select(F.least("x.rep", "y.rep").alias("a"), F.greatest("x.rep", "y.rep").alias("b")).distinct()
-    second = durable(second, "second")
-    more = durable(_verified(second, docs, words), "links") if not second.isEmpty() else second
+    members = met.select("head", "rep", "n").unionByName(met.select("head", F.col("head").alias("rep"), F.col("head_n").alias("n")).distinct())
+    members = members.join(parts, F.col("rep") == F.col("node"), "left").select("head", "rep", "n", F.coalesce("component", "rep").alias("part"))
+    more = durable(_between_components(members, docs, words), "links")
     if not more.isEmpty():
-        parts = components(links.select("a", "b").unionByName(more.select("a", "b")))
+        parts = components(links.unionByName(more))
 
     reps = classes.select("h1", "h2", F.col("n").alias("size"), "rep").join(parts, F.col("rep") == F.col("node"), "left").select(F.col("h1").alias("c1"), F.col("h2").alias("c2"), "size", F.coalesce("component", "rep").alias("home"))
     out = prints.select("doc_id", "n", "h1", "h2").join(reps, (F.col("h1") == F.col("c1")) & (F.col("h2") == F.col("c2")) & (F.col("n") == F.col("size")), "left")
