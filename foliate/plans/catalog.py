@@ -6,6 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-ORACLES: dict[str, str] = {}
+from foliate.plans import line_queries
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {**line_queries.QUERIES}
+ORACLES: dict[str, str] = {**line_queries.ORACLES}
 FLAGSHIP = "line_classification"
