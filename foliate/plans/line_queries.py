@@ -32,7 +32,7 @@ def content_lines(spark, sf_dir):
 def blocks(spark, sf_dir):
     """Runs of lines of one block type."""
     out = L.blocks(tables.classified(spark, sf_dir))
-    return out.select("doc_id", "block_id", "block_type", "start_line", "end_line", "page_start", "page_end", F.round("confidence", 4).alias("confidence"), F.md5("raw_text").alias("raw_md5"), F.concat_ws("+", "issues").alias("issues"))
+    return out.select("doc_id", "block_id", "block_type", "start_line", "end_line", "page_start", "page_end", F.round("confidence", 6).alias("confidence"), F.md5("raw_text").alias("raw_md5"), F.concat_ws("+", "issues").alias("issues"))
 
 
 def classification_gate(spark, sf_dir):
@@ -77,7 +77,7 @@ ORACLES = {
     "content_lines": f"WITH {O.CONTENT} SELECT doc_id, line_number, parent_line_number, source_kind, cell_index, segment_index, line_type, detected_label, raw, page_number FROM content",
     "blocks": f"""WITH {O.BLOCKS} SELECT doc_id, printf('blk_%04d', CAST(b AS INT)) AS block_id, any_value(block_type) AS block_type, min(line_number) AS start_line, max(line_number) AS end_line,
       arg_min(page_number, line_number) FILTER (page_number IS NOT NULL) AS page_start, arg_max(page_number, line_number) FILTER (page_number IS NOT NULL) AS page_end,
-      round(avg(confidence), 4) AS confidence, md5(string_agg(raw, chr(10) ORDER BY line_number)) AS raw_md5, coalesce(array_to_string(list_sort(list_distinct(list(issue) FILTER (issue IS NOT NULL))), '+'), '') AS issues
+      round(avg(confidence), 6) AS confidence, md5(string_agg(raw, chr(10) ORDER BY line_number)) AS raw_md5, coalesce(array_to_string(list_sort(list_distinct(list(issue) FILTER (issue IS NOT NULL))), '+'), '') AS issues
       FROM numbered_blocks GROUP BY doc_id, b""",
     "classification_gate": f"""WITH {O.CONTENT}, a AS (
       SELECT doc_id, count(*) AS total_lines, {_COUNT.format("= 'question_anchor'", 'question_anchors')}, {_COUNT.format("= 'option_candidate'", 'options')},
