@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from foliate.llm.textarrays import spans, utf8
+from foliate.llm.textarrays import small_batches, spans, utf8
 from foliate.llm.tokencount import BATCH_BYTES, PIECE_CHARS, encoder, pieces
 
 CAPACITY = 2048
@@ -137,6 +137,7 @@ def pack(docs: DataFrame, text: str = "text", key: str = "doc_id", name: str = "
     rows of their own; other columns are not read.  ``docs`` must give its rows in
     the same order when read again, as a stored table does.
     """
+    small_batches(docs.sparkSession)
     kind = docs.schema[key].dataType.simpleString()
     rows = docs.count()  # answered by the file footers where docs is a stored table
     groups = max(1, -(-rows * RESTS // group_pieces))

@@ -14,9 +14,10 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StructField, StructType
 
 from foliate.llm.langid import remainder
-from foliate.llm.textarrays import spans, utf8, word_hashes
+from foliate.llm.textarrays import small_batches, spans, utf8, word_hashes
 
 PASSAGE = 1024
 PAIRS, HIDDEN, GATE = 64, 16, 8
@@ -110,6 +111,7 @@ def fit(docs: DataFrame, labels: DataFrame, text: str = "text", key: str = "doc_
 
     Null labels don't count.  Without labels of both kinds every score is their share.
     """
+    small_batches(docs.sparkSession)
     marked = labels.select(labels[key].alias("k"), labels[label].cast("double").alias("y")).where("k is not null and y in (0, 1)")
     marked = marked.groupBy("k").agg(F.max("y").alias("y")).orderBy(F.xxhash64("k"), "k").limit(MAX_TRAIN)
 
@@ -138,22 +140,24 @@ def fit(docs: DataFrame, labels: DataFrame, text: str = "text", key: str = "doc_
 
 
 def score(docs: DataFrame, model: Attention, text: str = "text", key: str = "doc_id", keep: bool = False) -> DataFrame:
-    """(key, score) of every whole text; with ``keep`` all columns of ``docs`` and _score.  Null and empty texts get a score too."""
+    """(key, score) of every whole text; with ``keep`` (row, score), where row holds all columns of ``docs``.
+
+    Null and empty texts get a score too: that of a document with one empty passage.
+    """
+    small_batches(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            raw, offsets = utf8(batch.column(batch.schema.get_field_index("_text")))
+            raw, offsets = utf8(batch.column(1))
             for i, j in spans(offsets, BATCH_BYTES):
                 got = shared.value.score(*encode_passages(raw[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i]))
-                rows = batch.slice(i, j - i)
-                yield pa.RecordBatch.from_arrays([*rows.columns[:-1], pa.array(got.astype(np.float64))], [*rows.schema.names[:-1], "_score"])
-
-    base = docs.withColumn("_text", F.col(text).cast("string")) if keep else docs.select(docs[key].alias(key), docs[text].cast("string").alias("_text"))
-    names = [f for f in base.schema.fields if f.name != "_text"]
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in names) + ", _score double"
-    out = base.select(*(f.name for f in names), "_text").mapInArrow(run, schema)
-    return out if keep else out.withColumnRenamed("_score", "score")
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(i, j - i), pa.array(got.astype(np.float64))], ["row", "score"])
+
+    whole = F.struct(*(docs[c] for c in docs.columns)) if keep else docs[key]
+    base = docs.select(whole.alias("row"), docs[text].cast("string").alias("text"))
+    out = base.mapInArrow(run, StructType([base.schema["row"], StructField("score", DoubleType())]))
+    return out if keep else out.withColumnRenamed("row", key)
 
 
 def op6_quality(spark, sf_dir: str) -> DataFrame:

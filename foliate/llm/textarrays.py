@@ -37,6 +37,14 @@ def utf8(column: pa.Array | pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
     return raw[at[0] : at[-1]], at - at[0]
 
 
+def small_batches(spark, rows: int = 1000) -> None:
+    """Let Arrow batches hold at most ``rows`` rows in this session: whole texts are large rows,
+    and the memory of a batch is held several times over outside the heap."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(name)) <= rows:
+        spark.conf.set(name, str(rows))
+
+
 def spans(offsets: np.ndarray, most: int) -> Iterator[tuple[int, int]]:
     """Ranges of rows of at most ``most`` bytes each; a longer row stands alone."""
     n, i = len(offsets) - 1, 0

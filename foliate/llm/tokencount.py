@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from foliate.llm.textarrays import spans, utf8
+from foliate.llm.textarrays import small_batches, spans, utf8
 
 BATCH_BYTES = 1 << 20
 PIECE_CHARS = 1 << 16
@@ -95,6 +95,7 @@ def token_counts(docs: DataFrame, text: str = "text", key: str = "doc_id", name:
     Null counts as the empty text (0 bytes, 0 tokens).  Keys are passed on as
     they are, null and repeated ones too; other columns are not read.
     """
+    small_batches(docs.sparkSession)
     splits = name == "byte_bpe_50k.json"
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
