@@ -17,7 +17,7 @@ def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet").select("doc_id", "quality")
     held = quality.remainder(F.col("doc_id"), 5) == 0
     model = quality.fit(docs.select("doc_id", "text"), labels.where(~held))
-    return quality.score(docs, model, keep=True).where(F.col("_score") >= quality.THRESHOLD).drop("_score")
+    return quality.score(docs, model, keep=True).where(F.col("score") >= quality.THRESHOLD).select(*(F.col("row")[c].alias(c) for c in docs.columns))
 
 
 def _with_length(docs: DataFrame) -> DataFrame:
@@ -32,8 +32,10 @@ def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The document with the smallest id of each group of near duplicates (shingles of five words)."""
-    kept = neardup.near_duplicates(docs).where("kept").select(F.col("doc_id").alias("_id")).distinct()
-    return docs.join(kept, docs["doc_id"].eqNullSafe(F.col("_id"))).drop("_id")
+    kept = neardup.near_duplicates(docs).where("kept").select("doc_id").distinct()
+    rows = docs.select(F.struct(*(docs[c] for c in docs.columns)).alias("row"))
+    stays = rows.join(kept, F.col("row")["doc_id"].eqNullSafe(kept["doc_id"]), "left_semi")
+    return stays.select(*(F.col("row")[c].alias(c) for c in docs.columns))
 
 
 def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -42,46 +42,47 @@ def line_chunks(docs: DataFrame, text: str) -> DataFrame:
 
 
 def dedup_lines(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
-    """``docs`` with repeated chunks cut out of ``text``; adds removed_chunks, removed_lines.
+    """``docs`` with repeated chunks cut out of ``text``; removed_chunks and removed_lines are added (or replaced).
 
     Of equal chunks (at least MIN_LINES lines, not all blank) the one in the
     document with the smallest key stays, the first of them within it; documents
     with a null key come last.  Chunks are equal when their bytes are.  A text
-    from which nothing is cut is unchanged, null included; one that is cut whole becomes empty and its row stays.  Rows
-    repeated alike are treated alike.  Other columns pass through unchanged;
-    ``docs`` must not have names that begin with an underscore.
+    from which nothing is cut is unchanged, null included; one that is cut whole
+    becomes empty and its row stays.  Rows repeated alike are treated alike.
+    Other columns pass through unchanged, whatever their names.
     """
-    base = docs.withColumn("_print", F.xxhash64(text))
-    made = line_chunks(base.select(F.col(key).alias("_key"), "_print", F.col(text).alias("_text")), "_text")
+    base = docs.select(F.struct(*(docs[c] for c in docs.columns)).alias("row"), docs[key].alias("key"), docs[text].alias("text"), F.xxhash64(docs[text]).alias("print"))
+    made = line_chunks(base.select("key", "print", "text"), "text")
     # an outer generator, so that no filter on the array's size is pushed below it and evaluates it again
-    chunks = made.select("_key", "_print", F.posexplode_outer("_chunks").alias("_pos", "_chunk")).where((F.col("_chunk.lines") >= MIN_LINES) & F.col("_chunk.text").rlike(r"[^\s]"))
-    place = F.coalesce(F.col("_key").cast("decimal(28,0)"), F.lit("9223372036854775808").cast("decimal(28,0)")) * F.lit(_PLACES).cast("decimal(10,0)") + F.col("_pos")
-    chunks = chunks.select("_key", "_print", "_pos", place.cast("decimal(38,0)").alias("_place"), F.col("_chunk.lines").alias("_n"), F.md5(F.col("_chunk.text")).alias("_hash"), F.col("_chunk.text").alias("_bytes"))
-    repeated = chunks.groupBy("_hash", "_bytes").agg(F.count(F.lit(1)).alias("_times"), F.min("_place").alias("_first")).where("_times > 1").select(F.col("_hash").alias("_again"), "_first")
-    cuts = chunks.drop("_bytes").join(repeated, F.col("_hash") == F.col("_again")).where("_place <> _first")
-    cuts = cuts.groupBy(F.col("_key").alias("_cut_key"), F.col("_print").alias("_cut_print")).agg(F.sort_array(F.collect_set(F.struct("_pos", "_n"))).alias("_cuts"))
-    out = base.join(cuts, F.col(key).eqNullSafe(F.col("_cut_key")) & (F.col("_print") == F.col("_cut_print")), "left")
-    return _without(out, text).drop("_print", "_cut_key", "_cut_print", "_cuts")
-
-
-def _without(df: DataFrame, text: str) -> DataFrame:
-    """Cut the chunks in _cuts: what lies between two cuts is joined again."""
-    cut = F.col("_cuts").isNotNull()
-    own = line_chunks(df.withColumn("_part", F.when(cut, F.col(text))), "_part")
+    chunks = made.select("key", "print", F.posexplode_outer("_chunks").alias("pos", "chunk")).where((F.col("chunk.lines") >= MIN_LINES) & F.col("chunk.text").rlike(r"[^\s]"))
+    place = F.coalesce(F.col("key").cast("decimal(28,0)"), F.lit("9223372036854775808").cast("decimal(28,0)")) * F.lit(_PLACES).cast("decimal(10,0)") + F.col("pos")
+    chunks = chunks.select("key", "print", "pos", place.cast("decimal(38,0)").alias("place"), F.col("chunk.lines").alias("n"), F.md5(F.col("chunk.text")).alias("hash"), F.col("chunk.text").alias("bytes"))
+    repeated = chunks.groupBy("hash", "bytes").agg(F.count(F.lit(1)).alias("times"), F.min("place").alias("first")).where("times > 1").select(F.col("hash").alias("again"), "first")
+    cuts = chunks.drop("bytes").join(repeated, F.col("hash") == F.col("again")).where("place <> first")
+    cuts = cuts.groupBy(F.col("key").alias("cut_key"), F.col("print").alias("cut_print")).agg(F.sort_array(F.collect_set(F.struct("pos", "n"))).alias("cuts"))
+    out = base.join(cuts, F.col("key").eqNullSafe(F.col("cut_key")) & (F.col("print") == F.col("cut_print")), "left")
+    new = _without(out)
+    kept = [F.col("new").alias(c) if c == text else F.col("row")[c].alias(c) for c in docs.columns if c not in ("removed_chunks", "removed_lines")]
+    return new.select(*kept, "removed_chunks", "removed_lines")
+
+
+def _without(df: DataFrame) -> DataFrame:
+    """Cut the chunks in ``cuts`` from ``text``: what lies between two cuts is joined again, as ``new``."""
+    cut = F.col("cuts").isNotNull()
+    own = line_chunks(df.withColumn("part", F.when(cut, F.col("text"))), "part")
 
     def between(k: Column) -> Column:
-        low = F.when(k == 0, F.lit(0)).otherwise(F.get("_cuts", k - 1)["_pos"] + 1)
-        high = F.when(k == F.size("_cuts"), F.size("_chunks")).otherwise(F.get("_cuts", k)["_pos"])
+        low = F.when(k == 0, F.lit(0)).otherwise(F.get("cuts", k - 1)["pos"] + 1)
+        high = F.when(k == F.size("cuts"), F.size("_chunks")).otherwise(F.get("cuts", k)["pos"])
         return F.transform(_run(low, high), lambda i: F.get("_chunks", i)["text"])
 
-    kept = F.flatten(F.transform(F.sequence(F.lit(0), F.size("_cuts")), between))
-    joined = own.withColumn("_new", F.when(cut, F.array_join(kept, "\n")))
-    lines = F.aggregate("_cuts", F.lit(0), lambda a, c: a + c["_n"])
-    return (
-        joined.withColumn(text, F.when(cut, F.col("_new")).otherwise(F.col(text)))
-        .withColumn("removed_chunks", F.when(cut, F.size("_cuts")).otherwise(0).cast("long"))
-        .withColumn("removed_lines", F.when(cut, lines).otherwise(0).cast("long"))
-        .drop("_part", "_lines", "_ends", "_chunks", "_new")
+    kept = F.flatten(F.transform(F.sequence(F.lit(0), F.size("cuts")), between))
+    lines = F.aggregate("cuts", F.lit(0), lambda a, c: a + c["n"])
+    return own.select(
+        "row",
+        F.when(cut, F.array_join(kept, "\n")).otherwise(F.col("text")).alias("new"),
+        F.when(cut, F.size("cuts")).otherwise(0).cast("long").alias("removed_chunks"),
+        F.when(cut, lines).otherwise(0).cast("long").alias("removed_lines"),
     )
 
 

@@ -149,13 +149,15 @@ def mixed_documents(docs: DataFrame, text: str = "text", key: str = "doc_id", so
     wanted = reads.groupBy("doc_id", "print", "begin", "size", "pass").agg(F.sort_array(F.collect_list(F.struct("start", "words"))).alias("ranges"), F.sum("words").alias("read"))
     # rows repeated alike share doc_id and print: the n-th of them reads the n-th stream
     wanted = wanted.withColumn("nth", F.dense_rank().over(W.partitionBy("doc_id", "print").orderBy("begin")))
-    named = docs.withColumn("_print", F.xxhash64(text))
-    numbered = named.withColumn("_nth", F.row_number().over(W.partitionBy(key, "_print").orderBy(F.lit(1))))
-    wanted = wanted.select(F.col("doc_id").alias("_key"), F.col("print").alias("_p"), F.col("nth").alias("_n"), F.col("size").alias("_size"), "ranges", F.col("read").alias("_read"))
-    out = numbered.join(wanted, F.col(key).eqNullSafe(F.col("_key")) & (F.col("_print") == F.col("_p")) & (F.col("_nth") == F.col("_n")))
-    out = out.withColumn("_words", F.when(F.col("_read") < F.col("_size"), F.split(F.regexp_replace(F.col(text), r"^[\x20\x09-\x0D]+", ""), r"(?<=[\x20\x09-\x0D])(?=[^\x20\x09-\x0D])")))
-    cut = F.flatten(F.transform("ranges", lambda r: F.slice("_words", (r["start"] + 1).cast("int"), r["words"].cast("int"))))
-    return out.withColumn(text, F.when(F.col("_read") < F.col("_size"), F.array_join(cut, "")).otherwise(F.col(text))).select(*docs.columns)
+    wanted = wanted.select("doc_id", F.col("print").alias("p"), F.col("nth").alias("n"), "size", "ranges", "read")
+    rows = docs.select(F.struct(*(docs[c] for c in docs.columns)).alias("row"), docs[key].alias("key"), docs[text].alias("text"), F.xxhash64(docs[text]).alias("print"))
+    rows = rows.withColumn("nth", F.row_number().over(W.partitionBy("key", "print").orderBy(F.lit(1))))
+    out = rows.join(wanted, F.col("key").eqNullSafe(F.col("doc_id")) & (F.col("print") == F.col("p")) & (F.col("nth") == F.col("n")))
+    partly = F.col("read") < F.col("size")
+    out = out.withColumn("words", F.when(partly, F.split(F.regexp_replace("text", r"^[\x20\x09-\x0D]+", ""), r"(?<=[\x20\x09-\x0D])(?=[^\x20\x09-\x0D])")))
+    cut = F.flatten(F.transform("ranges", lambda r: F.slice("words", (r["start"] + 1).cast("int"), r["words"].cast("int"))))
+    new = F.when(partly, F.array_join(cut, "")).otherwise(F.col("text"))
+    return out.select(*(new.alias(c) if c == text else F.col("row")[c].alias(c) for c in docs.columns))
 
 
 def op4_mixing(spark, sf_dir: str) -> DataFrame:
