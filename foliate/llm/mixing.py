@@ -119,7 +119,8 @@ def _read_blocks(docs: DataFrame, text: str, key: str, source: str, options: dic
     start = F.greatest(F.col("block") * block_words - F.col("begin"), F.lit(0))
     end = F.least((F.col("block") + 1) * block_words - F.col("begin"), F.col("size"))
     parts = parts.select("doc_id", "print", "rank", "begin", "size", "block", start.alias("start"), (end - start).alias("words"))
-    return streams, mixed, parts.join(reads, ["rank", "block"])
+    # both sides grow with the corpus, though the plan sees only the small table that the reads are drawn from
+    return streams, mixed, parts.join(reads.hint("merge"), ["rank", "block"])
 
 
 def mix_sources(docs: DataFrame, text: str = "text", key: str = "doc_id", source: str = "source", **options) -> DataFrame:
