@@ -21,7 +21,7 @@ def _candidates(spark, sf_dir):
 def _mapped(spark, sf_dir):
     content, cands = _candidates(spark, sf_dir)
     sols = M.solutions(content)
-    return cands, M.mappings(cands, M.answers(content, sols), sols)
+    return cands, M.mappings(cands, durable(M.answers(content, sols), "answers"), sols)
 
 
 def _items(spark, sf_dir):
