@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from foliate.functions import markers
+from foliate.operators import detect as D
 from foliate.operators import evidence as V
 from foliate.operators import export as X
 from foliate.operators import packages as K
@@ -124,3 +125,27 @@ def test_arriving_files_are_structured_once(spark, tmp_path):
         arrivals.structure(arrivals.watch(spark, str(source)), str(root), str(tmp_path / "checkpoint")).awaitTermination()
         got = spark.read.parquet(str(root / "lines"))
         assert got.count() == 2 * (round_ + 1) and got.where("line_type = 'question_anchor'").count() == round_ + 1
+
+
+def test_numeric_options(spark):
+    rows = [("1. one 2) two 3. three", ["1A:one", "2B:two", "3C:three"]), ("Ans 2) so", ["2B:so"]), ("( 4 )<br>four", ["4D:four"]), ("7. odd", ["7-:odd"]), ("1. a 1. b", ["1A:a"]), ("none", []), ("", [])]
+    df = spark.createDataFrame([r[0] for r in rows], "string").select(D.numeric_options(F.col("value")).alias("o"))
+    assert [[f"{o.key}{o.canonical_key or '-'}:{o.text}" for o in r.o] for r in df.collect()] == [r[1] for r in rows]
+
+
+def test_answer_key_evidence(spark):
+    texts = ["1. A", "see 2. B there", "3. C 4) d", "Answer Key", "anything 5-a here", "Key: 6 B", "4. D", "2/7. A", "301. B"]
+    rows = [(1, i + 1, t, t, "text") for i, t in enumerate(texts)]
+    got = D.answer_key_candidates(spark.createDataFrame(rows, "doc_id long, line_number int, raw string, plain string, line_type string"))
+    assert sorted((r.question_number, r.answer_key, r.line_number, r.confidence) for r in got.collect()) == [(1, "A", 1, 0.75), (3, "C", 3, 0.75), (4, "D", 3, 0.75), (5, "A", 5, 0.9), (6, "B", 6, 0.9)]
+
+
+def test_response_sheets_and_sanity(spark):
+    rows = [(1, 1, "Question ID : 5", "text", None), (1, 2, "Status : Answered", "text", None), (1, 3, "Chosen Option : 2", "text", None), (2, 1, "Q1. x", "question_anchor", "Q1"), (2, 20, "Q1. x", "question_anchor", "Q1"), (2, 24, "Chosen option on the right", "text", None)]
+    got = {r.doc_id: r for r in D.layouts(spark.createDataFrame(rows, "doc_id long, line_number int, raw string, line_type string, detected_label string")).collect()}
+    assert got[1].response_sheet and got[1].unsupported and got[1].sheet_hits == 4
+    assert not got[2].unsupported and got[2].repeated_numbers == [1]
+    expected = spark.createDataFrame([(1, 10), (2, 10), (3, 0), (4, 10)], "doc_id long, expected_count int")
+    ids = lambda *n: spark.createDataFrame([(d,) for d, k in n for _ in range(k)], "doc_id long")
+    checked = D.section_sanity(expected, ids((1, 7), (2, 6), (3, 1), (4, 10)), ids((1, 13), (2, 14), (4, 14)))
+    assert {r.doc_id: r.failure_reason for r in checked.collect()} == {1: None, 2: "question_solution_split_failed", 3: None, 4: "solution_over_detection"}
