@@ -9,6 +9,7 @@ from foliate.functions import markers
 from foliate.operators import detect as D
 from foliate.operators import evidence as V
 from foliate.operators import export as X
+from foliate.operators import gates as G
 from foliate.operators import packages as K
 from foliate.plans.lineage import drop, durable
 from foliate.sources import layout, packages
@@ -149,3 +150,25 @@ def test_response_sheets_and_sanity(spark):
     ids = lambda *n: spark.createDataFrame([(d,) for d, k in n for _ in range(k)], "doc_id long")
     checked = D.section_sanity(expected, ids((1, 7), (2, 6), (3, 1), (4, 10)), ids((1, 13), (2, 14), (4, 14)))
     assert {r.doc_id: r.failure_reason for r in checked.collect()} == {1: None, 2: "question_solution_split_failed", 3: None, 4: "solution_over_detection"}
+
+
+def test_gates(spark):
+    items = spark.createDataFrame([item(1, 1), item(2, 2, keys="AB", answer="C"), item(3, 2, text=""), item(4, 9, text="Visit www.x.org now", answer=None), item(5, 3, answer=None, text="Look at the diagram")], ITEM)
+    expected = spark.createDataFrame([(1, 4), (2, 2)], "doc_id long, expected_count int")
+    gated = durable(G.acceptance(items))
+    assert [(r.quality, r.answer_text, r.gate_issues) for r in gated.orderBy("seq").collect()] == [
+        ("accepted_safe", "text A", []),
+        ("review_required", None, ["incomplete_options", "correct_answer_text_unavailable"]),
+        ("blocked", "text A", ["question_text_missing"]),
+        ("answer_unavailable", None, []),
+        ("visual_required", None, []),
+    ]
+    assert sorted((r.question_id, r.reason) for r in G.extra_items(items, expected).collect()) == [("q_0004", "out_of_range_question_number"), ("q_0005", "extra_question_candidate")]
+    counts = {r.doc_id: (r.actual, r.count_match, r.overflow, r.extra_numbers) for r in G.count_reconciliation(items, expected).collect()}
+    assert counts == {1: (5, False, 1, [3, 9]), 2: (0, False, 0, [])}
+    bad = {r.question_id: r.classes for r in G.bad_items(items, expected).collect()}
+    assert bad == {"q_0003": ["duplicate_question_number", "empty_question_text"], "q_0004": ["question_number_out_of_range", "noise_or_ad_as_question"]}
+    windows = spark.createDataFrame([(1, 2, "qw_0001"), (1, 4, "qw_0002"), (2, 1, "qw_0003")], "doc_id long, question_number int, window_id string")
+    assert [(r.global_order, r.ref) for r in G.filled(items, windows).where("doc_id = 1").orderBy("global_order").collect()] == [(1, "q_0001"), (2, "q_0002"), (3, "q_0003"), (4, "q_0005"), (5, "qw_0002"), (6, "q_0004")]
+    violations = {r.doc_id: r.violations for r in G.threshold_violations(gated, expected).collect()}
+    assert violations == {1: ["answers"], 2: ["item_count", "four_options", "answers"]}
