@@ -51,7 +51,7 @@ def dedup_lines(docs: DataFrame, text: str = "text", key: str = "doc_id") -> Dat
     becomes empty and its row stays.  Rows repeated alike are treated alike.
     Other columns pass through unchanged, whatever their names.
     """
-    base = docs.select(F.struct(*(docs[c] for c in docs.columns)).alias("row"), docs[key].alias("key"), docs[text].alias("text"), F.xxhash64(docs[text]).alias("print"))
+    base = docs.select(F.struct(*(docs[c] for c in docs.columns if c != text)).alias("row"), docs[key].alias("key"), docs[text].alias("text"), F.xxhash64(docs[text]).alias("print"))
     made = line_chunks(base.select("key", "print", "text"), "text")
     # an outer generator, so that no filter on the array's size is pushed below it and evaluates it again
     chunks = made.select("key", "print", F.posexplode_outer("_chunks").alias("pos", "chunk")).where((F.col("chunk.lines") >= MIN_LINES) & F.col("chunk.text").rlike(r"[^\s]"))
