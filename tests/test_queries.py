@@ -1,12 +1,14 @@
 """Every registered query with checking SQL agrees with it on the smallest tables."""
 
+import functools
 from collections import Counter
 from pathlib import Path
 
 import duckdb
 import pytest
 
-from foliate.plans import catalog
+from foliate.plans import catalog, package_queries, tables
+from foliate.plans.lineage import durable
 
 DATA = "/root/testdata/sf0.001"
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
@@ -21,6 +23,25 @@ def duck():
     return con
 
 
+@pytest.fixture(scope="module", autouse=True)
+def shared_tables():
+    """Intermediate tables are made once for all queries here."""
+    patch = pytest.MonkeyPatch()
+    for module, name in ((tables, "classified"), (tables, "content"), (package_queries, "_candidates"), (package_queries, "_mapped")):
+        made = functools.cache(getattr(module, name))
+        patch.setattr(module, name, made)
+    items = package_queries._items
+
+    @functools.cache
+    def stored(spark, sf_dir):
+        cands, found = items(spark, sf_dir)
+        return cands, durable(found, "items")
+
+    patch.setattr(package_queries, "_items", stored)
+    yield
+    patch.undo()
+
+
 def plain(v):
     if isinstance(v, float):
         return round(v, 9)
