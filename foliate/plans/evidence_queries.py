@@ -160,7 +160,7 @@ _NUMBERED = LINES_SQL.split("placed AS")[0].rstrip().rstrip(",")
 _WINDOWS = f"""{OL.CLASSIFIED}, an AS (SELECT doc_id, line_number, CAST(regexp_extract(detected_label, '(\\d+)', 1) AS INT) AS number FROM classified WHERE line_type = 'question_anchor'
 ), kept AS (SELECT doc_id, number, min(line_number) AS start FROM (SELECT *, lag(line_number) OVER (PARTITION BY doc_id, number ORDER BY line_number) AS before FROM an) WHERE before IS NULL OR line_number - before >= {DISTANCE} GROUP BY doc_id, number
 ), marks AS (SELECT c.doc_id, c.line_number, c.line_type, c.detected_label, k.number, count(k.number) OVER (PARTITION BY c.doc_id ORDER BY c.line_number ROWS UNBOUNDED PRECEDING) AS win FROM classified c LEFT JOIN kept k ON k.doc_id = c.doc_id AND k.start = c.line_number
-), wins AS (SELECT doc_id, max(number) AS question_number, min(line_number) AS start_line, max(line_number) AS end_line, count(*) AS n_lines, count(DISTINCT detected_label) FILTER (line_type = 'option_candidate') AS options_found, printf('qw_%04d', CAST(win AS INT)) AS window_id FROM marks WHERE win > 0 GROUP BY doc_id, win
+), wins AS (SELECT doc_id, max(number) AS question_number, min(line_number) AS start_line, max(line_number) AS end_line, count(*) AS n_lines, CAST(count(DISTINCT detected_label) FILTER (line_type = 'option_candidate') AS INT) AS options_found, printf('qw_%04d', CAST(win AS INT)) AS window_id FROM marks WHERE win > 0 GROUP BY doc_id, win
 )"""
 _STATUS = f"CASE WHEN {OL.strip('stem')} = '' THEN 'blocked' WHEN visual THEN 'visual_required' WHEN usable < 4 OR list_contains(issues, 'answer_option_mismatch') THEN 'review' ELSE 'ready' END"
 _PUBLIC = f"""{O.ITEMS}, pub AS (SELECT doc_id, seq, question_number, printf('Q%03d', question_number) AS external_id, {_STATUS} AS status, answer_key FROM items
@@ -194,11 +194,11 @@ ORACLES = {
       SELECT doc_id, chunk_index, count(*) AS windows, sum(n_lines)::BIGINT AS n_lines, min(window_id) AS first_window, max(window_id) AS last_window FROM f GROUP BY doc_id, chunk_index""",
     "number_ranges": f"""WITH {OL.CLASSIFIED}, d AS (SELECT DISTINCT doc_id, CAST(regexp_extract(detected_label, '(\\d+)', 1) AS INT) AS number FROM classified WHERE line_type = 'question_anchor')
       SELECT doc_id, min(number) AS first, max(number) AS last, count(*) AS n FROM (SELECT *, number - row_number() OVER (PARTITION BY doc_id ORDER BY number) AS island FROM d) GROUP BY doc_id, island""",
-    "public_questions": f"WITH {_PUBLIC} SELECT p.doc_id, external_id, status, coalesce(n_options, 0) AS n_options, answer_key AS answer_label, a.text AS answer_text FROM pub p LEFT JOIN pub_options o USING (doc_id, seq) LEFT JOIN pub_answers a ON a.doc_id = p.doc_id AND a.seq = p.seq AND a.key = p.answer_key",
+    "public_questions": f"WITH {_PUBLIC} SELECT p.doc_id, external_id, status, CAST(coalesce(n_options, 0) AS INT) AS n_options, answer_key AS answer_label, a.text AS answer_text FROM pub p LEFT JOIN pub_options o USING (doc_id, seq) LEFT JOIN pub_answers a ON a.doc_id = p.doc_id AND a.seq = p.seq AND a.key = p.answer_key",
     "public_status_counts": f"WITH {_PUBLIC} SELECT doc_id, count(*) AS total_questions, {_COUNTS}, count(*) FILTER (status <> 'ready') AS non_ready_count FROM pub GROUP BY doc_id",
     "public_audit": f"""WITH {_PUBLIC}, expected AS (SELECT doc_id, CAST(count(*) + doc_id % 4 - 1 AS INT) AS expected_count FROM items GROUP BY doc_id), checked AS (
-      SELECT doc_id, expected_count, count(*) AS total, count(*) - count(DISTINCT question_number) AS repeated_numbers, count(*) FILTER (question_number < 1 OR question_number > expected_count) AS out_of_range,
-        greatest(expected_count, 0) - count(DISTINCT question_number) FILTER (question_number BETWEEN 1 AND expected_count) AS missing_ids FROM pub JOIN expected USING (doc_id) GROUP BY doc_id, expected_count)
+      SELECT doc_id, expected_count, count(*) AS total, CAST(count(*) - count(DISTINCT question_number) AS INT) AS repeated_numbers, CAST(count(*) FILTER (question_number < 1 OR question_number > expected_count) AS INT) AS out_of_range,
+        CAST(greatest(expected_count, 0) - count(DISTINCT question_number) FILTER (question_number BETWEEN 1 AND expected_count) AS INT) AS missing_ids FROM pub JOIN expected USING (doc_id) GROUP BY doc_id, expected_count)
       SELECT *, total = expected_count AND repeated_numbers = 0 AND out_of_range = 0 AND missing_ids = 0 AS passed FROM checked""",
     "review_export": f"""WITH {O.ITEMS}, reasoned AS (SELECT *, regexp_matches(raw_text, '!\\[[^\\]]*\\]\\([^)]+\\)') AND assets = 0 AS pictured, list_contains(issues, 'answer_option_mismatch') AS mismatch FROM items), risky AS (
       SELECT *, validation_status IN ('duplicate_conflict', 'incomplete', 'rejected') OR mismatch OR pictured AS risk FROM reasoned)

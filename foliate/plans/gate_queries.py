@@ -67,7 +67,7 @@ _PAIRS = f"len(regexp_extract_all({OL.strip('stem')}, {OL.q('(?:^|[^0-9/])' + OL
 _BARE = OL.strip("stem")
 _KEY_LINE = f"({_BARE} <> '' AND ({OL.has(_BARE, OL.P.KEY_BARE)} OR {_PAIRS} >= 2 OR ({_PAIRS} = 1 AND length({_BARE}) < 48 AND contains({_BARE}, '|')) OR ({_PAIRS} = 1 AND length({_BARE}) < 16)))"
 ORACLES = {
-    "acceptance_gate": f"""WITH {_GATED} SELECT doc_id, question_id, usable AS usable_options, answer_text, concat_ws('+', CASE WHEN few THEN 'incomplete_options' END, CASE WHEN lost THEN 'correct_answer_text_unavailable' END, CASE WHEN blank THEN 'question_text_missing' END) AS gate_issues,
+    "acceptance_gate": f"""WITH {_GATED} SELECT doc_id, question_id, CAST(usable AS INT) AS usable_options, answer_text, concat_ws('+', CASE WHEN few THEN 'incomplete_options' END, CASE WHEN lost THEN 'correct_answer_text_unavailable' END, CASE WHEN blank THEN 'question_text_missing' END) AS gate_issues,
       CASE WHEN blank THEN 'blocked' WHEN visual THEN 'visual_required' WHEN few OR lost THEN 'review_required' WHEN NOT answered THEN 'answer_unavailable' ELSE 'accepted_safe' END AS quality FROM gated""",
     "count_reconciliation": f"""WITH {_EXTRA}, x AS (SELECT doc_id, count(reason) AS extra_items, coalesce(array_to_string(list_sort(list_distinct(list(question_number) FILTER (reason IS NOT NULL AND question_number IS NOT NULL))), ','), '') AS extra_numbers, count(*) AS actual FROM extra GROUP BY doc_id)
       SELECT doc_id, expected_count, actual, actual = expected_count AS count_match, greatest(0, actual - expected_count) AS overflow, extra_items, extra_numbers FROM x JOIN expected USING (doc_id)""",

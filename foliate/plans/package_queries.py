@@ -142,5 +142,5 @@ ORACLES = {
       spine AS (SELECT doc_id, unnest(range(1, expected_count + 1))::INT AS question_number FROM expected WHERE expected_count > 0)
       SELECT doc_id, question_number, coalesce(question_id, printf('fq_missing_%04d', question_number)) AS final_question_id, coalesce(validation_status, 'blocked') AS status, round(coalesce(item_confidence, 0), 6) AS confidence, coalesce(competitors, 0) AS competitors, question_id IS NULL AS placeholder
       FROM spine LEFT JOIN (SELECT * FROM ranked WHERE place = 1) USING (doc_id, question_number)""",
-    "artifact_reconciliation": f"WITH {O.LANES} SELECT doc_id, count(*) AS candidates, count(*) AS items, count(*) AS laned, 0 AS unmatched_ids, count(*) FILTER (eligibility_status = 'eligible_for_ingestion' AND len(blocking_reasons) > 0) AS unsafe_eligible, CASE WHEN count(*) FILTER (eligibility_status = 'eligible_for_ingestion' AND len(blocking_reasons) > 0) > 0 THEN 'failed' ELSE 'passed' END AS gate FROM lanes GROUP BY doc_id",
+    "artifact_reconciliation": f"WITH {O.LANES} SELECT doc_id, count(*) AS candidates, count(*) AS items, count(*) AS laned, 0::BIGINT AS unmatched_ids, count(*) FILTER (eligibility_status = 'eligible_for_ingestion' AND len(blocking_reasons) > 0) AS unsafe_eligible, CASE WHEN count(*) FILTER (eligibility_status = 'eligible_for_ingestion' AND len(blocking_reasons) > 0) > 0 THEN 'failed' ELSE 'passed' END AS gate FROM lanes GROUP BY doc_id",
 }
