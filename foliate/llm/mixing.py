@@ -151,7 +151,7 @@ def mixed_documents(docs: DataFrame, text: str = "text", key: str = "doc_id", so
     # rows repeated alike share doc_id and print: the n-th of them reads the n-th stream
     wanted = wanted.withColumn("nth", F.dense_rank().over(W.partitionBy("doc_id", "print").orderBy("begin")))
     wanted = wanted.select("doc_id", F.col("print").alias("p"), F.col("nth").alias("n"), "size", "ranges", "read")
-    rows = docs.select(F.struct(*(docs[c] for c in docs.columns)).alias("row"), docs[key].alias("key"), docs[text].alias("text"), F.xxhash64(docs[text]).alias("print"))
+    rows = docs.select(F.struct(*(docs[c] for c in docs.columns if c != text)).alias("row"), docs[key].alias("key"), docs[text].alias("text"), F.xxhash64(docs[text]).alias("print"))
     rows = rows.withColumn("nth", F.row_number().over(W.partitionBy("key", "print").orderBy(F.lit(1))))
     out = rows.join(wanted, F.col("key").eqNullSafe(F.col("doc_id")) & (F.col("print") == F.col("p")) & (F.col("nth") == F.col("n")))
     partly = F.col("read") < F.col("size")
