@@ -26,8 +26,8 @@ def _with_length(docs: DataFrame) -> DataFrame:
 
 
 def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Every document, without chunks of lines that occur before it in the corpus."""
-    return _with_length(linededup.dedup_lines(docs).select(*docs.columns))
+    """Every document, without passages and chunks of lines that occur before it in the corpus."""
+    return _with_length(linededup.dedup_passages(docs))
 
 
 def near_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

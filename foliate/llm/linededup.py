@@ -8,13 +8,15 @@ corpus are grouped by hash and bytes; all but the first occurrence go.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 WINDOW_LINES = 2
 MIN_LINES = 2
 BREAK_BELOW = "8"  # of the rolling hash's first hex digit: half of all lines end a chunk
 _PLACES = 1_000_000_000
+MOST_WORDS = 50  # of a run of lines that may be repeated
+LONG_WORD = 16  # characters: longer words, as in scripts without blanks, count as several
 
 
 def _run(begin: Column, end: Column) -> Column:
@@ -86,6 +88,62 @@ def _without(df: DataFrame) -> DataFrame:
     )
 
 
+def _passages(docs: DataFrame) -> DataFrame:
+    """(key, print, begin, end, hash) of the shortest runs of over MOST_WORDS words from and up to each line of ``docs`` (key, print, text).
+
+    Any longer run is covered by such runs inside it.  Lines without words neither
+    begin nor end a run and are passed over within.
+    """
+    line, words = F.col("line"), F.regexp_count("line", F.lit(r"\S+"))
+    # numbered before the lines are, so that repeated rows stay apart
+    rows = docs.withColumn("row", F.monotonically_increasing_id()).select("row", "key", "print", F.posexplode(F.split("text", "\n", -1)).alias("pos", "line"))
+    rows = rows.where(F.col("line").rlike(r"\S")).select("row", "key", "print", "pos", F.unhex(F.sha2(line, 256)).alias("hash"), F.greatest(words, F.ceil(F.char_length("line") / LONG_WORD)).cast("long").alias("words"))
+    upto = F.sum("words").over(Window.partitionBy("row").orderBy("pos"))
+    rows = rows.withColumn("upto", upto).withColumn("before", F.col("upto") - F.col("words"))
+    rows = rows.withColumn("n", F.row_number().over(Window.partitionBy("row").orderBy("pos")))
+    ahead = Window.partitionBy("row").orderBy("before").rangeBetween(Window.unboundedPreceding, MOST_WORDS)
+    back = Window.partitionBy("row").orderBy(F.col("upto").desc()).rangeBetween(Window.unboundedPreceding, MOST_WORDS)
+    rows = rows.withColumns({"last": F.max("n").over(ahead), "first": F.min("n").over(back)})
+    whole = rows.groupBy("row", "key", "print").agg(F.sort_array(F.collect_list(F.struct("n", "pos", "hash", "before", "upto", "last", "first"))).alias("lines"))
+    at = lambda n: F.get("lines", n - 1)
+
+    def run(begin: Column, end: Column) -> Column:
+        hashes = F.transform(F.slice("lines", begin, end - begin + 1), lambda x: F.hex(x["hash"]))
+        enough = at(end)["upto"] - at(begin)["before"] > MOST_WORDS
+        return F.when(enough, F.struct(at(begin)["pos"].alias("begin"), at(end)["pos"].alias("end"), F.unhex(F.sha2(F.array_join(hashes, ""), 256)).alias("hash")))
+
+    both = F.array_distinct(F.concat(F.transform("lines", lambda x: run(x["n"], x["last"])), F.transform("lines", lambda x: run(x["first"], x["n"]))))
+    return whole.select("key", "print", F.explode(both).alias("run")).where("run is not null").select("key", "print", "run.*")
+
+
+def _chunk_runs(docs: DataFrame) -> DataFrame:
+    """(key, print, begin, end, hash) of the chunks of ``docs`` (key, print, text) that may be cut."""
+    spans = F.zip_with("_ends", "_chunks", lambda e, c: F.struct((e - c["lines"] + 1).alias("begin"), e.alias("end"), F.unhex(F.sha2(F.when(c["text"].rlike(r"[^\s]"), c["text"]), 256)).alias("hash")))
+    runs = line_chunks(docs, "text").select("key", "print", F.explode_outer(spans).alias("run")).select("key", "print", "run.*")
+    return runs.where((F.col("end") - F.col("begin") + 1 >= MIN_LINES) & F.col("hash").isNotNull())
+
+
+def dedup_passages(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
+    """``docs`` with every line cut out of ``text`` that lies in a repeated passage: a run of lines with over
+    MOST_WORDS words, or a chunk as in :func:`dedup_lines`, that stands at an earlier place too.
+
+    Runs are equal when the SHA-256 of their lines are.  Places are ordered by key (null last), then text's print, then line; a line's first
+    place stays.  Lines without words between cut lines go with them.  A text from which
+    nothing is cut is unchanged, null included; rows repeated alike are treated alike.
+    """
+    base = docs.select(F.struct(*(docs[c] for c in docs.columns if c != text)).alias("row"), docs[key].alias("key"), docs[text].alias("text"), F.xxhash64(docs[text]).alias("print"))
+    texts = base.select("key", "print", "text")
+    found = _passages(texts).unionByName(_chunk_runs(texts)).withColumn("place", F.struct(F.col("key").isNull(), "key", "print", "begin"))
+    again = found.groupBy("hash").agg(F.min("place").alias("head"), F.max("place").alias("tail")).where("head <> tail").select(F.col("hash").alias("again"), "head")
+    cuts = found.join(again, F.col("hash") == F.col("again")).where("place <> head").groupBy(F.col("key").alias("cut_key"), F.col("print").alias("cut_print")).agg(F.collect_set(F.struct("begin", "end")).alias("runs"))
+    gone = F.array_distinct(F.flatten(F.transform("runs", lambda r: F.sequence(r["begin"], r["end"]))))
+    out = base.join(cuts, F.col("key").eqNullSafe(F.col("cut_key")) & (F.col("print") == F.col("cut_print")), "left")
+    out = out.withColumn("lines", F.when(F.col("runs").isNotNull(), F.split("text", "\n", -1)))
+    stay = F.array_except(F.sequence(F.lit(0), F.size("lines") - 1), gone)
+    new = F.when(F.col("runs").isNull(), F.col("text")).otherwise(F.array_join(F.transform(stay, lambda i: F.get("lines", i)), "\n"))
+    return out.select("row", new.alias("new")).select(*(F.col("new").alias(c) if c == text else F.col("row")[c].alias(c) for c in docs.columns))
+
+
 def op10_line_dedup(spark, sf_dir: str) -> DataFrame:
     """All documents without repeated chunks of lines."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")

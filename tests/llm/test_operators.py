@@ -532,3 +532,65 @@ def test_chunks_move_with_their_lines(spark, empty):
         left = by[k].split("\n")
         assert left[: len(own)] == own and len(left) - len(own) <= 15 and all(a in passage.split("\n") for a in left[len(own) :])
     assert linededup.dedup_lines(empty).count() == 0
+
+
+def chunk_spans(text):
+    """(first line, last line) of each chunk of at least two lines, not all blank."""
+    lines = text.split("\n")
+    digests, begin = [hashlib.md5(x.encode()).hexdigest() for x in lines], 0
+    for i in range(len(lines)):
+        if i == len(lines) - 1 or hashlib.md5("".join(digests[max(i - 1, 0) : i + 1]).encode()).hexdigest()[0] < "8":
+            if i > begin and "".join(lines[begin : i + 1]).strip():
+                yield begin, i
+            begin = i + 1
+
+
+def standing_earlier(texts, most=linededup.MOST_WORDS):
+    """(key, line) of the lines in runs of over ``most`` words, or in chunks, that stand at an earlier place."""
+    seen, gone = set(), set()
+    for k, t in texts:
+        lines = t.split("\n")
+        full = [i for i, x in enumerate(lines) if x.strip()]
+        weight = {i: max(len(re.findall(r"\S+", lines[i], re.A)), -(-len(lines[i]) // linededup.LONG_WORD)) for i in full}
+        runs = [(full[b], full[e], tuple(lines[i] for i in full[b : e + 1])) for b in range(len(full)) for e in range(b, len(full)) if sum(weight[i] for i in full[b : e + 1]) > most]
+        for b, e, run in runs + [(b, e, "\n".join(lines[b : e + 1])) for b, e in chunk_spans(t)]:
+            if run in seen:
+                gone |= {(k, i) for i in range(b, e + 1)}
+            seen.add(run)
+    return gone
+
+
+def test_planted_passages_go_whole(spark, empty):
+    sizes = (1, 2, 3, 5, 30)
+    words = lambda tag, n: " ".join(f"{tag}w{j}" for j in range(n))
+    planted = {n: "\n".join(words(f"p{n}l{i}", 60 // n + 1) for i in range(n)) for n in sizes}
+    texts = [(n, f"own {n}\n{planted[n]}\nend {n}") for n in sizes] + [(100 + n, f"other {n}\nmore\n{planted[n]}\nlast {n}") for n in sizes]
+    texts += [(200, "\n\n".join(planted[5].split("\n"))), (201, words("p1l0", 20)), (202, "own 1"), (203, "\n".join(["again " * 20] * 9))]
+    texts += [(204, "\n".join(planted[30].split("\n")[9:29]) + "\nnew")]
+    df = spark.createDataFrame([*texts, (205, None), (206, ""), (None, planted[2])], "doc_id long, text string").withColumns({c: F.lit("extra") for c in EXTRA})
+    out = linededup.dedup_passages(df)
+    assert out.columns == df.columns
+    got = {r["doc_id"]: r["text"] for r in out.collect()}
+    assert got[205] is None and got[206] == "" and got[None] == "" and got[200] == "" and got[204] == "new"
+    assert all(got[100 + n] == f"other {n}\nmore\nlast {n}" for n in sizes)
+    gone = standing_earlier(texts)
+    assert all(got[k] == "\n".join(x for i, x in enumerate(t.split("\n")) if (k, i) not in gone) for k, t in texts)
+    assert linededup.dedup_passages(empty).count() == 0
+
+
+def test_passages_of_the_given_tables(spark, docs):
+    texts = sorted((r["doc_id"], r["text"] or "") for r in docs.collect())
+    short = [(k, t) for k, t in texts if t.count("\n") < 60]
+    got = {r["doc_id"]: r["text"] for r in linededup.dedup_passages(docs.where(F.col("doc_id").isin([k for k, _ in short]))).collect()}
+    gone = standing_earlier(short)
+    assert gone and all((got[k] or "") == "\n".join(x for i, x in enumerate(t.split("\n")) if (k, i) not in gone) for k, t in short)
+
+
+def test_line_stage_leaves_no_planted_passage(spark):
+    import corpus_pipeline
+
+    planted = {n: "\n".join(" ".join(f"s{n}l{i}w{j}" for j in range(60 // n + 1)) for i in range(n)) for n in (1, 2, 3, 5, 30)}
+    texts = [(n, f"own {n}\n{p}") for n, p in planted.items()] + [(100 + n, f"other {n}\n{p}") for n, p in planted.items()]
+    df = spark.createDataFrame([(k, t, "en", "a", 0) for k, t in texts], "doc_id long, text string, lang string, source string, n_chars long")
+    got = {r["doc_id"]: (r["text"], r["n_chars"]) for r in corpus_pipeline.line_stage(spark, df, DATA).collect()}
+    assert got == {k: (t, len(t)) for k, t in ((k, t if k < 100 else f"other {k - 100}") for k, t in texts)}
