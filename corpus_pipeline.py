@@ -56,7 +56,7 @@ STAGES = [
     ("packing", packing_stage),
 ]
 
-#: Learned scores, minhash links, permutations and the tokenizer are beyond SQL; tests hold the stages against brute force.
+#: Learned scores, minhash links, permutations and the tokenizer are beyond SQL; tests hold the line and near stages against brute force, the mix against the words given and run() against the stages in turn.
 ORACLE_SQL = None
 
 

@@ -594,3 +594,44 @@ def test_line_stage_leaves_no_planted_passage(spark):
     df = spark.createDataFrame([(k, t, "en", "a", 0) for k, t in texts], "doc_id long, text string, lang string, source string, n_chars long")
     got = {r["doc_id"]: (r["text"], r["n_chars"]) for r in corpus_pipeline.line_stage(spark, df, DATA).collect()}
     assert got == {k: (t, len(t)) for k, t in ((k, t if k < 100 else f"other {k - 100}") for k, t in texts)}
+
+
+# --- pipeline: the other stages ---------------------------------------------------------------------------------
+
+
+def test_near_stage_against_brute_force(spark):
+    import corpus_pipeline
+
+    base = [f"w{i}" for i in range(200)]
+    texts = {1: " ".join(base), 2: " ".join(base), 3: " ".join([*base[:199], "other"]), 4: " ".join(f"v{i}" for i in range(200)), 5: " ".join(base[:100]), 6: "", 7: None}
+    sets = {k: {tuple(w[i : i + 5]) for i in range(len(w) - 4)} for k, w in ((k, (t or "").split()) for k, t in texts.items())}
+    copies = {b for a in sets for b in sets if a < b and sets[a] and sets[b] and len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b])}
+    assert copies == {2, 3}
+    df = spark.createDataFrame([*texts.items(), (None, texts[1]), (None, texts[1])], "doc_id long, text string").withColumns({c: F.lit("extra") for c in EXTRA})
+    out = corpus_pipeline.near_stage(spark, df, DATA)
+    assert out.columns == df.columns
+    want = Counter((k, t) for k, t in texts.items() if k not in copies) + Counter({(None, texts[1]): 2})
+    assert Counter((r["doc_id"], r["text"]) for r in out.collect()) == want
+
+
+def test_mixing_stage_returns_the_words_of_its_documents(spark, docs):
+    import corpus_pipeline
+
+    given = {r["doc_id"]: WORD.findall(r["text"] or "") for r in docs.collect()}
+    got = rows(corpus_pipeline.mixing_stage(spark, docs, DATA))
+    part = 0
+    for r in got:
+        words = WORD.findall(r["text"])
+        assert r["n_chars"] == len(r["text"]) and not Counter(words) - Counter(given[r["doc_id"]])
+        part += len(words) < len(given[r["doc_id"]])
+    assert part > 0
+
+
+def test_run_chains_every_stage(spark, docs):
+    import corpus_pipeline
+
+    step = docs
+    for name, stage in corpus_pipeline.STAGES:
+        step = corpus_pipeline.durable(stage(spark, step, DATA), name)
+    want = Counter(map(str, step.collect()))
+    assert want and Counter(map(str, corpus_pipeline.run(spark, DATA).collect())) == want
