@@ -23,7 +23,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from foliate.llm.textarrays import mix, small_batches
+from foliate.llm.textarrays import mix, bounded_batches
 
 RUN = 2  # tokens of a repeated run: a long block alone, or a short one with its neighbour
 LONE_CHARS = 40  # a block at least this long is a run of its own
@@ -222,7 +222,7 @@ def main_text(pages: DataFrame, key: str = "page_id", url: str = "url", content:
     others.  ``pages`` must give its rows in the same order when read again, as a
     stored table does.
     """
-    small_batches(pages.sparkSession)
+    bounded_batches(pages.sparkSession)
     kind = pages.schema[key].dataType.simpleString()
     base = pages.select(F.monotonically_increasing_id().alias("page"), pages[key].alias("id"), pages[url].alias("url"), pages[content].cast("string").alias("html"))
     found = base.mapInArrow(_blocks, f"page long, id {kind}, url string, blocks array<struct<zone:int,text:string>>")

@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from foliate.llm.textarrays import small_batches, spans, utf8
+from foliate.llm.textarrays import bounded_batches, spans, utf8
 
 #: The bounded sample that the classifier is fitted on, in documents of each language.
 MAX_TRAIN = 4000
@@ -104,7 +104,7 @@ def remainder(key: Column, by: int) -> Column:
 
 def fit(docs: DataFrame, text: str = "text", lang: str = "lang", max_train: int = MAX_TRAIN) -> Model:
     """Learn from ``docs`` with a language: at most about ``max_train`` of each, chosen by a hash of their text."""
-    small_batches(docs.sparkSession)
+    bounded_batches(docs.sparkSession)
     known = docs.select(docs[text].cast("string").alias("text"), docs[lang].alias("lang")).where("lang is not null and text is not null")
     sizes = {r["lang"]: r["count"] for r in known.groupBy("lang").count().collect()}  # a row a language
     if not sizes:
@@ -138,7 +138,7 @@ def fit(docs: DataFrame, text: str = "text", lang: str = "lang", max_train: int
 
 def predict(docs: DataFrame, model: Model, text: str = "text", key: str = "doc_id") -> DataFrame:
     """(key, lang_pred, score) of every whole text; null, or without a letter: UNKNOWN and 0."""
-    small_batches(docs.sparkSession)
+    bounded_batches(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

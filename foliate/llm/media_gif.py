@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from foliate.llm.textarrays import small_batches, spans, utf8
+from foliate.llm.textarrays import bounded_batches, spans, utf8
 
 WIDTH, FRAME_ROWS = 192, 64
 DELAY_CS = 10
@@ -227,7 +227,7 @@ def padded(text: bytes, unit: int = WIDTH) -> bytes:
 
 def store_media(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
     """(key, n_bytes, media): every text as a GIF.  Null counts as the empty text; keys are passed on."""
-    small_batches(docs.sparkSession)
+    bounded_batches(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

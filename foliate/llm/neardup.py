@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from foliate.llm.textarrays import mix, shingle_sets, small_batches, spans, utf8
+from foliate.llm.textarrays import mix, shingle_sets, bounded_batches, spans, utf8
 from foliate.plans.lineage import drop, durable
 
 SHINGLE_WORDS = 5
@@ -229,7 +229,7 @@ def near_duplicates(docs: DataFrame, text: str = "text", key: str = "doc_id", wo
     alone, with a null component, and is kept.  Rows repeated with one key are one
     document.  Keys must be integers; other columns are not read.
     """
-    small_batches(docs.sparkSession)
+    bounded_batches(docs.sparkSession)
     docs = docs.select(docs[key].cast("long").alias("doc_id"), docs[text].cast("string").alias("text"))
     prints = durable(docs.mapInArrow(_fingerprints(words), "doc_id long, n long, h1 long, h2 long, sig binary, s1 long, s2 long"), "prints")
     linked = prints.where("doc_id is not null and n > 0")

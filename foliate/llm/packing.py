@@ -20,8 +20,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from foliate.llm.textarrays import small_batches, spans, utf8
-from foliate.llm.tokencount import BATCH_BYTES, PIECE_CHARS, encoder, pieces
+from foliate.llm.textarrays import bounded_batches, spans, utf8
+from foliate.llm.tokencount import BATCH_BYTES, SPLITTABLE, token_ids
 
 CAPACITY = 2048
 PIECE = 512
@@ -114,13 +114,13 @@ def pack_group(lengths: np.ndarray, capacity: int = CAPACITY) -> np.ndarray:
 
 def _tokenise(name: str, capacity: int, piece: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = encoder(name)
+        encode = token_ids(name)
         for batch in batches:
             _, offsets = utf8(batch.column(1))
             for i, j in spans(offsets, BATCH_BYTES):
                 rows: list[tuple[int, int, int, int, int]] = []
                 for k, text in enumerate(batch.column(1).slice(i, j - i).to_pylist(), i):
-                    ids = np.concatenate([*(encode(x) for x in pieces(text or "", PIECE_CHARS)), [END_ID]]).astype("<u4")
+                    ids = np.append(encode(text), END_ID).astype("<u4")
                     rows += [(k, start, length, zlib.crc32(ids[start : start + length]), len(ids)) for start, length in cuts(len(ids), capacity, piece)]
                 at, *rest = (pa.array(c, pa.int64()) for c in zip(*rows, strict=True))
                 yield pa.RecordBatch.from_arrays([*(batch.column(c).take(at) for c in (0, 2)), *rest], ["key", "row", "start", "length", "ids_crc32", "doc_tokens"])
@@ -128,7 +128,7 @@ def _tokenise(name: str, capacity: int, piece: int):
     return run
 
 
-def pack(docs: DataFrame, text: str = "text", key: str = "doc_id", name: str = "byte_bpe_50k.json", capacity: int = CAPACITY, piece: int = PIECE, group_pieces: int = GROUP_PIECES) -> DataFrame:
+def pack(docs: DataFrame, text: str = "text", key: str = "doc_id", name: str = SPLITTABLE, capacity: int = CAPACITY, piece: int = PIECE, group_pieces: int = GROUP_PIECES) -> DataFrame:
     """One row for each piece of a document: where it lies in which sequence.
 
     Columns: key, start, length, ids_crc32, doc_tokens, sequence_id, offset, and
@@ -137,7 +137,7 @@ def pack(docs: DataFrame, text: str = "text", key: str = "doc_id", name: str = "
     rows of their own; other columns are not read.  ``docs`` must give its rows in
     the same order when read again, as a stored table does.
     """
-    small_batches(docs.sparkSession)
+    bounded_batches(docs.sparkSession)
     kind = docs.schema[key].dataType.simpleString()
     rows = docs.count()  # answered by the file footers where docs is a stored table
     groups = max(1, -(-rows * RESTS // group_pieces))

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
 from foliate.llm.langid import remainder
-from foliate.llm.textarrays import small_batches, spans, utf8, word_hashes
+from foliate.llm.textarrays import bounded_batches, spans, utf8, word_hashes
 
 PASSAGE = 1024
 PAIRS, HIDDEN, GATE = 64, 16, 8
@@ -111,7 +111,7 @@ def fit(docs: DataFrame, labels: DataFrame, text: str = "text", key: str = "doc_
 
     Null labels don't count.  Without labels of both kinds every score is their share.
     """
-    small_batches(docs.sparkSession)
+    bounded_batches(docs.sparkSession)
     marked = labels.select(labels[key].alias("k"), labels[label].cast("double").alias("y")).where("k is not null and y in (0, 1)")
     marked = marked.groupBy("k").agg(F.max("y").alias("y")).orderBy(F.xxhash64("k"), "k").limit(MAX_TRAIN)
 
@@ -144,7 +144,7 @@ def score(docs: DataFrame, model: Attention, text: str = "text", key: str = "doc
 
     Null and empty texts get a score too: that of a document with one empty passage.
     """
-    small_batches(docs.sparkSession)
+    bounded_batches(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -37,12 +37,16 @@ def utf8(column: pa.Array | pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
     return raw[at[0] : at[-1]], at - at[0]
 
 
-def small_batches(spark, rows: int = 1000) -> None:
-    """Let Arrow batches hold at most ``rows`` rows in this session: whole texts are large rows,
-    and the memory of a batch is held several times over outside the heap."""
-    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
-    if not 0 < int(spark.conf.get(name)) <= rows:
-        spark.conf.set(name, str(rows))
+def bounded_batches(spark, most: int = 8 << 20) -> None:
+    """Let Arrow batches hold at most ``most`` bytes of rows in this session, where its own bound is larger.
+
+    Whole texts are large rows, and a batch is held several times over outside the
+    heap.  The number of rows in a batch stays as the session has it.
+    """
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    now = spark.conf.get(name, None)
+    if now is not None and not 0 < int(now.rstrip("b")) <= most:
+        spark.conf.set(name, f"{most}b")
 
 
 def spans(offsets: np.ndarray, most: int) -> Iterator[tuple[int, int]]:

@@ -1,7 +1,8 @@
 """Token counts: texts are encoded inside Arrow functions, only lengths leave them.
 
 Batches hold about the same number of bytes, and a long text is split where no
-token can cross: between a character that is not white space and a blank after it.
+token can cross: before white space that follows another character, and after a
+Han, kana or Hangul letter before punctuation.
 """
 
 from __future__ import annotations
@@ -17,14 +18,21 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from foliate.llm.textarrays import small_batches, spans, utf8
+from foliate.llm.textarrays import bounded_batches, spans, utf8
 
 BATCH_BYTES = 1 << 20
 PIECE_CHARS = 1 << 16
 TOKEN_LIMIT = 1024
+#: The vocabulary whose split pattern is known, so that long texts can be cut without changing their tokens.
+SPLITTABLE = "byte_bpe_50k.json"
+MOST_RUN = 2000
 #: Characters for which both libraries split texts alike (checked by a test); a
 #: text with any other goes to the vocabulary's own library.
 _COMMON = re.compile(r"[\x00-ʯ̀-ͯ‐-‧‰-⁞₠-₿]*")
+#: A run of white space or of anything else, found in one pass.
+_RUN = re.compile(rf"(?<!\s)\s{{{MOST_RUN},}}+|(?<!\S)\S{{{MOST_RUN},}}+")
+#: Between a character that isn't white space and a blank, tab or line end, or between a kana, Han or Hangul letter and the punctuation after it.
+_SAFE = re.compile(r"(?<=\S)(?=[ \t\r\n])|(?<=[ぁ-ゖァ-ヺ一-龥가-힣])(?=[、。，！？；：])")
 
 
 def vocabulary(name: str = "byte_bpe_50k.json") -> str:
@@ -36,11 +44,13 @@ def vocabulary(name: str = "byte_bpe_50k.json") -> str:
 
 @lru_cache(maxsize=4)
 def encoder(name: str):
-    """A function text -> array of ids as ``tokenizers`` gives them for the file.
+    """A function text -> array of ids as the vocabulary's own library gives them.
 
-    The byte-level vocabulary also exists as ranks for a faster library with the
-    same merges, split pattern and special token; it encodes the texts on which
-    both agree.  Other names use their own library throughout.
+    Texts of any length and content are encoded.  ``byte_bpe_50k.json`` also exists
+    as ranks for a faster library with the same merges, split pattern and special
+    token; it encodes the texts on which both agree.  Texts with other characters or
+    with a run of over MOST_RUN characters, where the faster one would exhaust its
+    stack or slow down, go to the own library, as do all texts of other vocabularies.
     """
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
     if name.endswith(".model"):
@@ -55,7 +65,7 @@ def encoder(name: str):
     def exact(text: str) -> np.ndarray:
         return np.asarray(own.encode(text, add_special_tokens=False).ids, np.uint32)
 
-    if name != "byte_bpe_50k.json":
+    if name != SPLITTABLE:
         return exact
     import public_tokenizers
     import tiktoken
@@ -64,47 +74,64 @@ def encoder(name: str):
         ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
     special = {"<|endoftext|>": len(ranks)}
     fast = tiktoken.Encoding(name, pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens=special)
-    return lambda text: fast.encode_to_numpy(text, allowed_special="all") if text.isascii() or _COMMON.fullmatch(text) else exact(text)
+
+    def encode(text: str) -> np.ndarray:
+        if (text.isascii() or _COMMON.fullmatch(text)) and not (len(text) > MOST_RUN and _RUN.search(text)):
+            return fast.encode_to_numpy(text, allowed_special="all")
+        return exact(text)
+
+    return encode
 
 
 def pieces(text: str, most: int = PIECE_CHARS) -> Iterator[str]:
-    """``text`` in parts of about ``most`` characters whose tokens are those of the whole."""
+    """``text`` in parts of about ``most`` characters whose tokens are those of the whole.
+
+    The split pattern of SPLITTABLE never puts white space behind another character
+    into one token, nor a letter before punctuation; its special token holds
+    neither white space nor such letters as are asked for here.  A text without
+    such a place is one part.
+    """
     begin = 0
     while len(text) - begin > most:
-        cut = text.find(" ", begin + most)
-        while cut > 0 and text[cut - 1].isspace():
-            cut = text.find(" ", cut + 1)
-        if cut < 0:
+        place = _SAFE.search(text, begin + most)
+        if place is None:
             break
-        yield text[begin:cut]
-        begin = cut
+        yield text[begin : place.start()]
+        begin = place.start()
     yield text[begin:]
 
 
-def encode_whole(text: str, name: str, split: bool = True) -> np.ndarray:
-    """All ids of a text, encoded part by part."""
+def token_ids(name: str):
+    """A function text -> all ids of the whole text, null as the empty one; encoded in parts where that is safe."""
     encode = encoder(name)
-    if not split or len(text) <= PIECE_CHARS:
-        return encode(text)
-    return np.concatenate([encode(x) for x in pieces(text)])
+
+    def run(text: str | None) -> np.ndarray:
+        if not text:
+            return np.zeros(0, np.uint32)
+        if name != SPLITTABLE or len(text) <= PIECE_CHARS:
+            return encode(text)
+        return np.concatenate([encode(x) for x in pieces(text)])
+
+    return run
 
 
-def token_counts(docs: DataFrame, text: str = "text", key: str = "doc_id", name: str = "byte_bpe_50k.json", limit: int = TOKEN_LIMIT) -> DataFrame:
+def token_counts(docs: DataFrame, text: str = "text", key: str = "doc_id", name: str = SPLITTABLE, limit: int = TOKEN_LIMIT) -> DataFrame:
     """(key, n_bytes, n_tokens, over_limit) of every text.
 
     Null counts as the empty text (0 bytes, 0 tokens).  Keys are passed on as
-    they are, null and repeated ones too; other columns are not read.
+    they are, null and repeated ones too; other columns are not read.  A text that
+    has no safe place to be cut, such as millions of blanks, is encoded whole, at
+    about 200 bytes of memory a character.
     """
-    small_batches(docs.sparkSession)
-    splits = name == "byte_bpe_50k.json"
+    bounded_batches(docs.sparkSession)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = encoder(name)
+        encode, split = encoder(name), name == SPLITTABLE
         for batch in batches:
             raw, offsets = utf8(batch.column(1))
             for i, j in spans(offsets, BATCH_BYTES):
                 texts = batch.column(1).slice(i, j - i).to_pylist()
-                counts = [0 if not t else len(encode(t)) if not splits or len(t) <= PIECE_CHARS else sum(len(encode(x)) for x in pieces(t)) for t in texts]
+                counts = [0 if not t else sum(len(encode(x)) for x in pieces(t)) if split and len(t) > PIECE_CHARS else len(encode(t)) for t in texts]
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(i, j - i), pa.array(np.diff(offsets[i : j + 1])), pa.array(counts, pa.int64())], ["key", "n_bytes", "n_tokens"])
 
     kind = docs.schema[key].dataType.simpleString()

@@ -329,6 +329,42 @@ def test_pieces_keep_the_tokens():
     parts = list(tokencount.pieces(text, 40))
     assert len(parts) > 3 and "".join(parts) == text
     assert [i for p in parts for i in encode(p).tolist()] == encode(text).tolist()
+    for text in ("ひらがな漢字、カタカナ。한국어！" * 30, "a\tb\n\n c\r\n <|endoftext|> d" * 30, "<|endoftext|>" * 60):
+        parts = list(tokencount.pieces(text, 40))
+        assert "".join(parts) == text and (len(parts) > 3) == (text[0] != "<")
+        assert [i for p in parts for i in encode(p).tolist()] == encode(text).tolist()
+
+
+#: Texts that are one run of a character, or hold one between words.
+RUNS = [" " * 1_200_000, "\n" * 1_200_000, "\t" * 1_200_000, "x" * 1_200_000, "word " + " " * 1_100_000 + "word", "漢" * 300_000, "." * 1_200_000, " \n" * 600_000]
+
+
+def test_long_runs_are_encoded(spark):
+    from tokenizers import Tokenizer
+
+    own = Tokenizer.from_file(tokencount.vocabulary())
+    want = [own.encode(t, add_special_tokens=False).ids for t in RUNS]
+    table = spark.createDataFrame(list(enumerate(RUNS)), "doc_id long, text string")
+    assert {r["doc_id"]: r["n_tokens"] for r in rows(tokencount.token_counts(table))} == {i: len(ids) for i, ids in enumerate(want)}
+    for r in rows(packing.pack(table)):
+        ids = [*want[r["doc_id"]], packing.END_ID]
+        assert r["doc_tokens"] == len(ids) and r["ids_crc32"] == zlib.crc32(np.array(ids[r["start"] : r["start"] + r["length"]], "<u4").tobytes())
+
+
+def test_millions_of_blanks_are_encoded():
+    from tokenizers import Tokenizer
+
+    text = " " * 5_000_000
+    assert len(tokencount.token_ids("byte_bpe_50k.json")(text)) == len(Tokenizer.from_file(tokencount.vocabulary()).encode(text, add_special_tokens=False).ids)
+
+
+def test_packing_leaves_other_vocabularies_whole(spark):
+    import sentencepiece
+
+    text = "some words of no meaning " * 4000
+    want = sentencepiece.SentencePieceProcessor(model_file=tokencount.vocabulary("piece_bpe_32k.model")).encode(text)
+    got = rows(packing.pack(spark.createDataFrame([(1, text)], "doc_id long, text string"), name="piece_bpe_32k.model"))
+    assert got[0]["doc_tokens"] == len(want) + 1
 
 
 # --- 6: quality ------------------------------------------------------------------------------------
