@@ -1,8 +1,10 @@
 """Exact duplicates by progressive refinement, with DataFrame functions only.
 
-Rows are compared by length, those that share a length by the hash of a prefix,
-and those that share both by the hash of the whole text.  Only rows that
-survive a step enter the next shuffle, and no shuffle carries a text.
+Rows are compared by length and, within a length, by the hash of a prefix, and those
+that share both by the hash of the whole text.  Only rows that survive a step
+enter the next shuffle, and no shuffle carries a text.  Lengths and prefixes are
+counted before they are shuffled, and no step groups by what the step before
+joined on, so that adaptive execution may split a join on a hot key.
 """
 
 from __future__ import annotations
@@ -36,11 +38,10 @@ def exact_groups(docs: DataFrame, text: str = "text", key: str = "doc_id", norma
         F.xxhash64(F.substring("_text", 1, prefix_chars)).alias("_prefix"),
         F.sha2(F.col("_text").cast("binary"), 256).alias("_sha"),
     )
-    lengths = _shared(base.select("_len"), ["_len"])
-    second = base.join(lengths, "_len", "left_semi")
-    prefixes = _shared(second.select("_len", "_prefix"), ["_len", "_prefix"])
-    third = second.join(prefixes, ["_len", "_prefix"], "left_semi")
-    groups = third.groupBy("_len", "_prefix", "_sha").agg(F.max("_key").alias("_keep"), F.count(F.lit(1)).alias("_n")).where("_n > 1")
+    # length first: with partial counts by (length, prefix) a length that one row has never leaves its task twice
+    prefixes = _shared(base.select("_len", "_prefix"), ["_len", "_prefix"])
+    third = base.join(prefixes, ["_len", "_prefix"], "left_semi")
+    groups = third.groupBy("_sha").agg(F.max("_key").alias("_keep"), F.count(F.lit(1)).alias("_n")).where("_n > 1")
     groups = groups.select(F.col("_sha").alias("_group"), "_keep", "_n")
     joined = base.select("_key", "_sha").join(groups, F.col("_sha") == F.col("_group"), "left")
     alone = F.col("_group").isNull()

@@ -1,9 +1,9 @@
 """Mixing sources to target weights, with DataFrame functions only.
 
 Each source's words form one stream, cut into blocks of BLOCK_WORDS.  The mix is a
-row of slots in output shards.  Each shard draws how many of its slots each source
-gets (a multinomial draw by systematic sampling: one uniform number a shard, every
-count within one of its expectation), and a source's n-th slot reads the block
+row of slots in output shards.  How many of a shard's slots each source gets is a
+multinomial draw, conditioned on the sources' totals so that these stay at their
+targets, and a source's n-th slot reads the block
 to which a pseudorandom permutation of that source's block indexes maps n.  The
 permutation is a swap-or-not shuffle: a bijection on any range, computed for each
 index alone.  Every further pass over a source has a permutation of its own, so a
@@ -22,6 +22,8 @@ WEIGHTS = (5, 2, 1)
 MOST_PASSES = 3
 BLOCK_WORDS = 64
 SHARD_SLOTS = 4096
+#: Slots of one source that one row of a plan stands for before it is dealt to a task.
+RUN_SLOTS = 16_384
 ROUNDS = 12
 SEED = 20240229
 WORD = r"[^\x20\x09-\x0D]+"
@@ -85,25 +87,27 @@ def _streams(docs: DataFrame) -> DataFrame:
 
 
 def slots(mixed: DataFrame, block_words: int = BLOCK_WORDS, shard_slots: int = SHARD_SLOTS, seed: int = SEED) -> DataFrame:
-    """(rank, pass, block, shard): which blocks the mix reads, from the table of targets."""
+    """(rank, pass, block, shard): which blocks the mix reads, from the table of targets.
+
+    The mix has as many slots as its targets have blocks.  Which source a slot
+    takes is drawn at random, given each source's number of slots: a permutation of
+    all slots deals every source's n-th one to its place, so a shard's counts are a
+    multinomial draw on the condition that the mix meets its targets.
+    """
     blocks = F.ceil(F.col("source_size") / block_words).cast("long")
-    share = mixed.where("source_size > 0").select("rank", blocks.alias("blocks"), (F.col("target") / F.col("source_size") * blocks).alias("wanted"))
-    running = W.orderBy("rank")
-    share = share.withColumn("upto", F.sum("wanted").over(running)).withColumn("all", F.sum("wanted").over(W.partitionBy()))
-    total = int(share.agg(F.coalesce(F.round(F.sum("wanted")), F.lit(0))).first()[0])  # one number
-    per_shard = max(shard_slots, int(total**0.5))
-    shards = -(-total // per_shard)
-    drawn = share.withColumn("shard", F.explode_outer(F.sequence(F.lit(0).cast("long"), F.lit(max(shards, 1) - 1).cast("long"))))
-    drawn = drawn.withColumn("n", F.least(F.lit(per_shard), F.lit(total) - F.col("shard") * per_shard))
-    drawn = drawn.withColumn("u", F.pmod(F.xxhash64(F.lit(seed), "shard"), F.lit(1 << 30)) / F.lit(float(1 << 30)))
-    high = F.floor(F.col("n") * (F.col("upto") / F.col("all")) + F.col("u"))
-    low = F.floor(F.col("n") * ((F.col("upto") - F.col("wanted")) / F.col("all")) + F.col("u"))
-    drawn = drawn.select("rank", "blocks", "shard", (high - low).alias("count"))
-    first = F.coalesce(F.sum("count").over(W.partitionBy("rank").orderBy("shard").rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
-    drawn = drawn.withColumn("first", first).where("count > 0")
-    slot = drawn.select("rank", "blocks", "shard", F.explode_outer(F.sequence("first", F.col("first") + F.col("count") - 1)).alias("nth"))
-    slot = slot.withColumn("pass", F.floor(F.col("nth") / F.col("blocks"))).where(F.col("pass") < MOST_PASSES)
-    return slot.select("rank", "pass", "shard", permuted(F.col("nth") % F.col("blocks"), F.col("blocks"), F.lit(seed), F.col("rank"), F.col("pass")).alias("block"))
+    wanted = F.least(F.round(F.col("target") / F.col("source_size") * blocks).cast("long"), blocks * MOST_PASSES)
+    share = mixed.where("source_size > 0").select("rank", blocks.alias("blocks"), wanted.alias("wanted"))
+    share = share.withColumn("before", F.coalesce(F.sum("wanted").over(W.orderBy("rank").rowsBetween(W.unboundedPreceding, -1)), F.lit(0)))  # a row a source
+    total = int(share.agg(F.coalesce(F.sum("wanted"), F.lit(0))).first()[0])  # one number
+    # runs of a source's slots, dealt to as many tasks as their number asks for
+    runs = share.where("wanted > 0").select("rank", "blocks", "wanted", "before", F.explode_outer(F.sequence(F.lit(0).cast("long"), F.floor((F.col("wanted") - 1) / RUN_SLOTS))).alias("run"))
+    runs = runs.repartition(max(1, -(-total // (4 * RUN_SLOTS))), "rank", "run")
+    begin = F.col("run") * RUN_SLOTS
+    slot = runs.select("rank", "blocks", "before", F.explode_outer(F.sequence(begin, F.least(begin + RUN_SLOTS, F.col("wanted")) - 1)).alias("nth"))
+    slot = slot.withColumn("pass", F.floor(F.col("nth") / F.col("blocks")))
+    place = permuted(F.col("before") + F.col("nth"), F.lit(total).cast("long"), F.lit(seed))
+    block = permuted(F.col("nth") % F.col("blocks"), F.col("blocks"), F.lit(seed), F.col("rank"), F.col("pass"))
+    return slot.select("rank", "pass", F.floor(place / shard_slots).alias("shard"), block.alias("block"))
 
 
 def _read_blocks(docs: DataFrame, text: str, key: str, source: str, options: dict) -> tuple[DataFrame, DataFrame, DataFrame]:
@@ -146,18 +150,21 @@ def mixed_documents(docs: DataFrame, text: str = "text", key: str = "doc_id", so
     document's order; a document read whole in a pass is unchanged.  Rows that are
     never read are left out, as are rows without words.
     """
+    block_words = options.get("block_words", BLOCK_WORDS)
     _, _, reads = _read_blocks(docs, text, key, source, options)
-    wanted = reads.groupBy("doc_id", "print", "begin", "size", "pass").agg(F.sort_array(F.collect_list(F.struct("start", "words"))).alias("ranges"), F.sum("words").alias("read"))
+    wanted = reads.groupBy("doc_id", "print", "begin", "size", "pass").agg(F.sort_array(F.collect_list((F.col("block") - F.floor(F.col("begin") / block_words)).cast("int"))).alias("parts"), F.sum("words").alias("read"))
     # rows repeated alike share doc_id and print: the n-th of them reads the n-th stream
     wanted = wanted.withColumn("nth", F.dense_rank().over(W.partitionBy("doc_id", "print").orderBy("begin")))
-    wanted = wanted.select("doc_id", F.col("print").alias("p"), F.col("nth").alias("n"), "size", "ranges", "read")
+    wanted = wanted.select("doc_id", F.col("print").alias("p"), F.col("nth").alias("n"), F.pmod("begin", F.lit(block_words)).cast("int").alias("skip"), "size", "parts", "read")
     rows = docs.select(F.struct(*(docs[c] for c in docs.columns if c != text)).alias("row"), docs[key].alias("key"), docs[text].alias("text"), F.xxhash64(docs[text]).alias("print"))
     rows = rows.withColumn("nth", F.row_number().over(W.partitionBy("key", "print").orderBy(F.lit(1))))
     out = rows.join(wanted, F.col("key").eqNullSafe(F.col("doc_id")) & (F.col("print") == F.col("p")) & (F.col("nth") == F.col("n")))
-    partly = F.col("read") < F.col("size")
-    out = out.withColumn("words", F.when(partly, F.split(F.regexp_replace("text", r"^[\x20\x09-\x0D]+", ""), r"(?<=[\x20\x09-\x0D])(?=[^\x20\x09-\x0D])")))
-    cut = F.flatten(F.transform("ranges", lambda r: F.slice("words", (r["start"] + 1).cast("int"), r["words"].cast("int"))))
-    new = F.when(partly, F.array_join(cut, "")).otherwise(F.col("text"))
+    # words that stand for those before the text in its first block make every block begin at a multiple of block_words
+    before = F.repeat(F.lit("x "), F.col("skip"))
+    cut = F.regexp_extract_all(F.concat(before, F.regexp_replace("text", r"^[\x20\x09-\x0D]+", "")), F.lit(rf"(?:[^\x20\x09-\x0D]++[\x20\x09-\x0D]*+){{1,{block_words}}}"), F.lit(0))
+    # the lambda's argument is evaluated once, however many parts are taken from it
+    taken = F.transform(F.array(cut), lambda blocks: F.array_join(F.transform("parts", lambda i: F.when(i == 0, F.substr(F.get(blocks, i), 2 * F.col("skip") + 1)).otherwise(F.get(blocks, i))), ""))
+    new = F.when(F.col("read") < F.col("size"), F.get(taken, F.lit(0))).otherwise(F.col("text"))
     return out.select(*(new.alias(c) if c == text else F.col("row")[c].alias(c) for c in docs.columns))
 
 

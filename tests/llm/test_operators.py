@@ -281,6 +281,30 @@ def test_mix_comes_near_its_targets(docs):
     assert mixed == {g["doc_id"]: g["taken"] for g in got if g["taken"]}
 
 
+def test_mixed_documents_hold_the_blocks_read(docs):
+    texts = {r["doc_id"]: (r["text"] or "").lstrip(" \t\n\x0b\x0c\r") for r in rows(docs.select("doc_id", "text"))}
+    _, _, reads = mixing._read_blocks(docs, "text", "doc_id", "source", {})
+    want = defaultdict(list)
+    for r in sorted(rows(reads), key=lambda r: r["start"]):
+        want[r["doc_id"], r["begin"], r["pass"]].append(range(r["start"], r["start"] + r["words"]))
+    spans = {i: [m.start() for m in WORD.finditer(t)] + [len(t)] for i, t in texts.items()}
+    made = Counter((i, "".join(texts[i][spans[i][a.start] : spans[i][a.stop]] for a in parts)) for (i, _, _), parts in want.items())
+    assert Counter((r["doc_id"], r["text"].lstrip(" \t\n\x0b\x0c\r")) for r in rows(mixing.mixed_documents(docs))) == made
+
+
+def test_slots_fill_many_tasks_and_shards_hold_every_source(spark):
+    sizes = spark.createDataFrame([("a", 30_000_000), ("b", 3_000_000), ("c", 3_000_000)], "source string, source_size long")
+    made = mixing.slots(mixing.targets(sizes), shard_slots=4096).withColumn("task", F.spark_partition_id())
+    by_task = [r["count"] for r in made.groupBy("task").count().collect()]
+    assert len(by_task) > 4 and max(by_task) < 0.5 * sum(by_task)
+    share = {r["rank"]: r["target"] / 36_000_000 for r in mixing.targets(sizes).collect()}
+    counts = [r for r in made.groupBy("shard", "rank").count().collect() if r["shard"] < sum(by_task) // 4096]
+    drawn = {k: np.array([r["count"] for r in counts if r["rank"] == k]) for k in share}
+    for k, p in share.items():  # mean and spread of a multinomial draw
+        assert abs(drawn[k].mean() - 4096 * p) < 10 and 0.7 < drawn[k].std() / (4096 * p * (1 - p)) ** 0.5 < 1.3
+    assert made.groupBy("rank", "pass", "block").count().where("count > 1").isEmpty()
+
+
 def test_mix_of_hard_rows(hard, empty):
     got = rows(mixing.mix_sources(hard, block_words=8))
     assert len(got) == len(HARD)
