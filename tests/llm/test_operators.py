@@ -448,35 +448,92 @@ def test_repeated_runs_are_boilerplate_only_on_their_host(spark, empty):
     shared = "<div>A notice that every page of this host repeats word for word</div>"
     pages = [
         (1, "http://a.org/1", f"<body>{shared}<p>own one<p>q &amp; a</p></body>"),
-        (2, "http://A.org/2", f"<body>{shared}<div>short</div><div>pair</div><p>own two</p></body>"),
-        (3, "https://a.org:80/3", "<body><div>short</div><div>pair</div><div>short</div><p>own three</p></body>"),
+        (2, "http://A.org/2", f"<body>{shared}<div>seven words in</div><div>three short blocks</div><div>repeat</div><p>own two</p></body>"),
+        (3, "https://a.org:80/3", "<body><div>seven words in</div><div>three short blocks</div><div>repeat</div><div>seven words in</div><p>own three</p></body>"),
         (4, "http://b.org/", f"{shared}<script>if (a < b) {{}}</script><ul><li>x<li>y</ul>"),
         (5, "http://a.org/5", f"<nav>menu</nav><main><h1>T</h1>{shared}<form>f</form><aside>s</aside></main><div class='user-comments'>c</div>"),
         (6, None, None),
         (6, "odd", ""),
         (7, "http://c.org", "text <b>bold</b> and <i>more</i>\n\n lines <!-- gone --> &lt;p&gt; <"),
         (None, "http://d.org", "<p>unclosed <a href='x>y'>link</a> <style>p{}</style>end"),
+        (8, "http://b.org/8", "<p>a copy of a page erases nothing of its twin at all</p>"),
+        (9, "http://b.org/9", "<p>a copy of a page erases nothing of its twin at all</p>"),
+        (10, "http://b.org/10", "<p>first: words of a long passage that two pages of a host quote, and more</p>"),
+        (11, "http://b.org/11", "<p>other: words of a long passage that two pages of a host quote; an end</p>"),
     ]
-    df = spark.createDataFrame(pages, "page_id long, url string, html string").withColumns({c: F.lit(1) for c in ("page", "id", "blocks", "host")})
-    for size in (1, 500):
-        got = sorted(((r["page_id"] or 0, r["text"]) for r in rows(htmltext.main_text(df, shard_pages=size))), key=str)
-        assert got == sorted(
-            [
-                (1, "own one\nq & a"), (2, "own two"), (3, "short\nown three"), (4, "A notice that every page of this host repeats word for word\nx\ny"),
-                (5, "T\nA notice that every page of this host repeats word for word"), (6, ""), (6, ""), (7, "text bold and more lines <p> <"), (0, "unclosed link end"),
-            ],
-            key=str,
-        )
+    df = spark.createDataFrame(pages, "page_id long, url string, html string").withColumns({c: F.lit(1) for c in ("page", "id", "blocks", "host", "group")})
+    want = [
+        (1, "own one\nq & a"), (2, "own two"), (3, "seven words in\nown three"), (4, "A notice that every page of this host repeats word for word\nx\ny"),
+        (5, "T\nA notice that every page of this host repeats word for word"), (6, ""), (6, ""), (7, "text bold and more lines <p> <"), (0, "unclosed link end"),
+        (8, pages[9][2][3:-4]), (9, pages[9][2][3:-4]), (10, "first: quote, and more"), (11, "other: quote; an end"),
+    ]
+    for size in (60, 300, 1 << 20):
+        got = sorted(((r["page_id"] or 0, r["text"]) for r in rows(htmltext.main_text(df, shard_bytes=size))), key=str)
+        assert got == sorted(want, key=str)
     assert htmltext.main_text(spark.createDataFrame([], "page_id long, url string, html string")).count() == 0
 
 
-def test_suffix_ranks_by_brute_force():
+def test_article_text_is_kept():
+    stay = lambda page: "\n".join(t for z, t in htmltext.blocks(page) if z in (htmltext.MAIN, htmltext.OPEN, htmltext.NOMINATED))
+    assert stay("<article><p>x <span class='share'>y</span> z</p><p>w</p></article>") == "x z\nw"
+    assert stay("<article><p>x <span class='share'>y<span>v</span>y</span> z <a class='nav-link'>u</a></p></article>") == "x z u"
+    assert stay("<article><div class='related-work'>a</div><section id='search'>b</section><ul class='menu-items'><li>c</ul>d</article>") == "a\nb\nc\nd"
+    assert stay("<article>a<div class='comments'><article>c</article></div><div class=ad>d</div><form>f</form></article>") == "a"
+    assert stay("<form><div class='page-with-sidebar'><main>a</main>b</div></form><div class='no-sidebar'>c</div>") == "a\nc"
+    assert stay("<p title=it's>a</p><p>b's</p>") == "a\nb's"
+
+
+@pytest.mark.parametrize("unit", ["<a href='x ", "<a ", "<div><a href=\"", "<!", "</", "<p>a</q>", "<script ", "</script ", "&", "<a b='>'c ", "<div class='ad ", "<span class=ad>", "<a =  "])
+@pytest.mark.parametrize("end", ["", ">", "'", "\">x"])
+def test_broken_pages_are_read_once(unit, end):
+    import time
+
+    page = unit * (1_000_000 // len(unit)) + end
+    began = time.process_time()
+    htmltext.blocks(page)
+    assert time.process_time() - began < 4
+
+
+def test_one_host_fills_many_tasks(spark):
+    pages = spark.range(3000).selectExpr("id AS page_id", "'http://one.org/' || id AS url", "'<p>' || repeat('word ' || id || ' ', 30) || '</p>' AS html")
+    parsed, large = htmltext.dealt_pages(pages, "page_id", "url", "html", 4096)
+    tasks = parsed.repartition(32, "group").groupBy(F.spark_partition_id().alias("t")).count().collect()
+    assert large and len(tasks) > 24 and max(r["count"] for r in tasks) < 400
+
+
+def test_suffix_array_by_brute_force():
     rng = np.random.default_rng(2)
-    tokens = rng.integers(0, 3, 60).astype(np.uint64)
-    for run in (1, 2, 4):
-        prefix = [tuple(tokens[i : i + run].tolist()) for i in range(60)]
-        rank = htmltext.suffix_ranks(tokens, run)
-        assert all((rank[i] == rank[j]) == (prefix[i] == prefix[j]) and (prefix[i] >= prefix[j] or rank[i] < rank[j]) for i in range(60) for j in range(60))
+    for depth, kinds in ((1, 3), (3, 3), (8, 2), (16, 1)):
+        tokens = rng.integers(0, kinds, 60).astype(np.uint64)
+        order, common = htmltext.suffix_array(tokens, depth)
+        prefix = [tokens[i : i + depth].tolist() for i in order]
+        assert sorted(order) == list(range(60)) and prefix == sorted(prefix)
+        for k, (i, j) in enumerate(zip(order[:-1], order[1:], strict=True)):
+            same = next((n for n in range(60) if max(i, j) + n >= 60 or tokens[i + n] != tokens[j + n]))
+            assert min(same, depth) == min(common[k], depth)
+
+
+def test_repeats_by_brute_force(spark):
+    """With the guard off: the words of a page that no run of tokens shared with another page covers."""
+    rng = np.random.default_rng(5)
+    menus = [" ".join(f"m{i}{k}" for k in range(12)) for i in range(3)]
+    made = []
+    for i in range(60):
+        body = " ".join(f"w{x}" for x in rng.integers(0, 60, 40))
+        made.append((i, f"http://h{i % 2}.org/{i}", [menus[rng.integers(3)], body, menus[rng.integers(3)]]))
+    pages = spark.createDataFrame([(i, u, "".join(f"<p>{b}</p>" for b in blocks)) for i, u, blocks in made], "page_id long, url string, html string")
+    run, want = 5, {}
+    streams = {i: [(w, k) for k, b in enumerate(blocks) for w in [*b.split(), "|"]] for i, _, blocks in made}
+    seen = defaultdict(set)
+    for i, s in streams.items():
+        for at in range(len(s) - run + 1):
+            seen[i % 2, tuple(w for w, _ in s[at : at + run])].add(i)
+    for i, s in streams.items():
+        gone = {q for at in range(len(s) - run + 1) if len(seen[i % 2, tuple(w for w, _ in s[at : at + run])]) > 1 for q in range(at, at + run)}
+        kept = [" ".join(w for q, (w, b) in enumerate(s) if b == k and w != "|" and q not in gone) for k in range(3)]
+        want[i] = "\n".join(x for x in kept if x)
+    for size in (2000, 1 << 20):
+        assert {r["page_id"]: r["text"] for r in rows(htmltext.main_text(pages, shard_bytes=size, min_run=run, guard=False))} == want
 
 
 # --- 8: exact duplicates -----------------------------------------------------------------------------------
