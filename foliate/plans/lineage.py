@@ -1,15 +1,15 @@
-"""Cutting lineage with tables in the folder that all executors share.
+"""Cutting lineage with tables in the folder that all executors share, and joins on hot keys.
 
-The folder is the session's ``spark.checkpoint.dir``.  Only where that is unset
-(tests, a laptop) a temporary folder of this machine is used.
+The folder is the session's ``spark.checkpoint.dir``, or where that is unset one
+under the session's warehouse, which all executors share too.
 """
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -17,9 +17,7 @@ def shared_dir(spark: SparkSession) -> str:
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         return configured.rstrip("/")
-    if spark.conf.get("foliate.tmp.dir", None) is None:
-        spark.conf.set("foliate.tmp.dir", "file://" + tempfile.mkdtemp(prefix="foliate-"))
-    return spark.conf.get("foliate.tmp.dir")
+    return f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_foliate"
 
 
 def durable(df: DataFrame, label: str = "stage") -> DataFrame:
@@ -42,3 +40,15 @@ def drop(df: DataFrame) -> None:
     for parent in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
         path = jvm.org.apache.hadoop.fs.Path(parent)
         path.getFileSystem(conf).delete(path, True)
+
+
+def split_join(left: DataFrame, right: DataFrame, keys: list[str], how: str = "inner") -> DataFrame:
+    """``left`` joined with ``right``, an aggregate by ``keys``, so that a hot key of ``left`` may be split.
+
+    Adaptive execution splits a hot partition only where both sides of a join come
+    straight from a shuffle and nothing after it relies on how they were dealt.  The
+    hash that is joined on beside the keys gives the aggregate a shuffle of its own
+    and ends that reliance.  Columns: those of both, the keys once.
+    """
+    by = F.xxhash64(*keys)
+    return left.withColumn("_dealt", by).join(right.withColumn("_dealt", by), ["_dealt", *keys], how).drop("_dealt")
