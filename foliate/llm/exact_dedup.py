@@ -12,6 +12,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from foliate.plans.lineage import split_join
+
 PREFIX_CHARS = 256
 
 
@@ -40,11 +42,10 @@ def exact_groups(docs: DataFrame, text: str = "text", key: str = "doc_id", norma
     )
     # length first: with partial counts by (length, prefix) a length that one row has never leaves its task twice
     prefixes = _shared(base.select("_len", "_prefix"), ["_len", "_prefix"])
-    third = base.join(prefixes, ["_len", "_prefix"], "left_semi")
+    third = split_join(base, prefixes, ["_len", "_prefix"], "left_semi")
     groups = third.groupBy("_sha").agg(F.max("_key").alias("_keep"), F.count(F.lit(1)).alias("_n")).where("_n > 1")
-    groups = groups.select(F.col("_sha").alias("_group"), "_keep", "_n")
-    joined = base.select("_key", "_sha").join(groups, F.col("_sha") == F.col("_group"), "left")
-    alone = F.col("_group").isNull()
+    joined = split_join(base.select("_key", "_sha"), groups, ["_sha"], "left")
+    alone = F.col("_n").isNull()
     return joined.select(
         F.col("_key").alias(key),
         F.when(alone, F.col("_key")).otherwise(F.col("_keep")).alias("keep_id"),

@@ -10,10 +10,12 @@ Jaccard similarity 0.8 escapes all keys with a probability of about 10^-6.
 Pairs that meet are not enumerated.  A key's smallest row is its head.  First every
 row is held against the heads of its keys (the exact test on full shingle
 sets), and what passes is linked into components.  All rows that meet under a key
-share its head, so then each head's rows that are not in their largest component
-are held against all of the head's rows, in blocks of bounded size inside tasks
-that emit only links between components.  So a group of copies of any size costs a
-multiple of its rows, and no link between two components is lost.  Documents with
+share its head, so what is left are pairs under one head in different
+components.  Rows that have none of their rarest shingles in common with
+another component cannot be half of such a pair and are left out (the families of
+texts that share a template and nothing else); of the rest each head's rows that are not
+in its largest component are held against all of the head's, in blocks of bounded size inside tasks
+that emit only links between components.  No link between two components is lost.  Documents with
 equal shingle sets are one class from the start.
 """
 
@@ -28,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from foliate.llm.textarrays import mix, shingle_sets, bounded_batches, spans, utf8
-from foliate.plans.lineage import drop, durable
+from foliate.plans.lineage import drop, durable, split_join
 
 SHINGLE_WORDS = 5
 SIMILARITY = 80  # per cent
@@ -39,6 +41,7 @@ SKETCH_BITS, SKETCH_DISTANCE = 128, 36
 BATCH_BYTES = 1 << 20
 GROUP_ROWS = 256
 BLOCK_SHINGLES = 1 << 20
+BUCKETS = 1 << 18
 
 _POSITIONS = CHUNKS * WIDTH
 _FACTORS = mix(np.arange(1, _POSITIONS + SKETCH_BITS + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)) | np.uint64(1)
@@ -101,8 +104,8 @@ def _alike():
     return (F.least(one, two) * 100 >= F.greatest(one, two) * SIMILARITY) & (apart <= SKETCH_DISTANCE)
 
 
-def _with_sets(asked: DataFrame, docs: DataFrame, words: int) -> DataFrame:
-    """``asked`` (id and more) with grams, the id's sorted shingle hashes as bytes."""
+def shingles_of(needed: DataFrame, docs: DataFrame, words: int) -> DataFrame:
+    """(id, grams): the sorted shingle hashes of each text whose id is in ``needed``, as bytes; a row for each distinct text of an id."""
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -111,84 +114,145 @@ def _with_sets(asked: DataFrame, docs: DataFrame, words: int) -> DataFrame:
                 got = shingle_sets(raw[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i], words)
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(i, j - i), pa.array([s.tobytes() for s in got], pa.binary())], ["id", "grams"])
 
-    needed = asked.select("id").distinct()
-    texts = docs.select(F.col("doc_id").alias("id"), "text").join(needed, "id", "left_semi").dropDuplicates(["id"])
-    return texts.mapInArrow(sets, "id long, grams binary").join(asked, "id")
+    texts = docs.select(F.col("doc_id").alias("id"), "text").join(needed, "id", "left_semi")
+    return texts.withColumn("print", F.xxhash64("text")).dropDuplicates(["id", "print"]).select("id", "text").mapInArrow(sets, "id long, grams binary")
 
 
-def _against_heads(pairs: DataFrame, docs: DataFrame, words: int) -> DataFrame:
+def _against_heads(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     """Of ``pairs`` (head a, row b) those with 100 * intersection >= SIMILARITY * union on full sets.
 
     A head's rows are dealt into groups of about GROUP_ROWS, each of which gets
     the head's set once.
     """
     sizes = pairs.groupBy("a").agg(F.ceil(F.count(F.lit(1)) / GROUP_ROWS).alias("parts"))
-    pairs = pairs.join(sizes, "a").withColumn("salt", F.pmod(F.xxhash64("b"), "parts").cast("int"))
+    pairs = split_join(pairs, sizes, ["a"]).withColumn("salt", F.pmod(F.xxhash64("b"), "parts").cast("int"))
     owners = pairs.select(F.col("a").alias("id"), "a", "salt", F.lit(True).alias("owner")).distinct()
     asked = owners.unionByName(pairs.select(F.col("b").alias("id"), "a", "salt", F.lit(False).alias("owner")))
 
     def held(group: pa.Table) -> pa.Table:
         owner, ids = group.column("owner").to_pylist(), group.column("id").to_pylist()
         grams = [np.frombuffer(g.as_buffer(), np.uint64) for g in group.column("grams")]
-        at = owner.index(True)
-        own = grams[at]
+        own = [k for k, mine in enumerate(owner) if mine]
         links = []
         for k, other in enumerate(grams):
-            if k != at:
-                both = np.intersect1d(own, other, assume_unique=True).size
-                if 100 * both >= SIMILARITY * (len(own) + len(other) - both):
+            if not owner[k]:
+                both = (np.intersect1d(grams[at], other, assume_unique=True).size for at in own)
+                if any(100 * n >= SIMILARITY * (len(grams[at]) + len(other) - n) for n, at in zip(both, own, strict=True)):
                     links.append(ids[k])
-        return pa.table({"a": pa.array([ids[at]] * len(links), pa.int64()), "b": pa.array(links, pa.int64())})
+        return pa.table({"a": pa.array([ids[own[0]]] * len(links), pa.int64()), "b": pa.array(links, pa.int64())})
 
-    return _with_sets(asked, docs, words).groupBy("a", "salt").applyInArrow(held, "a long, b long")
+    return sets.join(asked, "id").groupBy("a", "salt").applyInArrow(held, "a long, b long")
+
+
+def prefix_length(n: np.ndarray) -> np.ndarray:
+    """How many of its rarest shingles a set of n must show: two sets of the similarity have one of these in common,
+    in any one order of all shingles, as they share SIMILARITY per cent of the larger at least."""
+    return n - -(-n * SIMILARITY // 100) + 1
+
+
+def _active(rows: DataFrame, sets: DataFrame) -> DataFrame:
+    """(rep): those of ``rows`` (rep, part) that share one of their rarest shingles with a row of another component.
+
+    No other row can be linked across components.  Shingles are ordered by how many
+    of them fall into their bucket of BUCKETS, a table of a fixed size; the order
+    decides how many rows are left, never which links are found.
+    """
+
+    def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            flat = np.frombuffer(b"".join(batch.column(0).to_pylist()), np.uint64)
+            bucket, n = np.unique(flat % np.uint64(BUCKETS), return_counts=True)
+            yield pa.RecordBatch.from_arrays([pa.array(bucket.astype(np.int64)), pa.array(n)], ["bucket", "n"])
+
+    held = durable(sets.join(rows, F.col("id") == F.col("rep")).select("rep", "part", "grams"), "held")
+    counts = held.select("grams").mapInArrow(counted, "bucket long, n long").groupBy("bucket").agg(F.sum("n").alias("n")).toArrow()  # at most BUCKETS rows
+    table = np.zeros(BUCKETS, np.int64)
+    table[counts.column("bucket").to_numpy()] = counts.column("n").to_numpy()
+    shared = rows.sparkSession.sparkContext.broadcast(np.minimum(table, (1 << 32) - 1).astype(np.uint32))
+
+    def rarest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        often = shared.value
+        for batch in batches:
+            grams = [np.frombuffer(g.as_buffer(), np.uint64) for g in batch.column(2)]
+            sizes = np.array([len(g) for g in grams], np.int64)
+            flat = np.concatenate([np.zeros(0, np.uint64), *grams])
+            row = np.repeat(np.arange(len(grams)), sizes)
+            order = np.lexsort((flat, often[flat % np.uint64(BUCKETS)], row))
+            rank = np.arange(len(flat)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+            keep = rank < prefix_length(sizes)[row]
+            take = pa.array(row[keep])
+            yield pa.RecordBatch.from_arrays([pa.array(flat[order][keep].view(np.int64)), batch.column(0).take(take), batch.column(1).take(take)], ["token", "rep", "part"])
+
+    rare = held.mapInArrow(rarest, "token long, rep long, part long")
+    across = rare.groupBy("token").agg(F.min("part").alias("low"), F.max("part").alias("high")).where("low <> high").select("token")
+    return split_join(rare, across, ["token"], "left_semi").select("rep").distinct()
 
 
 def _across(group: pa.Table) -> pa.Table:
-    """Links between components in one block: its queries against its targets; at most one for each component joined."""
-    ids, parts = group.column("id").to_numpy(), group.column("part").to_pylist()
-    asks, takes = group.column("query").to_pylist(), group.column("target").to_pylist()
+    """Links between components in one block: its queries against its targets; at most one for each component joined.
+
+    Only rows that share one of their rarest shingles in the block are compared.
+    """
+    ids, parts = group.column("id").to_numpy(), group.column("part").to_numpy()
+    asks, takes = (np.array(group.column(c).to_pylist(), bool) for c in ("query", "target"))
     grams = [np.frombuffer(g.as_buffer(), np.uint64) for g in group.column("grams")]
     sizes = np.array([len(g) for g in grams], np.int64)
-    vocabulary, at = np.unique(np.concatenate(grams), return_inverse=True)
-    starts = np.cumsum(sizes) - sizes
-    parent = {p: p for p in parts}
-
-    def root(p: int) -> int:
-        while parent[p] != p:
-            parent[p] = parent[parent[p]]
-            p = parent[p]
-        return p
-
-    links, mine = [], np.zeros(len(vocabulary), np.int64)
-    targets = np.array(takes, bool)
+    _, at, often = np.unique(np.concatenate(grams), return_inverse=True, return_counts=True)
+    starts, row = np.cumsum(sizes) - sizes, np.repeat(np.arange(len(grams)), sizes)
+    rare = np.empty(len(often), np.int64)
+    rare[np.argsort(often, kind="stable")] = np.arange(len(often))
+    order = np.lexsort((rare[at], row))
+    keep = np.arange(len(at)) - starts[row] < prefix_length(sizes)[row]
+    tokens, owner = at[order][keep], row[keep]
+    posting = np.argsort(tokens, kind="stable")
+    posting = posting[takes[owner[posting]]]
+    bounds = np.searchsorted(tokens[posting], np.arange(len(often) + 1))
+    shown = np.searchsorted(owner, np.arange(len(grams) + 1))
+    label = np.unique(parts, return_inverse=True)[1]
+    links, mine = [], np.zeros(len(often), bool)
     for q in np.flatnonzero(asks).tolist():
-        mine[at[starts[q] : starts[q] + sizes[q]]] = 1
-        both = np.add.reduceat(mine[at], starts)
-        mine[at[starts[q] : starts[q] + sizes[q]]] = 0
-        for k in np.flatnonzero(targets & (100 * both >= SIMILARITY * (sizes + sizes[q] - both))).tolist():
-            one, two = root(parts[q]), root(parts[k])
-            if one != two:
-                parent[max(one, two)] = min(one, two)
-                links.append((int(ids[q]), int(ids[k])))
+        near = [owner[posting[bounds[t] : bounds[t + 1]]] for t in tokens[shown[q] : shown[q + 1]].tolist()]
+        near = np.unique(np.concatenate(near)) if near else np.zeros(0, np.int64)
+        near = near[(label[near] != label[q]) & (100 * np.minimum(sizes[near], sizes[q]) >= SIMILARITY * np.maximum(sizes[near], sizes[q]))]
+        if not len(near):
+            continue
+        mine[at[starts[q] : starts[q] + sizes[q]]] = True
+        for k in near.tolist():
+            if label[k] != label[q]:
+                both = int(mine[at[starts[k] : starts[k] + sizes[k]]].sum())
+                if 100 * both >= SIMILARITY * (sizes[k] + sizes[q] - both):
+                    links.append((int(ids[q]), int(ids[k])))
+                    label[label == label[k]] = label[q]
+        mine[at[starts[q] : starts[q] + sizes[q]]] = False
     return pa.table({"a": pa.array([x[0] for x in links], pa.int64()), "b": pa.array([x[1] for x in links], pa.int64())})
 
 
-def _between_components(members: DataFrame, docs: DataFrame, words: int) -> DataFrame:
+def _mixed(members: DataFrame) -> DataFrame:
+    """A row for each head of ``members`` whose rows are in several components: its largest one, and its blocks of targets and queries."""
+    by_part = members.groupBy("head", "part").agg(F.count(F.lit(1)).alias("rows"), F.sum("n").alias("grams"))
+    heads = by_part.groupBy("head").agg(F.max(F.struct("rows", "part", "grams")).alias("most"), F.sum("rows").alias("rows"), F.sum("grams").alias("grams"), F.count(F.lit(1)).alias("parts"))
+    return heads.where("parts > 1").select("head", "rows", F.col("most.part").alias("main"), F.ceil(F.col("grams") / BLOCK_SHINGLES).alias("targets"), F.ceil((F.col("grams") - F.col("most.grams")) / BLOCK_SHINGLES).alias("queries"))
+
+
+def _between_components(members: DataFrame, sets: DataFrame) -> DataFrame:
     """Links between rows of one head that are in different components, from ``members`` (head, rep, n, part).
 
-    The rows outside the head's largest component are queries, all its rows are targets; both are
-    dealt into blocks of about BLOCK_SHINGLES, and every block of queries meets every block of targets.
+    Rows without a rare shingle in common with another component are left out first.  Of
+    the others, the rows outside the head's largest component are queries and all are
+    targets; both are dealt into blocks of about BLOCK_SHINGLES, and every block of
+    queries meets every block of targets.
     """
-    by_part = members.groupBy("head", "part").agg(F.count(F.lit(1)).alias("rows"), F.sum("n").alias("grams"))
-    heads = by_part.groupBy("head").agg(F.max_by("part", F.struct("rows", "part")).alias("main"), F.sum("rows").alias("rows"), F.sum("grams").alias("grams"), F.max(F.struct("rows", "part", "grams")).alias("most"), F.count(F.lit(1)).alias("parts"))
-    heads = heads.where("parts > 1 and rows > 2").select("head", "main", F.ceil(F.col("grams") / BLOCK_SHINGLES).alias("targets"), F.ceil((F.col("grams") - F.col("most.grams")) / BLOCK_SHINGLES).alias("queries"))
-    mixed = members.join(heads, "head").withColumn("asks", F.col("part") != F.col("main"))
+    unsettled = split_join(members, _mixed(members).where("rows > 2").select("head"), ["head"], "left_semi")
+    active = durable(_active(unsettled.select("rep", "part").distinct(), sets), "active")
+    members = durable(members.join(active, "rep", "left_semi"), "members")
+    mixed = split_join(members, _mixed(members).drop("rows"), ["head"]).withColumn("asks", F.col("part") != F.col("main"))
     own = F.xxhash64("rep")
     every = lambda n: F.sequence(F.lit(0).cast("long"), F.col(n) - 1)
     asking = mixed.where("asks").select("head", "rep", "part", F.explode_outer(every("targets")).alias("i"), F.pmod(own, "queries").alias("j"), F.lit(True).alias("query"), F.lit(False).alias("target"))
     taking = mixed.select("head", "rep", "part", F.pmod(own, "targets").alias("i"), F.explode_outer(every("queries")).alias("j"), F.lit(False).alias("query"), F.lit(True).alias("target"))
-    cells = asking.unionByName(taking).groupBy("head", "i", "j", F.col("rep").alias("id"), "part").agg(F.max("query").alias("query"), F.max("target").alias("target"))
-    return _with_sets(cells, docs, words).groupBy("head", "i", "j").applyInArrow(_across, "a long, b long")
+    both = asking.unionByName(taking).withColumn("cell", F.xxhash64("head", "i", "j"))
+    cells = both.groupBy("cell", "head", "i", "j", F.col("rep").alias("id"), "part").agg(F.max("query").alias("query"), F.max("target").alias("target"))
+    return sets.join(cells, "id").groupBy("cell", "head", "i", "j").applyInArrow(_across, "a long, b long")
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -227,7 +291,8 @@ def near_duplicates(docs: DataFrame, text: str = "text", key: str = "doc_id", wo
     none and is linked with nothing.  Links are symmetric and exact: 100 *
     intersection >= 80 * union of the whole sets.  A row whose key is null stays
     alone, with a null component, and is kept.  Rows repeated with one key are one
-    document.  Keys must be integers; other columns are not read.
+    document, which has the links of all its texts.  Keys must be integers; other
+    columns are not read.
     """
     bounded_batches(docs.sparkSession)
     docs = docs.select(docs[key].cast("long").alias("doc_id"), docs[text].cast("string").alias("text"))
@@ -243,11 +308,13 @@ def near_duplicates(docs: DataFrame, text: str = "text", key: str = "doc_id", wo
     # a row that is unlike its head may still be like another row under the key, if there is one
     met = durable(met.select("head", "head_n", "rep", "n", "rows", _alike().alias("alike")).where("alike or rows > 2"), "met")
 
-    links = durable(_against_heads(met.where("alike").select(F.col("head").alias("a"), F.col("rep").alias("b")), docs, words), "links")
+    needed = met.select(F.col("rep").alias("id")).union(met.select("head")).distinct()
+    sets = durable(shingles_of(needed, docs, words), "sets")
+    links = durable(_against_heads(met.where("alike").select(F.col("head").alias("a"), F.col("rep").alias("b")).distinct(), sets), "links")
     parts = components(links)
-    members = met.select("head", "rep", "n").unionByName(met.select("head", F.col("head").alias("rep"), F.col("head_n").alias("n")).distinct())
-    members = members.join(parts, F.col("rep") == F.col("node"), "left").select("head", "rep", "n", F.coalesce("component", "rep").alias("part"))
-    more = durable(_between_components(members, docs, words), "links")
+    members = met.select("head", "rep", "n").unionByName(met.select("head", F.col("head").alias("rep"), F.col("head_n").alias("n"))).distinct()
+    members = durable(members.join(parts, F.col("rep") == F.col("node"), "left").select("head", "rep", "n", F.coalesce("component", "rep").alias("part")), "members")
+    more = durable(_between_components(members, sets), "links")
     if not more.isEmpty():
         parts = components(links.unionByName(more))
 

@@ -614,6 +614,50 @@ def test_clouds_of_copies_keep_all_their_links(spark, monkeypatch):
     assert {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in rows(neardup.near_duplicates(df, words=2))} == want
 
 
+def family(n, template=200, own=45, seed=1):
+    """Texts that share most of a template and are not similar enough to be linked."""
+    rng = np.random.default_rng(seed)
+    for k in range(n):
+        words = [f"t{i}" for i in range(template)]
+        for at in rng.choice(template, own, replace=False):
+            words[at] = f"own{k}x{at}"
+        yield k + 1, " ".join(words)
+
+
+def test_families_of_unlike_texts_leave_nothing_to_compare(spark, monkeypatch):
+    texts = [*family(600), (9001, "t1 t2 t3 own lines"), (9002, "t1 t2 t3 own lines")]
+    df = spark.createDataFrame(texts, "doc_id long, text string")
+    left, active = [], neardup._active
+    monkeypatch.setattr(neardup, "_active", lambda r, s: left.append((r.count(), (a := active(r, s)).count())) or a)
+    got = {r["doc_id"]: r["component_id"] for r in rows(neardup.near_duplicates(df, words=2))}
+    assert got == {k: k if k != 9002 else 9001 for k, _ in texts}
+    assert left[0][0] > 400 and left[0][1] < 30
+
+
+def test_links_across_components_of_one_family(spark):
+    """Texts drawn from one vocabulary, so that all meet, with near copies of some under no common head's component."""
+    rng = np.random.default_rng(8)
+    texts = []
+    for k in range(60):
+        words = [f"u{i}" for i in sorted(rng.choice(90, 70, replace=False))]
+        texts.append((3 * k + 1, " ".join(words)))
+        for copy in range(int(rng.integers(0, 3))):
+            near = list(words)
+            near[int(rng.integers(70))] = f"new{k}{copy}"
+            texts.append((3 * k + 2 + copy, " ".join(near)))
+    df = spark.createDataFrame(texts, "doc_id long, text string")
+    for words in (1, 2):
+        assert {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in rows(neardup.near_duplicates(df, words=words))} == brute_components(texts, words)
+
+
+def test_keys_repeated_with_other_texts_have_the_links_of_all(spark):
+    one, two = " ".join(f"a{i}" for i in range(50)), " ".join(f"b{i}" for i in range(50))
+    df = spark.createDataFrame([(5, one), (5, two), (6, one + " more"), (7, two + " more"), (8, "alone")], "doc_id long, text string")
+    want = sorted([(5, 5), (5, 5), (6, 5), (7, 5), (8, 8)])
+    for table in (df, df.orderBy(F.desc("text")).coalesce(1)):
+        assert sorted((r["doc_id"], r["component_id"]) for r in rows(neardup.near_duplicates(table))) == want
+
+
 def test_near_duplicates_of_hard_rows(hard, empty):
     got = rows(neardup.near_duplicates(hard))
     assert len(got) == len(HARD)
