@@ -1,9 +1,9 @@
 """GIF columns: encode samples, decode LZW streams, render timed frames, colour histograms.
 
-The decoder takes any GIF: variable code widths, clear codes, the code that is
-not yet in the table, interlacing, local palettes, transparency and disposal.  A
-stream whose codes are all literals (as the encoder below writes it, with a clear
-code before the width would grow) is decoded as arrays; other streams code by code.
+The decoder takes any GIF: variable code widths, clear codes (deferred ones too), the
+code that is not yet in the table, interlacing, local palettes, transparency and
+disposal.  The encoder writes compressed streams with growing tables, transparent samples
+and every kind of disposal, so that each stored text exercises it.
 """
 
 from __future__ import annotations
@@ -24,8 +24,7 @@ WIDTH, FRAME_ROWS = 192, 64
 DELAY_CS = 10
 BINS = 8
 BATCH_BYTES = 2 << 20
-_RUN = 254  # literals after a clear code for which the width stays 9 bits
-_SHIFTS = np.arange(8, dtype=np.uint32)
+DISPOSALS = (1, 3, 2)  # of frames in turn: stay, give way to what was before, cleared
 _GREY = np.repeat(np.arange(256, dtype=np.uint8), 3).tobytes()
 
 
@@ -50,89 +49,114 @@ def _blocks(data: bytes) -> bytes:
     return body.tobytes() + (bytes([len(rest)]) + rest if rest else b"") + b"\0"
 
 
-def _pack9(codes: np.ndarray) -> bytes:
-    """Codes of 9 bits, least significant bit first."""
-    padded = np.zeros(-(-len(codes) // 8) * 8, np.uint32)
-    padded[: len(codes)] = codes
-    wide = (padded.reshape(-1, 8) << _SHIFTS).astype(np.uint32)  # the code k of 8 begins at bit k of byte k
-    out = np.zeros((len(wide), 9), np.uint8)
-    out[:, :8] = wide & 0xFF
-    out[:, 1:] |= (wide >> 8).astype(np.uint8)
-    return out.tobytes()[: -(-len(codes) * 9 // 8)]
+def _widths(index: np.ndarray, minimum: int) -> np.ndarray:
+    """The bits of the code at each place after a clear code: one more whenever the table has outgrown them, 12 at most."""
+    entries = np.minimum(index, 4096) + (1 << minimum) + 2
+    return np.clip(np.ceil(np.log2(entries)).astype(np.int64), minimum + 1, 12)
 
 
-def _unpack9(data: np.ndarray) -> np.ndarray:
-    count = len(data) * 8 // 9
-    padded = np.zeros(-(-count // 8) * 9 + 9, np.uint32)
-    padded[: len(data)] = data
-    rows = padded[: len(padded) // 9 * 9].reshape(-1, 9)
-    return (((rows[:, :8] | (rows[:, 1:] << 8)) >> _SHIFTS) & 0x1FF).reshape(-1)[:count]
-
-
-def lzw_literals(samples: np.ndarray) -> bytes:
-    """A code stream of 8-bit samples in which every code is a literal."""
-    runs = -(-len(samples) // _RUN)
-    codes = np.zeros((runs, _RUN + 1), np.uint32)
-    codes[:, 0] = 256
-    flat = np.zeros(runs * _RUN, np.uint32)
-    flat[: len(samples)] = samples
-    codes[:, 1:] = flat.reshape(runs, _RUN)
-    return _pack9(np.append(codes.reshape(-1)[: len(samples) + runs], 257))
+def lzw_encode(samples: bytes, minimum: int = 8) -> bytes:
+    """The code stream of samples below 2 ** minimum: known strings grow by a sample, and the table is cleared when it holds 4096."""
+    clear = 1 << minimum
+    codes, table, used = [clear], {}, clear + 2
+    put, get, rest = codes.append, table.get, iter(samples)
+    value = next(rest, None)
+    for sample in rest:
+        key = value << 8 | sample
+        longer = get(key)
+        if longer is not None:
+            value = longer
+            continue
+        put(value)
+        value = sample
+        if used < 4096:
+            table[key] = used
+            used += 1
+        else:
+            put(clear)
+            table.clear()
+            used = clear + 2
+    if value is not None:
+        put(value)
+    put(clear + 1)
+    written = np.array(codes, np.int64)
+    clears = np.flatnonzero(written == clear)
+    at = np.arange(len(written))
+    width = _widths(np.maximum(at - clears[np.maximum(np.searchsorted(clears, at) - 1, 0)] - 1, 0), minimum)
+    first = np.cumsum(width) - width
+    spread = written << (first & 7)  # of up to 19 bits, over three bytes
+    size = -(-int(width.sum()) // 8)
+    return sum(np.bincount((first >> 3) + k, spread >> 8 * k & 255, size + 3) for k in range(3))[:size].astype(np.uint8).tobytes()
 
 
 def lzw_decode(data: bytes, minimum: int, count: int) -> np.ndarray:
     """The first ``count`` samples of a code stream with the minimum code size given."""
-    clear = 1 << minimum
-    if minimum == 8:
-        codes = _unpack9(np.frombuffer(data, np.uint8))
-        ends = np.flatnonzero(codes == clear + 1)
-        codes = codes[: ends[0]] if len(ends) else codes
-        if not (codes > clear).any():
-            marks = np.flatnonzero(codes == clear)
-            gaps = np.diff(np.append(marks, len(codes))) - 1
-            if len(marks) and marks[0] == 0 and gaps.max() <= _RUN:
-                return codes[codes < clear].astype(np.uint8)[:count]
-    out, size, width, bits, held = [], 0, minimum + 1, 0, 0
+    clear, out, size, bit = 1 << minimum, [], 0, 0
     base = [bytes([i]) for i in range(clear)] + [b"", b""]
-    table, before = list(base), b""
-    for byte in data:
-        held |= byte << bits
-        bits += 8
-        while bits >= width:
-            code = held & ((1 << width) - 1)
-            held >>= width
-            bits -= width
-            if code == clear:
-                table, before, width = list(base), b"", minimum + 1
-                continue
-            if code == clear + 1 or size >= count:
-                return np.frombuffer(b"".join(out), np.uint8)[:count]
-            if code < len(table):
+    table, before, place = list(base), b"", 0
+    raw = np.concatenate([np.frombuffer(data, np.uint8), np.zeros(4, np.uint8)]).astype(np.int64)
+    while size < count:
+        # up to 4096 codes whose widths follow from their place after the last clear code
+        width = _widths(np.arange(place, place + 4096), minimum)
+        first = bit + np.cumsum(width) - width
+        width = width[first + width <= 8 * len(data)]
+        if not len(width):
+            break
+        first = first[: len(width)]
+        byte = first >> 3
+        codes = (raw[byte] | raw[byte + 1] << 8 | raw[byte + 2] << 16) >> (first & 7) & (1 << width) - 1
+        marks = np.flatnonzero((codes == clear) | (codes == clear + 1))
+        n = int(marks[0]) if len(marks) else len(codes)
+        done, used, put, add = len(out), len(table), out.append, table.append
+        for code in codes[:n].tolist():
+            if code < used:
                 entry = table[code]
-            elif code == len(table) and before:
+            elif code == used and before:
                 entry = before + before[:1]
             else:
-                raise ValueError(f"code {code} is not in the table of {len(table)}")
-            if before and len(table) < 4096:
-                table.append(before + entry[:1])
-                if len(table) == 1 << width and width < 12:
-                    width += 1
-            out.append(entry)
-            size += len(entry)
+                raise ValueError(f"code {code} is not in the table of {used}")
+            if before and used < 4096:
+                add(before + entry[:1])
+                used += 1
+            put(entry)
             before = entry
+        size += sum(map(len, out[done:]))
+        if not len(marks):
+            place, bit = place + n, int(first[-1] + width[-1])
+            continue
+        if codes[n] != clear:
+            break
+        table, before, place, bit = list(base), b"", 0, int(first[n] + width[n])
     return np.frombuffer(b"".join(out), np.uint8)[:count]
 
 
 def encode(samples: bytes, width: int = WIDTH, frame_rows: int = FRAME_ROWS) -> bytes:
-    """A GIF of 8-bit grey samples: rows of ``width``, ``frame_rows`` of them in each timed frame."""
+    """A GIF of 8-bit grey samples: rows of ``width``, ``frame_rows`` of them in each timed frame.
+
+    A frame after the first leaves out the samples that already show (as a
+    transparent index that no sample has, if there is one).  Frames stay, give way to what was
+    before, or are cleared, in turn.
+    """
     rows = len(samples) // width
     canvas = min(rows, frame_rows)
     parts = [b"GIF89a", width.to_bytes(2, "little"), canvas.to_bytes(2, "little"), b"\xf7\0\0", _GREY]
     pixels = np.frombuffer(samples, np.uint8)
-    for top in range(0, rows, frame_rows):
+    shown = np.full(canvas * width, -1, np.int16)
+    for n, top in enumerate(range(0, rows, frame_rows)):
         high = min(frame_rows, rows - top)
-        parts += [b"\x21\xf9\x04\x04", DELAY_CS.to_bytes(2, "little"), b"\0\0", b"\x2c\0\0\0\0", width.to_bytes(2, "little"), high.to_bytes(2, "little"), b"\0\x08"]
-        parts.append(_blocks(lzw_literals(pixels[top * width : (top + high) * width])))
+        index, clear = pixels[top * width : (top + high) * width], -1
+        here, kind = shown[: len(index)], DISPOSALS[n % len(DISPOSALS)]
+        same = here == index
+        free = np.flatnonzero(np.bincount(index, minlength=256) == 0)
+        if len(free) and same.any():
+            clear = int(free[-1])
+        stream = lzw_encode(index.tobytes() if clear < 0 else np.where(same, np.uint8(clear), index).tobytes())
+        flags = kind << 2 | (clear >= 0)
+        parts += [b"\x21\xf9\x04", bytes([flags]), DELAY_CS.to_bytes(2, "little"), bytes([max(clear, 0), 0]), b"\x2c\0\0\0\0", width.to_bytes(2, "little"), high.to_bytes(2, "little"), b"\0\x08", _blocks(stream)]
+        if kind == 1:
+            here[:] = index
+        elif kind == 2:
+            here[:] = -1
     return b"".join([*parts, b"\x3b"])
 
 
@@ -267,34 +291,47 @@ def media_frames(media: DataFrame, key: str = "doc_id", column: str = "media") -
     return out.withColumnRenamed("key", key)
 
 
+def _described(stored: bytes) -> tuple:
+    """Payload size, digest and tail, frames, times shown and histogram of a GIF; None for each if it is broken."""
+    sha, size, tail, total, shown = hashlib.sha256(), 0, b"", np.zeros(3 * BINS, np.int64), []
+    time = 0
+    try:
+        for f in frames(stored):
+            part = np.ascontiguousarray(f.canvas[f.top : f.top + f.height, f.left : f.left + f.width, 0]).tobytes()
+            sha.update(part)
+            size, tail = size + len(part), (tail + part)[-16:]
+            total += histogram(f.canvas)
+            shown.append(time)
+            time += f.delay_ms
+    except (ValueError, IndexError):
+        return (None,) * 7
+    feature = f"frames={len(shown)};ms={time};grey=" + ",".join(map(str, total[:BINS].tolist()))
+    return size, sha.hexdigest(), zlib.crc32(tail), feature, len(shown), shown, total.tolist()
+
+
 def media_digests(media: DataFrame, key: str = "doc_id") -> DataFrame:
-    """Decode each stored GIF and describe what was read back: digests of payload and medium, and a feature.
+    """Decode each stored GIF and describe what was read back.
 
-    The payload is the red channel of each frame's rectangle, in order.
+    Columns: key, n_bytes, payload_bytes, payload_sha256, tail_crc32 of the red channel of
+    each frame's rectangle in order, media_bytes, media_sha256, feature, frames,
+    shown_at_ms (a time for each frame) and histogram (red, green and blue bins
+    over all frames).  A null medium has null in all but key and n_bytes; a broken one
+    has its own size and digest and null for what would be read from it.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names = ["payload_bytes", "payload_sha256", "tail_crc32", "feature", "frames", "shown_at_ms", "histogram", "media_bytes", "media_sha256"]
+        kinds = [pa.int64(), pa.string(), pa.int64(), pa.string(), pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int64()), pa.int64(), pa.string()]
         for batch in batches:
             rows = []
             for data in batch.column(2):
-                stored = data.as_buffer()
-                stored = stored.to_pybytes()
-                sha, size, tail, total, n, time = hashlib.sha256(), 0, b"", np.zeros(3 * BINS, np.int64), 0, 0
-                for f in frames(stored):
-                    part = np.ascontiguousarray(f.canvas[f.top : f.top + f.height, f.left : f.left + f.width, 0]).tobytes()
-                    sha.update(part)
-                    size, tail = size + len(part), (tail + part)[-16:]
-                    total += histogram(f.canvas)
-                    n, time = n + 1, time + f.delay_ms
-                feature = f"frames={n};ms={time};grey=" + ",".join(map(str, total[:BINS].tolist()))
-                rows.append((size, sha.hexdigest(), zlib.crc32(tail), len(stored), hashlib.sha256(stored).hexdigest(), feature))
-            columns = list(zip(*rows, strict=True)) if rows else [[]] * 6
-            kinds = [pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.string(), pa.string()]
-            names = ["key", "n_bytes", "payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", "feature"]
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *map(pa.array, columns, kinds)], names)
+                stored = data.as_py()
+                rows.append((None,) * 9 if stored is None else (*_described(stored), len(stored), hashlib.sha256(stored).hexdigest()))
+            columns = list(zip(*rows, strict=True)) if rows else [[]] * 9
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *map(pa.array, columns, kinds)], ["key", "n_bytes", *names])
 
     kind = media.schema[key].dataType.simpleString()
-    out = media.select(media[key].alias("key"), "n_bytes", "media").mapInArrow(run, f"key {kind}, n_bytes long, payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, feature string")
+    out = media.select(media[key].alias("key"), "n_bytes", "media").mapInArrow(run, f"key {kind}, n_bytes long, payload_bytes long, payload_sha256 string, tail_crc32 long, feature string, frames long, shown_at_ms array<long>, histogram array<long>, media_bytes long, media_sha256 string")
     return out.withColumnRenamed("key", key)
 
 

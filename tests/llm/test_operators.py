@@ -120,12 +120,14 @@ def lzw_encode(samples, minimum):
 
 
 @pytest.mark.parametrize("minimum, seed, size", [(8, 0, 0), (8, 1, 1), (8, 2, 50000), (2, 3, 3000), (8, 4, 9000), (4, 5, 20000)])
-def test_lzw_decodes_both_kinds_of_streams(minimum, seed, size):
+def test_lzw_decodes_streams_of_two_encoders(minimum, seed, size):
     rng = np.random.default_rng(seed)
     samples = np.repeat(rng.integers(0, 1 << minimum, size // 3 + 1, dtype=np.uint8), 3)[:size]
     assert np.array_equal(media_gif.lzw_decode(lzw_encode(samples.tobytes(), minimum), minimum, size), samples)
-    if minimum == 8:
-        assert np.array_equal(media_gif.lzw_decode(media_gif.lzw_literals(samples), 8, size), samples)
+    own = media_gif.lzw_encode(samples.tobytes(), minimum)
+    assert np.array_equal(media_gif.lzw_decode(own, minimum, size), samples)
+    if size > 1000:
+        assert len(own) < len(samples)
 
 
 def test_frames_apply_palette_transparency_and_disposal():
@@ -154,7 +156,31 @@ def test_gif_round_trip(hard, empty):
     assert Counter((g["doc_id"], g["n_bytes"], g["payload_bytes"], g["payload_sha256"], g["tail_crc32"]) for g in got) == want
     assert media_gif.store_media(empty).count() == 0
     shown = rows(media_gif.media_frames(media_gif.store_media(hard.where("doc_id = 6"))).select("doc_id", "frame", "shown_at_ms", "histogram"))
-    assert [s["shown_at_ms"] for s in shown] == [100 * i for i in range(len(shown))] and all(sum(s["histogram"]) == 3 * 192 * 64 for s in shown)
+    assert [s["shown_at_ms"] for s in shown] == [100 * i for i in range(len(shown))] and all(sum(s["histogram"]) == 3 * 192 * 64 for s in shown[:-1]) and 0 < sum(shown[-1]["histogram"]) <= 3 * 192 * 64
+
+
+def test_frames_are_transparent_and_disposed_of():
+    text = media_gif.padded(b"".join(b"%d lines of text that repeat here and there\n" % (i // 7) for i in range(4000)))
+    gif = media_gif.encode(text)
+    flags, at = [], 0
+    while (at := gif.find(b"\x21\xf9\x04", at)) >= 0:
+        flags.append(gif[at + 3])
+        at += 8
+    assert {f >> 2 & 7 for f in flags} == {1, 2, 3} and {f & 1 for f in flags} == {0, 1}
+    assert b"".join(f.canvas[f.top : f.top + f.height, :, 0].tobytes() for f in media_gif.frames(gif)) == text
+    assert len(gif) < 0.6 * len(text)
+    every = media_gif.padded(bytes(range(256)) * 200)  # no value is free for transparency
+    assert b"".join(f.canvas[: f.height, :, 0].tobytes() for f in media_gif.frames(media_gif.encode(every))) == every
+
+
+def test_null_and_broken_media(spark):
+    whole = media_gif.encode(media_gif.padded(b"text"))
+    table = spark.createDataFrame([(1, 4, whole), (2, 0, None), (3, 4, whole[:900]), (4, 4, b"no image"), (None, None, b"")], "doc_id long, n_bytes long, media binary")
+    got = {r["doc_id"]: r for r in rows(media_gif.media_digests(table))}
+    assert got[1]["payload_bytes"] == 192 and got[1]["frames"] == 1 and got[1]["shown_at_ms"] == [0] and sum(got[1]["histogram"]) == 3 * 192
+    assert got[2]["media_bytes"] is None and got[2]["payload_sha256"] is None
+    assert all(got[k]["payload_sha256"] is None and got[k]["frames"] is None and got[k]["media_sha256"] for k in (3, 4, None))
+    assert {r["doc_id"] for r in rows(media_gif.media_frames(table))} == {1}
 
 
 # --- 2: packing ----------------------------------------------------------------------
