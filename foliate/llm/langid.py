@@ -2,7 +2,7 @@
 language, others by the longest character n-grams that are known.
 
 Counting words is a Spark aggregation; the tables that a prediction needs have at
-most MAX_WORDS and MAX_GRAMS rows and are broadcast.
+most MAX_WORDS words and MAX_GRAMS n-grams of each language and are broadcast.
 """
 
 from __future__ import annotations
@@ -10,6 +10,7 @@ from __future__ import annotations
 import re
 from collections import Counter
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -17,10 +18,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from foliate.llm.textarrays import bounded_batches, spans, utf8
+from foliate.plans.lineage import durable
 
 #: The bounded sample that the classifier is fitted on, in documents of each language.
 MAX_TRAIN = 4000
-MAX_WORDS, MAX_GRAMS, LONGEST = 60_000, 60_000, 4
+#: The size of the model, in words and n-grams of each language.
+MAX_WORDS, MAX_GRAMS, LONGEST = 20_000, 20_000, 4
 SMOOTHING = 0.5
 UNKNOWN = "und"
 BATCH_BYTES = 2 << 20
@@ -102,15 +105,21 @@ def remainder(key: Column, by: int) -> Column:
     return F.crc32(key.cast("string").cast("binary")) % by
 
 
-def fit(docs: DataFrame, text: str = "text", lang: str = "lang", max_train: int = MAX_TRAIN) -> Model:
-    """Learn from ``docs`` with a language: at most about ``max_train`` of each, chosen by a hash of their text."""
+def fit(docs: DataFrame, text: str = "text", lang: str = "lang", max_train: int = MAX_TRAIN, key: str = "doc_id") -> Model:
+    """Learn from ``docs`` with a language and a text: about ``max_train`` rows of each language, chosen by a hash of their key.
+
+    Rows repeated with a key are chosen alike, null keys too; other columns are not
+    read.  The model holds each language's MAX_WORDS most frequent words and
+    MAX_GRAMS n-grams of the sample, with their counts in all languages.  Without a
+    row to learn from, every prediction is UNKNOWN.
+    """
     bounded_batches(docs.sparkSession)
-    known = docs.select(docs[text].cast("string").alias("text"), docs[lang].alias("lang")).where("lang is not null and text is not null")
+    known = docs.select(docs[key].alias("key"), docs[text].cast("string").alias("text"), docs[lang].cast("string").alias("lang")).where("lang is not null and text is not null")
     sizes = {r["lang"]: r["count"] for r in known.groupBy("lang").count().collect()}  # a row a language
     if not sizes:
         return Model([], [], [])
     share = F.create_map(*(F.lit(x) for name, n in sorted(sizes.items()) for x in (name, min(1.0, max_train / n))))
-    sample = known.where(F.pmod(F.xxhash64("text", F.lit(3)), F.lit(1 << 30)) < share[F.col("lang")] * (1 << 30))
+    sample = known.where(F.pmod(F.xxhash64("key", F.lit(3)), F.lit(1 << 30)) < share[F.col("lang")] * (1 << 30)).select("text", "lang")
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -122,22 +131,26 @@ def fit(docs: DataFrame, text: str = "text", lang: str = "lang", max_train: int
             columns = list(zip(*rows, strict=True)) if rows else [[], [], []]
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, (pa.string(), pa.string(), pa.int64()), strict=True)], ["lang", "word", "n"])
 
-    counts = sample.mapInArrow(count, "lang string, word string, n long").groupBy("lang", "word").agg(F.sum("n").alias("n"))
+    counts = durable(sample.mapInArrow(count, "lang string, word string, n long").groupBy("lang", "word").agg(F.sum("n").alias("n")), "words")
     framed = F.concat(F.lit("<"), F.col("word"), F.lit(">"))
     grams = counts.select("lang", "n", F.explode(F.flatten(F.array(*(F.transform(F.sequence(F.lit(1), F.greatest(F.char_length(framed) - n + 1, F.lit(1))), lambda i, n=n: F.substring(framed, i, F.lit(n))) for n in range(1, LONGEST + 1))))).alias("gram"))
-    grams = grams.groupBy("lang", "gram").agg(F.sum("n").alias("n"))
+    grams = durable(grams.groupBy("lang", "gram").agg(F.sum("n").alias("n")), "grams")
 
     def top(table: DataFrame, entry: str, most: int) -> list[tuple[str, str, int]]:
-        """The most frequent entries, all languages of each; at most ``most`` rows."""
-        whole = table.groupBy(entry).agg(F.sum("n").alias("all"), F.collect_list(F.struct("lang", "n")).alias("by"))
-        rows = whole.where("all > 1").orderBy(F.desc("all"), entry).limit(most).collect()
-        return [(r[entry], b["lang"], b["n"]) for r in rows for b in sorted(r["by"])]
+        """Each language's most frequent entries, counted in all; at most ``most`` times the square of the number of languages."""
+        best = [table.where(F.col("lang") == name).orderBy(F.desc("n"), entry).limit(most).select(entry) for name in sorted(sizes)]
+        chosen = reduce(DataFrame.unionAll, best).distinct()
+        rows = table.join(F.broadcast(chosen), entry).select(entry, "lang", "n").collect()  # chosen: at most ``most`` rows a language
+        return sorted((r[entry], r["lang"], r["n"]) for r in rows)
 
     return Model(sorted(sizes), top(counts, "word", MAX_WORDS), top(grams, "gram", MAX_GRAMS))
 
 
 def predict(docs: DataFrame, model: Model, text: str = "text", key: str = "doc_id") -> DataFrame:
-    """(key, lang_pred, score) of every whole text; null, or without a letter: UNKNOWN and 0."""
+    """(key, lang_pred, score) of every whole text; null, or without a letter: UNKNOWN and 0.
+
+    Keys are passed on, null and repeated ones too; other columns are not read.
+    """
     bounded_batches(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
@@ -156,6 +169,6 @@ def predict(docs: DataFrame, model: Model, text: str = "text", key: str = "doc_i
 def op3_language_id(spark, sf_dir: str) -> DataFrame:
     """The language of every document, learned from those that are not held out."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text", "lang")
-    out = remainder(F.col("doc_id"), 4) == 2
+    out = F.coalesce(remainder(F.col("doc_id"), 4) == 2, F.lit(False))  # a row without a key is not held out
     model = fit(docs.where(~out))
     return predict(docs, model).select("doc_id", out.alias("held_out"), "lang_pred", "score")

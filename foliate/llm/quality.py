@@ -109,7 +109,10 @@ class Attention:
 def fit(docs: DataFrame, labels: DataFrame, text: str = "text", key: str = "doc_id", label: str = "quality") -> Attention:
     """Learn from the documents that ``labels`` (key, label 0 or 1) marks: at most MAX_TRAIN, chosen by a hash of their key.
 
-    Null labels don't count.  Without labels of both kinds every score is their share.
+    Of a longer document MAX_PASSAGES passages are learned from, evenly spread over it; scores
+    are of all passages.  Null labels and null keys don't count; of several labels of a key
+    the highest does, and every row of that key is learned from.  Other columns are not
+    read.  Without labels of both kinds every score is their share.
     """
     bounded_batches(docs.sparkSession)
     marked = labels.select(labels[key].alias("k"), labels[label].cast("double").alias("y")).where("k is not null and y in (0, 1)")
@@ -164,6 +167,6 @@ def op6_quality(spark, sf_dir: str) -> DataFrame:
     """The quality score of every document, learned from labels that are not held out."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet").select("doc_id", "quality")
-    held = remainder(F.col("doc_id"), 5) == 0
+    held = F.coalesce(remainder(F.col("doc_id"), 5) == 0, F.lit(False))  # a row without a key is not held out
     scored = score(docs, fit(docs, labels.where(~held)))
     return scored.select("doc_id", held.alias("held_out"), "score", F.when(F.col("score") >= THRESHOLD, 1).otherwise(0).cast("int").alias("predicted"))

@@ -175,7 +175,7 @@ def test_frames_are_transparent_and_disposed_of():
 
 def test_null_and_broken_media(spark):
     whole = media_gif.encode(media_gif.padded(b"text"))
-    table = spark.createDataFrame([(1, 4, whole), (2, 0, None), (3, 4, whole[:900]), (4, 4, b"no image"), (None, None, b"")], "doc_id long, n_bytes long, media binary")
+    table = spark.createDataFrame([(1, 4, whole), (2, 0, None), (3, 4, whole[:-8]), (4, 4, b"no image"), (None, None, b"")], "doc_id long, n_bytes long, media binary")
     got = {r["doc_id"]: r for r in rows(media_gif.media_digests(table))}
     assert got[1]["payload_bytes"] == 192 and got[1]["frames"] == 1 and got[1]["shown_at_ms"] == [0] and sum(got[1]["histogram"]) == 3 * 192
     assert got[2]["media_bytes"] is None and got[2]["payload_sha256"] is None
@@ -254,6 +254,18 @@ def test_language_of_hard_rows(spark, hard, docs, empty):
     assert langid.predict(empty, model).count() == 0
 
 
+def test_small_languages_have_their_own_words(spark, monkeypatch):
+    """A language with few documents keeps its words beside a large one, and copies don't fill the sample."""
+    monkeypatch.setattr(langid, "MAX_WORDS", 40)
+    monkeypatch.setattr(langid, "MAX_GRAMS", 200)
+    rng = np.random.default_rng(4)
+    texts = [("big", " ".join(f"qa{x}" for x in rng.integers(100, 400, 30))) for _ in range(300)] + [("big", "qa100 " * 30)] * 300 + [("small", "zu" + " zu".join("abcdef"))] * 3
+    df = spark.createDataFrame([(i, *t) for i, t in enumerate(texts)], "doc_id long, lang string, text string")
+    model = langid.fit(df, max_train=100)
+    assert model.score("zua zub zuc")[0] == "small" and model.score("zuq zur")[0] == "small" and model.score("qa200 qa999")[0] == "big"
+    assert langid.Model([], [], []).score("any")[0] == "und"
+
+
 def test_unseen_words_back_off():
     model = langid.Model(["a", "b"], [("xx", "a", 9), ("yy", "b", 9)], [("<qu", "a", 9), ("<qu", "b", 1), ("u", "b", 9), ("u", "a", 9)])
     assert model.score("xx")[0] == "a" and model.score("quz")[0] == "a" and model.score("yy quz yy")[0] == "b"
