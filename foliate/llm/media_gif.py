@@ -11,6 +11,7 @@ from __future__ import annotations
 import hashlib
 import zlib
 from collections.abc import Iterator
+from functools import lru_cache
 from typing import NamedTuple
 
 import numpy as np
@@ -55,6 +56,13 @@ def _widths(index: np.ndarray, minimum: int) -> np.ndarray:
     return np.clip(np.ceil(np.log2(entries)).astype(np.int64), minimum + 1, 12)
 
 
+@lru_cache(maxsize=16)
+def _places(minimum: int) -> tuple[np.ndarray, np.ndarray]:
+    """Bits and first bit of each of the first 4096 codes after a clear code."""
+    width = _widths(np.arange(4096), minimum)
+    return width, np.cumsum(width) - width
+
+
 def lzw_encode(samples: bytes, minimum: int = 8) -> bytes:
     """The code stream of samples below 2 ** minimum: known strings grow by a sample, and the table is cleared when it holds 4096."""
     clear = 1 << minimum
@@ -89,45 +97,61 @@ def lzw_encode(samples: bytes, minimum: int = 8) -> bytes:
     return sum(np.bincount((first >> 3) + k, spread >> 8 * k & 255, size + 3) for k in range(3))[:size].astype(np.uint8).tobytes()
 
 
+def _strings(codes: np.ndarray, clear: int, count: int) -> np.ndarray:
+    """The first ``count`` samples of the codes between two clear codes.
+
+    The table's entry k is the string of code k and the sample after it, that is a
+    stretch of the output.  So the length of a code's string follows from its entry's
+    code, and each sample from an earlier one; both chains are followed by doubling.
+    """
+    at = np.arange(len(codes))
+    entry = np.where(codes < clear, at, codes - clear - 2)  # a literal points at itself
+    if ((codes >= clear) & (entry >= at)).any():
+        raise ValueError("a code is not in the table")
+    length, to = (codes >= clear).astype(np.int64), entry
+    while (length[to] > 0).any():
+        length, to = length + length[to], to[to]
+    length += 1
+    first = np.cumsum(length) - length
+    use = int(np.searchsorted(first, count))
+    total = int(first[use - 1] + length[use - 1]) if use else 0
+    owner = np.repeat(np.arange(use), length[:use])
+    source = np.arange(total) + (first[entry[:use]] - first[:use])[owner]
+    out = codes[:use][owner]
+    while True:
+        copied = np.flatnonzero(out >= clear)
+        if not len(copied):
+            return out[:count].astype(np.uint8)
+        out[copied] = out[source[copied]]
+        source[copied] = source[source[copied]]
+
+
 def lzw_decode(data: bytes, minimum: int, count: int) -> np.ndarray:
     """The first ``count`` samples of a code stream with the minimum code size given."""
     clear, out, size, bit = 1 << minimum, [], 0, 0
-    base = [bytes([i]) for i in range(clear)] + [b"", b""]
-    table, before, place = list(base), b"", 0
+    held: list[np.ndarray] = []
+    place = 0
     raw = np.concatenate([np.frombuffer(data, np.uint8), np.zeros(4, np.uint8)]).astype(np.int64)
     while size < count:
         # up to 4096 codes whose widths follow from their place after the last clear code
-        width = _widths(np.arange(place, place + 4096), minimum)
-        first = bit + np.cumsum(width) - width
-        width = width[first + width <= 8 * len(data)]
-        if not len(width):
-            break
-        first = first[: len(width)]
+        width, first = _places(minimum) if not place else (_places(minimum)[0][-1:].repeat(4096), np.arange(4096) * 12)
+        most = int(np.searchsorted(first + width, 8 * len(data) - bit, "right"))
+        width, first = width[:most], first[:most] + bit
         byte = first >> 3
         codes = (raw[byte] | raw[byte + 1] << 8 | raw[byte + 2] << 16) >> (first & 7) & (1 << width) - 1
         marks = np.flatnonzero((codes == clear) | (codes == clear + 1))
         n = int(marks[0]) if len(marks) else len(codes)
-        done, used, put, add = len(out), len(table), out.append, table.append
-        for code in codes[:n].tolist():
-            if code < used:
-                entry = table[code]
-            elif code == used and before:
-                entry = before + before[:1]
-            else:
-                raise ValueError(f"code {code} is not in the table of {used}")
-            if before and used < 4096:
-                add(before + entry[:1])
-                used += 1
-            put(entry)
-            before = entry
-        size += sum(map(len, out[done:]))
-        if not len(marks):
+        held.append(codes[:n])
+        if not len(marks) and len(codes):
             place, bit = place + n, int(first[-1] + width[-1])
             continue
-        if codes[n] != clear:
+        if place or n:
+            out.append(_strings(np.concatenate(held) if place else held[-1], clear, count - size))
+            size += len(out[-1])
+        if not len(codes) or codes[n] != clear:
             break
-        table, before, place, bit = list(base), b"", 0, int(first[n] + width[n])
-    return np.frombuffer(b"".join(out), np.uint8)[:count]
+        held, place, bit = [], 0, int(first[n] + width[n])
+    return np.concatenate([np.zeros(0, np.uint8), *out])
 
 
 def encode(samples: bytes, width: int = WIDTH, frame_rows: int = FRAME_ROWS) -> bytes:
