@@ -42,6 +42,8 @@ BOLD_OPTION = r"^[-*+]\s+\*\*([A-Da-d])\*\*\s+(.+)$"
 
 # --- fixed values: answers and solutions ----------------------------------------
 SOLUTION_HEADING = r"(?i)^#{0,6}\s*(Solutions?|Answer\s*Key|Answers?\s*(?:Key|Sheet)?|Answer\s*Sheet)\s*:?\s*$"
+#: The mapper's own heading, which also knows explanations.
+MAPPED_HEADING = r"(?i)^#{0,6}\s*(Solutions?|Answer\s*Key|Answers?\s*(?:Key|Sheet)?|Answer\s*Sheet|Explanations?)\s*:?\s*$"
 SOLUTION_ANCHOR = r"(?i)^S\s*(\d+)\s*[\.\):\-]"
 ANSWER_MARKER = r"(?i)\bAns(?:wer)?\s*[\.\:]?\s*\(?\s*([A-Da-d])\s*\)?"
 ANSWER_FORMS = (
@@ -54,6 +56,8 @@ COMPACT_KEY = r"^(\d+)\s*[\.\)\-]\s*([A-Ea-e])\b"
 KEY_NUMERIC = r"(?i)^(\d+)\s*[\.\)]\s*([A-Da-d])\s*\.?\s*$"
 KEY_INLINE = r"(?i)^(\d+)\s*[\.\)]\s+([A-Da-d])\b"
 KEY_BARE = r"(?i)^\d{1,3}\s*\.\s*[A-Da-d]\s*\.?$"
+#: Words that mark a question even in a table.
+ASKING = r"(?i)\b(select|which|what|who|how|find|identify|arrange|evaluate)\b"
 KEY_PAIR = r"(\d{1,3})\s*\.\s*([A-Da-d])\b"
 
 # --- fixed values: notices and metadata -------------------------------------------
@@ -102,3 +106,34 @@ BLOCK_TYPES = {
     "noise_candidate": "noise_block",
     "text": "text_block",
 }
+
+# --- fixed values: sections of evidence --------------------------------------------
+SECTION_SOLUTION = r"(?i)^(?:#{1,6}\s*)?(?:\*\*)?\s*(solutions?|answers?(?:\s*key)?|answer\s*key|answer\s*sheet|explanations?|detailed\s+solutions?|answers?\s+with\s+explanations?)\s*:?\s*(?:\*\*)?\s*$"
+SECTION_KEY = r"(?i)^(?:#{1,6}\s*)?(?:\*\*)?\s*answer\s*key\s*(?:\*\*)?\s*$"
+OTHER_HEADING = r"(?i)\b(?:directions?|instructions?|questions?\s+paper|practice\s+questions?|quantitative\s+aptitude|general\s+awareness|english\s+language|reasoning|syllabus|index|contents?|topic|chapter)\b"
+SECTION_NOISE = r"(?i)(?:free\s+mock|download\s+pdf|subscribe\s+now|previous\s+papers?)"
+SOLUTION_NAMES = ("explanations", "explanation", "solutions", "solution", "answers", "answerkey", "answerswithexplanations", "answerwithexplanations", "detailedsolution", "detailedsolutions")
+STRONG_NAMES = ("answerskey",)
+NUMBER_PREFIX = r"(?i)^(?:Q\.?\s*)?(\d{1,3})\s*[\.\)]\s*\*{0,2}\s*"
+SOLUTION_START = r"(?i)^(?:\|?\s*)?(?:\*\*)?\s*(?:Q\.?\s*)?(\d{1,3})\s*[\.\)]\s*(?:\*\*)?\s*(?:Ans(?:wer)?[\.\:]?\s*)?(?:\(\s*\*?([A-Ea-e])\s*\*?\s*\)|([A-Ea-e])\s*[\)\.:]|Answer\s*:\s*([A-Ea-e])\b)"
+
+# --- fixed values: anchors and lines of question windows ------------------------------
+WINDOW_ANCHOR = r"(?i)^(?:\|+\s*)*(?:[-•*]\s*)?(?:\*\*)?(?:Q\.?\s*)?(\d{1,3})\s*[\.\)]"
+INLINE_ANCHOR = r"(?i)\bQ\.?\s*(\d{1,3})\b"
+LETTER_ANCHOR = r"(?i)\bQ\.?\s*\d"
+STRONG_ANCHOR = r"(?i)^(?:\|+\s*)*(?:[-•*]\s*)?(?:\*\*)?\s*(?:Q\.?\s*)?\d{1,3}\s*[\.\)]\s+\S"
+EXPLICIT_ANCHOR = r"(?i)^(?:\|+\s*)*(?:[-•*]\s*)?(?:\*\*)?\s*Q\.?\s*(\d{1,3})\b"
+PIPE_ANCHOR = r"(?i)^\|\s*Q\.?\s*(\d{1,3})\s*\|"
+BARE_OPTION = r"(?i)^(?:\d+\.\s*\d|\(\*?[A-Ea-e]\*?\)\s*|\([A-Ea-e]\)\s*|\d+\.\s+[A-Za-z]{1,25}$)"
+ANCHOR_INSTRUCTION = r"(?i)^\s*(?:[-•*]\s*)?(?:\*\*)?\s*\d{1,3}\s*[\.\)]\s+.*(?:options?\s+shown|tick\s+icon|correct\s+answer\s+will|incorrect\s+answer\s+will|negative\s+mark)"
+KEY_ANCHOR = r"(?i)^(?:\|+\s*)?(?:[-•*]\s*)?(?:\*\*)?(?:Q\.?\s*)?(\d{1,3})\s*[\.\)]\s*(.*)$"
+KEY_REST = r"(?i)^[A-D]\s*(?:\|.*)?$"
+WINDOW_NOISE = r"(?i)(?:free\s+mock|download\s+pdf|www\.|subscribe\s+now|previous\s+papers?|all\s+exams|one\s+subscription|attempt\s+free\s+mock|personalised\s+report|unlimited\s+re-?attempt|exam\s+covered|refund|mock\s+tests?)"
+WINDOW_OPTION = r"(?i)(?:^|\s|>|-\s*)(?:(\d+)\s*[\.\)]\s*\S|\(\*?[A-Da-d]\*?\)\s*\S|[A-Da-d]\.\s+\S)"
+WINDOW_LABELS = (r"(?:^|\s)(\d)\s*[\.\)]\s*\S", r"\(\*?([A-Da-d])\*?\)\s*\S", r"(?:^|\s|-\s*)([A-Da-d])\.\s+\S")
+NUMBERED_ANSWER = r"(?i)\bans\s*\d"
+STATUS_LINE = r"(?i)status\s*:"
+QUESTION_ID = r"(?i)question\s*id"
+SOLUTION_NUMBER = r"(?i)^(?:\|?\s*)?(?:\*\*)?\s*(?:Q\.?\s*)?(\d{1,3})\s*[\.\)]"
+SOLUTION_LABEL = r"(?i)(?:Ans(?:wer)?[\.\:]?\s*)?(?:\(\s*\*?([A-Ea-e])\s*\*?\s*\)|([A-Ea-e])\s*[\)\.:]|Answer\s*:\s*([A-Ea-e])\b)"
+SOLUTION_NOISE = r"(?i)(?:free\s+mock|download\s+pdf|www\.|subscribe\s+now)"

@@ -118,6 +118,13 @@ def is_answer_key_line(text: Column) -> Column:
     return (bare != "") & (has(bare, P.KEY_BARE) | (pairs >= 2) | ((pairs == 1) & (short < 48) & bare.contains("|")) | ((pairs == 1) & (short < 16)))
 
 
+def is_contaminated(text: Column) -> Column:
+    """A question text that looks like what is left of an answer key's table."""
+    bare = strip(F.coalesce(text, F.lit("")))
+    table = bare.startswith("|") & (key_pairs(bare) >= 1) & (F.char_length(bare) < 120) & ~has(bare, P.ASKING)
+    return is_answer_key_line(bare) | table
+
+
 def role_hints(raw: Column, plain: Column, plainer: Column) -> Column:
     """All roles a line may have, in order; empty for a blank line."""
     bare = strip(raw)

@@ -21,7 +21,7 @@ CUT = "\x01"
 def solution_lines(content: DataFrame) -> DataFrame:
     """Lines from the solution heading on; all lines where a document has none."""
     whole = W.partitionBy("doc_id")
-    heading = (F.col("line_type") == "solution_section_heading") | T.has(F.col("plain"), P.SOLUTION_HEADING)
+    heading = (F.col("line_type") == "solution_section_heading") | T.has(F.col("plain"), P.MAPPED_HEADING)
     marked = content.withColumn("solution_start", F.min(F.when(heading, F.col("line_number"))).over(whole))
     return marked.where(F.col("solution_start").isNull() | (F.col("line_number") >= F.col("solution_start")))
 
@@ -73,9 +73,29 @@ def best_answers(found: DataFrame) -> DataFrame:
     return by.select("doc_id", "question_number", conflict.alias("conflict"), F.when(~conflict, F.col("best.answer_key")).alias("answer_key"), F.when(~conflict, F.col("best.confidence")).alias("answer_confidence"), F.when(~conflict, F.col("best.source_line")).alias("answer_line"))
 
 
+def own_key(sols: DataFrame) -> DataFrame:
+    """Add own_key: the answer that a solution's text gives for the solution's own number."""
+    whole = T.target(F.col("raw_text"))
+    forms = [F.when(T.has(whole, p), F.struct(T.part(whole, p).cast("int").alias("number"), F.upper(T.part(whole, p, 2)).alias("key"))) for p, _ in P.ANSWER_FORMS]
+    found = F.coalesce(*forms)
+    return sols.withColumn("own_key", F.when(found["number"] == F.col("question_number"), found["key"]))
+
+
 def best_solutions(sols: DataFrame) -> DataFrame:
-    """The first solution of each number, and how many there are."""
-    return sols.groupBy("doc_id", "question_number").agg(F.min_by(F.struct("raw_text", "start_line", "end_line"), "start_line").alias("solution"), F.count(F.lit(1)).alias("solutions"))
+    """The first solution of each number, how many there are, and whether their answers and texts are the same."""
+    return own_key(sols).groupBy("doc_id", "question_number").agg(
+        F.min_by(F.struct("raw_text", "start_line", "end_line"), "start_line").alias("solution"),
+        F.count(F.lit(1)).alias("solutions"),
+        (F.count_distinct(F.coalesce("own_key", F.lit(""))) <= 1).alias("answers_identical"),
+        (F.count_distinct(F.coalesce(F.sha2("raw_text", 256), F.lit(""))) <= 1).alias("texts_identical"),
+    )
+
+
+def duplicate_solutions(sols: DataFrame) -> DataFrame:
+    """Numbers with several solutions, and what is to be done about them: identical ones are harmless, others a conflict."""
+    same = F.col("answers_identical") & F.col("texts_identical")
+    decision = F.when(same, "harmless_duplicate_same_text").otherwise("duplicate_conflict")
+    return best_solutions(sols).where("question_number is not null and solutions > 1").select("doc_id", "question_number", "solutions", "answers_identical", "texts_identical", F.col("solution.start_line").alias("chosen_line"), decision.alias("safety_decision"))
 
 
 def mappings(cands: DataFrame, found: DataFrame, sols: DataFrame) -> DataFrame:
@@ -97,7 +117,7 @@ def mappings(cands: DataFrame, found: DataFrame, sols: DataFrame) -> DataFrame:
     extra = F.array_compact(F.array(F.when(conflict, F.lit("conflicting_answer_keys")), F.when(F.col("duplicate"), F.lit("duplicate_question_candidate_number")), F.when(low, F.lit("low_confidence_answer"))))
     total = F.coalesce("answer_confidence", F.lit(0.0)) + F.when(solution, SOLUTION_CONFIDENCE).otherwise(0.0) + F.col("confidence")
     share = total / (F.lit(1) + answer.cast("int") + solution.cast("int"))
-    return joined.select("doc_id", "seq", "question_id", "question_number", "answer_key", "answer_confidence", "answer_line", "solution", F.coalesce("solutions", F.lit(0)).alias("solutions"), status.alias("mapping_status"), share.alias("mapping_confidence"), F.array_sort(F.array_distinct(F.concat("own", extra))).alias("mapping_issues"))
+    return joined.select("doc_id", "seq", "question_id", "question_number", "answer_key", "answer_confidence", "answer_line", "solution", F.coalesce("solutions", F.lit(0)).alias("solutions"), F.coalesce(~(F.col("answers_identical") & F.col("texts_identical")), F.lit(False)).alias("solution_conflict"), status.alias("mapping_status"), share.alias("mapping_confidence"), F.array_sort(F.array_distinct(F.concat("own", extra))).alias("mapping_issues"))
 
 
 def unmatched_solutions(cands: DataFrame, sols: DataFrame) -> DataFrame:

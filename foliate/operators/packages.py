@@ -67,13 +67,14 @@ def eligibility(items: DataFrame) -> DataFrame:
     visual = T.is_visual(F.col("question_text_raw")) | (F.col("assets") > 0)
     some = lambda *pairs: F.array_compact(F.array(*(F.when(c, F.lit(i)) for c, i in pairs)))
     repeated = F.col("solutions") > 1
+    conflict = repeated & F.col("solution_conflict")
     blocking = F.concat(
         F.array_intersect("issues", F.array(*map(F.lit, BLOCKING))),
         some(
             (T.strip(F.col("question_text_raw")) == "", "missing_question_text"),
             (status == "incomplete", "validation_incomplete"),
             (status == "duplicate_conflict", "validation_duplicate_conflict"),
-            (repeated, "duplicate_solution_conflict"),
+            (conflict, "duplicate_solution_conflict"),
         ),
     )
     held = F.arrays_overlap("issues", F.array(*map(F.lit, BLOCKING)))
@@ -82,6 +83,7 @@ def eligibility(items: DataFrame) -> DataFrame:
         some(
             (status == "needs_review", "validation_needs_review"),
             (visual & ~held & (status != "validated"), "visual_question_uncertain"),
+            (repeated & ~conflict, "duplicate_solution_harmless"),
             (F.col("answer_key").isNull(), "question_only_no_answer"),
             (F.col("item_confidence") < ELIGIBLE_CONFIDENCE, "low_confidence"),
         ),
@@ -104,7 +106,7 @@ def slots(items: DataFrame, expected: DataFrame) -> DataFrame:
     Items rank by clean text, four options, answer, solution, few issues, and place.
     """
     usable = F.size(F.filter("options", lambda o: o["key"].isNotNull() & (T.strip(o["text"]) != "")))
-    contaminated = T.is_answer_key_line(F.col("question_text_raw"))
+    contaminated = T.is_contaminated(F.col("question_text_raw"))
     score = F.when(contaminated, F.struct(F.lit(-3).alias("a"), F.lit(-1).alias("b"), F.lit(-1).alias("c"), F.lit(-1).alias("d"), F.lit(-999).alias("e"))).otherwise(
         F.struct((T.strip(F.col("question_text_raw")) != "").cast("int").alias("a"), F.coalesce((usable >= 4).cast("int"), F.lit(0)).alias("b"), F.col("answer_key").isNotNull().cast("int").alias("c"), F.col("solution").isNotNull().cast("int").alias("d"), (-F.size("issues")).alias("e"))
     )

@@ -28,7 +28,7 @@ def answer_key_candidates(spark, sf_dir):
 
 def _numbered():
     n = F.col("line_number") + F.col("doc_id")
-    key, rest = (n % 6 + 1).cast("string"), F.substring("raw", 1, 20)
+    key, rest = (n % 6 + 1).cast("string"), F.col("raw")
     return F.when(n % 5 == 0, F.concat(key, F.lit(". "), rest)).when(n % 5 == 1, F.concat(F.lit("Ans "), key, F.lit(") "), rest)).when(n % 5 == 2, F.concat(F.lit("( "), key, F.lit(" )<br>"), rest)).when(n % 5 == 3, F.concat(key, F.lit(" "), rest)).otherwise(F.concat(F.lit("answer"), key, F.lit("."), rest))
 
 
@@ -87,7 +87,7 @@ ORACLES = {
       ), e AS (SELECT doc_id, line_number, in_section, {_EVERY} AS ev FROM s WHERE in_section OR {_KEYED} OR pairs >= 2 OR (pairs = 1 AND length(bare) < 40 AND {OL.has('bare', D.LONE_KEY)})
       ), f AS (SELECT doc_id, line_number, in_section, generate_subscripts(ev, 1) AS pos, unnest(ev) AS f FROM e)
       SELECT doc_id, f.n AS question_number, f.k AS answer_key, line_number, CASE WHEN in_section THEN CAST(0.9 AS DOUBLE) ELSE 0.75 END AS confidence FROM f WHERE f.n BETWEEN 1 AND {D.MOST_NUMBER} QUALIFY row_number() OVER (PARTITION BY doc_id, f.n, f.k ORDER BY line_number, pos) = 1""",
-    "numeric_options": f"""WITH {OL.CLASSIFIED}, n AS (SELECT doc_id, line_number, line_number + doc_id AS n, CAST((line_number + doc_id) % 6 + 1 AS STRING) AS key, substr(raw, 1, 20) AS rest FROM classified WHERE line_type = 'option_candidate'), t AS (SELECT doc_id, line_number, {_OPTION_TEXT} AS t FROM n), b AS (SELECT doc_id, line_number, {_BARE} AS b FROM t),
+    "numeric_options": f"""WITH {OL.CLASSIFIED}, n AS (SELECT doc_id, line_number, line_number + doc_id AS n, CAST((line_number + doc_id) % 6 + 1 AS STRING) AS key, raw AS rest FROM classified WHERE line_type = 'option_candidate'), t AS (SELECT doc_id, line_number, {_OPTION_TEXT} AS t FROM n), b AS (SELECT doc_id, line_number, {_BARE} AS b FROM t),
       k AS (SELECT doc_id, line_number, {_FORM(1)} AS key, {OL.strip(_FORM(2))} AS text FROM b) SELECT doc_id, line_number, key, CASE WHEN regexp_full_match(key, '[1-4]') THEN translate(key, '1234', 'ABCD') END AS canonical_key, text FROM k""",
     "layout_signals": f"""WITH {OL.CLASSIFIED}, r AS (SELECT doc_id, line_number, line_type, detected_label, {_SHEET_RAW} AS raw FROM classified), b AS (SELECT *, {OL.strip('raw')} AS b, CASE WHEN line_type = 'question_anchor' THEN CAST(regexp_extract(detected_label, '(\\d+)', 1) AS INT) END AS number FROM r),
       g AS (SELECT *, CASE WHEN {OL.has('raw', D.SHEET)} AND NOT {EQ._INSTR} THEN 1 ELSE 0 END + CASE WHEN contains(lower(raw), 'question id') THEN 1 ELSE 0 END AS hits, {_METADATA} AS chosen, line_number - lag(line_number) OVER (PARTITION BY doc_id, number ORDER BY line_number) AS gap FROM b),

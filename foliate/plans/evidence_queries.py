@@ -59,11 +59,6 @@ def _windows(spark, sf_dir):
     return V.windows(lines, V.anchors(lines, DISTANCE))
 
 
-def question_windows(spark, sf_dir):
-    """Question windows by the earliest anchor of each number, with the options found."""
-    return _windows(spark, sf_dir)
-
-
 def binder_chunks(spark, sf_dir):
     """Windows packed into chunks of bounded size."""
     return V.chunks(_windows(spark, sf_dir), CHUNK)
@@ -153,7 +148,7 @@ def option_keys(spark, sf_dir):
 
 QUERIES = {
     f.__name__: f
-    for f in (layout_lines, layout_summary, ocr_merge, question_windows, binder_chunks, number_ranges, public_questions, public_status_counts, public_audit, public_json, review_export, review_merge, solution_overlap, chosen_options, language_profiles, option_keys)
+    for f in (layout_lines, layout_summary, ocr_merge, binder_chunks, number_ranges, public_questions, public_status_counts, public_audit, public_json, review_export, review_merge, solution_overlap, chosen_options, language_profiles, option_keys)
 }
 
 _NUMBERED = LINES_SQL.split("placed AS")[0].rstrip().rstrip(",")
@@ -187,7 +182,6 @@ _WORD = OL.strip(f"regexp_replace({OL.strip('label')}, {OL.q(OL.P.OPTION_WORD)},
 ORACLES = {
     "layout_lines": f"WITH {_NUMBERED} SELECT doc_id, CAST((i - i % 10) / 10 AS INT) + 1 AS page_number, CAST(i % 10 AS INT) AS line_index, line AS text_raw, CAST(i AS DOUBLE) AS x0, CAST(i * 2 AS DOUBLE) AS y0, CAST(i + 10 AS DOUBLE) AS x1, CAST(i * 2 + 3 AS DOUBLE) AS y1 FROM numbered",
     "layout_summary": f"WITH {_NUMBERED} SELECT doc_id, CAST((max(i) - max(i) % 10) / 10 AS INT) + 1 AS pages, CAST(count(*) AS INT) AS lines, CASE WHEN doc_id % 2 = 0 THEN 1 ELSE 0 END AS tables, 0 AS paragraphs, CASE WHEN doc_id % 5 = 0 THEN 1 ELSE 0 END AS figures FROM numbered GROUP BY doc_id",
-    "question_windows": f"WITH {_WINDOWS} SELECT *, CASE WHEN options_found >= 4 THEN 'ready' ELSE 'incomplete_options' END AS status, CASE WHEN options_found >= 4 THEN CAST(0.8 AS DOUBLE) ELSE 0.4 END AS confidence FROM wins",
     "binder_chunks": f"""WITH RECURSIVE {_WINDOWS}, ordered AS (SELECT doc_id, window_id, n_lines, row_number() OVER (PARTITION BY doc_id ORDER BY start_line) AS rn FROM wins
       ), f AS (SELECT doc_id, window_id, n_lines, rn, 0 AS chunk_index, n_lines AS size FROM ordered WHERE rn = 1 UNION ALL
         SELECT o.doc_id, o.window_id, o.n_lines, o.rn, CASE WHEN f.size + o.n_lines <= {CHUNK} THEN f.chunk_index ELSE f.chunk_index + 1 END, CASE WHEN f.size + o.n_lines <= {CHUNK} THEN f.size + o.n_lines ELSE o.n_lines END FROM f JOIN ordered o ON o.doc_id = f.doc_id AND o.rn = f.rn + 1)

@@ -111,7 +111,8 @@ def _target(expr: str) -> str:
     return target(expr)
 
 
-MAPPINGS = f"""{CANDIDATES}, sol_lines AS (SELECT * FROM sectioned WHERE ss IS NULL OR line_number >= ss
+MAPPINGS = f"""{CANDIDATES}, mapped_section AS (SELECT *, min(line_number) FILTER (line_type = 'solution_section_heading' OR {has('plain', P.MAPPED_HEADING)}) OVER (PARTITION BY doc_id) AS ms FROM content
+), sol_lines AS (SELECT * FROM mapped_section WHERE ms IS NULL OR line_number >= ms
 ), sol_pieces AS (
   SELECT doc_id, line_number, page_number, CAST(generate_subscripts(p, 1) AS INT) AS part, unnest(p) AS piece
   FROM (SELECT *, string_split(regexp_replace(raw, {q('(' + mapping.FIND_ANCHOR + ')')}, chr(1) || '\\1', 'g'), chr(1)) AS p FROM sol_lines)
@@ -136,9 +137,10 @@ MAPPINGS = f"""{CANDIDATES}, sol_lines AS (SELECT * FROM sectioned WHERE ss IS N
   SELECT doc_id, question_number, count(DISTINCT answer_key) > 1 AS conflict, CASE WHEN count(DISTINCT answer_key) = 1 THEN min(answer_key) END AS answer_key,
     CASE WHEN count(DISTINCT answer_key) = 1 THEN max(confidence) END AS answer_confidence FROM answers GROUP BY doc_id, question_number
 ), best_solutions AS (
-  SELECT doc_id, question_number, count(*) AS solutions, min(start_line) AS solution_line FROM solutions GROUP BY doc_id, question_number
+  SELECT doc_id, question_number, count(*) AS solutions, min(start_line) AS solution_line, count(DISTINCT coalesce(CASE WHEN f.number = question_number THEN f.key END, '')) <= 1 AS answers_identical, count(DISTINCT coalesce(raw_text, '')) <= 1 AS texts_identical
+  FROM (SELECT *, {_answer(_target('raw_text'))} AS f FROM solutions) GROUP BY doc_id, question_number
 ), mapped0 AS (
-  SELECT c.*, count(*) OVER (PARTITION BY c.doc_id, c.question_number) > 1 AS twice, coalesce(a.conflict, false) AS conflict, a.answer_key, a.answer_confidence, coalesce(s.solutions, 0) AS solutions, s.solution_line,
+  SELECT c.*, count(*) OVER (PARTITION BY c.doc_id, c.question_number) > 1 AS twice, coalesce(a.conflict, false) AS conflict, a.answer_key, a.answer_confidence, coalesce(s.solutions, 0) AS solutions, coalesce(NOT (s.answers_identical AND s.texts_identical), false) AS solution_conflict, s.solution_line,
     a.answer_key IS NOT NULL AS answered, s.solution_line IS NOT NULL AS solved, a.answer_key IS NOT NULL AND a.answer_confidence < {mapping.LOW_ANSWER} AS low
   FROM candidates c LEFT JOIN best_answers a USING (doc_id, question_number) LEFT JOIN best_solutions s USING (doc_id, question_number)
 ), mappings AS (
@@ -161,9 +163,9 @@ ITEMS = f"""{MAPPINGS}, items0 AS (
 
 LANES = f"""{ITEMS}, reasons AS (
   SELECT *, list_sort(list_distinct(list_concat(list_filter(issues, lambda x: list_contains({_list(packages.BLOCKING)}, x)), list_filter([CASE WHEN {strip('stem')} = '' THEN 'missing_question_text' END,
-      CASE WHEN validation_status = 'incomplete' THEN 'validation_incomplete' END, CASE WHEN validation_status = 'duplicate_conflict' THEN 'validation_duplicate_conflict' END, CASE WHEN solutions > 1 THEN 'duplicate_solution_conflict' END], lambda x: x IS NOT NULL)))) AS blocking_reasons,
+      CASE WHEN validation_status = 'incomplete' THEN 'validation_incomplete' END, CASE WHEN validation_status = 'duplicate_conflict' THEN 'validation_duplicate_conflict' END, CASE WHEN solutions > 1 AND solution_conflict THEN 'duplicate_solution_conflict' END], lambda x: x IS NOT NULL)))) AS blocking_reasons,
     list_sort(list_distinct(list_concat(list_filter(issues, lambda x: list_contains({_list(packages.REVIEWED)}, x)), list_filter([CASE WHEN validation_status = 'needs_review' THEN 'validation_needs_review' END,
-      CASE WHEN (visual OR assets > 0) AND NOT list_has_any(issues, {_list(packages.BLOCKING)}) AND validation_status <> 'validated' THEN 'visual_question_uncertain' END, CASE WHEN NOT answered THEN 'question_only_no_answer' END,
+      CASE WHEN (visual OR assets > 0) AND NOT list_has_any(issues, {_list(packages.BLOCKING)}) AND validation_status <> 'validated' THEN 'visual_question_uncertain' END, CASE WHEN solutions > 1 AND NOT solution_conflict THEN 'duplicate_solution_harmless' END, CASE WHEN NOT answered THEN 'question_only_no_answer' END,
       CASE WHEN item_confidence < {packages.ELIGIBLE_CONFIDENCE} THEN 'low_confidence' END], lambda x: x IS NOT NULL)))) AS review_reasons FROM items
 ), lanes AS (
   SELECT *, CASE WHEN len(blocking_reasons) > 0 THEN 'blocked' WHEN len(review_reasons) > 0 THEN 'review_required' ELSE 'eligible_for_ingestion' END AS eligibility_status FROM reasons

@@ -65,6 +65,11 @@ def answer_solution_map(spark, sf_dir):
     return out.select("doc_id", "question_id", "question_number", "answer_key", "answer_confidence", F.col("solution.start_line").alias("solution_line"), "solutions", "mapping_status", F.round("mapping_confidence", 6).alias("mapping_confidence"))
 
 
+def duplicate_solutions(spark, sf_dir):
+    """Numbers with several solutions and whether these conflict."""
+    return M.duplicate_solutions(M.solutions(tables.content(spark, sf_dir)))
+
+
 def unmatched_solutions(spark, sf_dir):
     """Solution numbers without a question."""
     content, cands = _candidates(spark, sf_dir)
@@ -111,13 +116,14 @@ def artifact_reconciliation(spark, sf_dir):
 
 QUERIES = {
     f.__name__: f
-    for f in (question_candidates, candidate_metrics, sequence_issues, solution_segments, answer_solution_map, unmatched_solutions, final_items, package_counts, eligibility_lanes, pattern_input, canonical_slots, artifact_reconciliation)
+    for f in (question_candidates, candidate_metrics, sequence_issues, solution_segments, answer_solution_map, duplicate_solutions, unmatched_solutions, final_items, package_counts, eligibility_lanes, pattern_input, canonical_slots, artifact_reconciliation)
 }
 
 _EXPECTED = "expected AS (SELECT doc_id, CAST(count(*) + doc_id % 4 - 1 AS INT) AS expected_count FROM items GROUP BY doc_id)"
 _JOINED = "coalesce(array_to_string({}, '+'), '') AS {}"
 _NOISY = "noise_assets > 0 OR list_contains(issues, 'possible_noise_asset_after_options') OR len(list_filter(issues, lambda x: contains(x, 'noise_inside'))) > 0"
 ORACLES = {
+    "duplicate_solutions": f"WITH {O.MAPPINGS} SELECT doc_id, question_number, solutions, answers_identical, texts_identical, solution_line AS chosen_line, CASE WHEN answers_identical AND texts_identical THEN 'harmless_duplicate_same_text' ELSE 'duplicate_conflict' END AS safety_decision FROM best_solutions WHERE question_number IS NOT NULL AND solutions > 1",
     "question_candidates": f"WITH {O.CANDIDATES} SELECT doc_id, question_id, question_number, md5(raw_text) AS raw_md5, md5(stem) AS stem_md5, option_texts, assets, noise_assets, start_line, end_line, page_start, page_end, round(confidence, 6) AS confidence, review_status, {_JOINED.format('issues', 'issues')} FROM candidates",
     "candidate_metrics": f"""WITH {O.CANDIDATES} SELECT doc_id, count(*) AS total_candidates, count(*) FILTER (review_status = 'candidate_valid') AS valid_candidates, count(*) FILTER (review_status = 'candidate_needs_review') AS needs_review_candidates,
       count(*) FILTER (review_status = 'candidate_incomplete') AS incomplete_candidates, count(*) FILTER (review_status = 'candidate_duplicate') AS duplicate_candidates, count(*) FILTER (assets > 0) AS candidates_with_images,

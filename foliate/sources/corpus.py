@@ -15,7 +15,8 @@ placed AS (
   SELECT doc_id, i, line, CAST(i % 6 AS INT) AS m, CAST((i - i % 6) / 6 AS INT) + 1 AS n FROM numbered
 ), asked AS (
   SELECT *, CASE WHEN doc_id % 7 = 3 AND n = 3 THEN 2 WHEN doc_id % 11 = 5 AND n >= 2 THEN n + 1 ELSE n END AS q,
-         substr('abcd', CAST(1 + (doc_id + n) % 4 AS INT), 1) AS right_key FROM placed
+         substr('abcd', CAST(1 + (doc_id + n) % 4 AS INT), 1) AS right_key,
+         CAST((length(line) - length(line) % 2) / 2 AS INT) AS half FROM placed
 ), laid AS (
   SELECT doc_id, i * 10 + 1 AS ord, '<!-- PageNumber: ' || CAST(CAST((i - i % 12) / 12 AS INT) + 1 AS STRING) || ' -->' AS raw FROM asked WHERE i % 12 = 0
   UNION ALL
@@ -25,27 +26,31 @@ placed AS (
          WHEN m = 0 AND doc_id % 5 = 2 THEN 'Question No. ' || CAST(q AS STRING) || ' ' || line
          WHEN m = 0 AND doc_id % 5 = 3 THEN '**Que. ' || CAST(q AS STRING) || '** ' || line
          WHEN m = 0 THEN '(' || CAST(q AS STRING) || ') ' || line
-         WHEN m = 4 AND doc_id % 9 = 4 THEN ''
-         WHEN m = 2 AND doc_id % 13 = 6 THEN '| (b) ' || substr(line, 1, 12) || '<br>' || substr(line, 13, 12) || ' | --- | (c) ' || substr(line, 25, 12) || ' |'
-         WHEN m BETWEEN 1 AND 4 AND doc_id % 4 = 0 THEN '(' || substr('abcd', m, 1) || ') ' || substr(line, 1, 40)
-         WHEN m BETWEEN 1 AND 4 AND doc_id % 4 = 1 THEN substr('ABCD', m, 1) || '. ' || substr(line, 1, 40)
-         WHEN m BETWEEN 1 AND 4 AND doc_id % 4 = 2 THEN substr('abcd', m, 1) || ') ' || substr(line, 1, 40)
-         WHEN m BETWEEN 1 AND 4 THEN '- **(' || substr('abcd', m, 1) || ')** ' || substr(line, 1, 40)
-         WHEN (doc_id + n) % 6 = 0 THEN '![figure](assets/p' || CAST(n AS STRING) || '.png)'
-         WHEN (doc_id + n) % 6 = 1 THEN '$$x = ' || CAST(n AS STRING) || '$$'
-         WHEN (doc_id + n) % 6 = 2 THEN 'Visit us at www.example.org/' || CAST(n AS STRING)
-         WHEN (doc_id + n) % 6 = 3 THEN '## Section ' || CAST(n AS STRING)
-         WHEN (doc_id + n) % 6 = 4 THEN '| ' || substr(line, 1, 20) || ' | ' || substr(line, 21, 20) || ' |'
+         WHEN m = 2 AND doc_id % 13 = 6 THEN '| (b) ' || substr(line, 1, half) || '<br>x | --- | (c) ' || substr(line, half + 1) || ' |'
+         WHEN m BETWEEN 1 AND 4 AND doc_id % 4 = 0 THEN '(' || substr('abcd', m, 1) || ') ' || line
+         WHEN m BETWEEN 1 AND 4 AND doc_id % 4 = 1 THEN substr('ABCD', m, 1) || '. ' || line
+         WHEN m BETWEEN 1 AND 4 AND doc_id % 4 = 2 THEN substr('abcd', m, 1) || ') ' || line
+         WHEN m BETWEEN 1 AND 4 THEN '- **(' || substr('abcd', m, 1) || ')** ' || line
+         WHEN (doc_id + n) % 6 = 0 THEN '![figure](assets/p' || CAST(n AS STRING) || '.png) ' || line
+         WHEN (doc_id + n) % 6 = 1 THEN '$$x = ' || CAST(n AS STRING) || '$$ ' || line
+         WHEN (doc_id + n) % 6 = 2 THEN 'Visit us at www.example.org/' || CAST(n AS STRING) || ' ' || line
+         WHEN (doc_id + n) % 6 = 3 THEN '## Section ' || CAST(n AS STRING) || ' ' || line
+         WHEN (doc_id + n) % 6 = 4 THEN '| ' || substr(line, 1, half) || ' | ' || substr(line, half + 1) || ' |'
          ELSE line END
   FROM asked
   UNION ALL
-  SELECT doc_id, 1000000000, '### Solutions' FROM asked WHERE i = 0
+  SELECT doc_id, i * 10 + 6, '' FROM asked WHERE m = 4 AND doc_id % 9 = 4
+  UNION ALL
+  SELECT doc_id, 1000000000, CASE doc_id % 6 WHEN 1 THEN '### Explanations' WHEN 2 THEN '**Answers with Explanations**' WHEN 3 THEN '# Answer Key' ELSE '### Solutions' END FROM asked WHERE i = 0
   UNION ALL
   SELECT doc_id, 1000000001 + i * 10, CASE WHEN (doc_id + q) % 8 = 7 THEN 'Ans. (' || right_key || ')'
-    WHEN (doc_id + q) % 8 = 6 THEN 'S' || CAST(q AS STRING) || '. ' || substr(line, 1, 60)
-    ELSE 'S' || CAST(q AS STRING) || '. Ans(' || right_key || ') ' || substr(line, 1, 60) END
+    WHEN (doc_id + q) % 8 = 6 THEN 'S' || CAST(q AS STRING) || '. ' || line
+    WHEN doc_id % 6 IN (1, 2) THEN '**' || CAST(q AS STRING) || '.** (*' || right_key || '*) ' || line
+    ELSE 'S' || CAST(q AS STRING) || '. Ans(' || right_key || ') ' || line END
   FROM asked WHERE m = 0 AND (doc_id + q) % 10 <> 9
   UNION ALL
+  SELECT doc_id, 1000000003 + i * 10, 'S' || CAST(q AS STRING) || '. Ans(' || right_key || ') ' || line FROM asked WHERE m = 0 AND (doc_id + q) % 19 = 0 AND (doc_id + q) % 10 <> 9 AND (doc_id + q) % 8 < 6 AND doc_id % 6 NOT IN (1, 2)
+  UNION ALL
   SELECT doc_id, 1000000002 + i * 10, 'S' || CAST(q AS STRING) || ') Answer: A' FROM asked WHERE m = 0 AND (doc_id + q) % 17 = 0
 ), lines AS (
   SELECT doc_id, CAST(row_number() OVER (PARTITION BY doc_id ORDER BY ord) AS INT) AS line_number, raw FROM laid
