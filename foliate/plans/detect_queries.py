@@ -55,7 +55,7 @@ def section_sanity(spark, sf_dir):
 
 def question_coverage(spark, sf_dir):
     """Expected question numbers without a candidate."""
-    cands = durable(S.candidates(tables.content(spark, sf_dir)), "candidates")
+    cands = PQ._candidates(spark, sf_dir)[1]
     return D.coverage(PQ._expected(cands), cands)
 
 

@@ -87,8 +87,7 @@ def public_status_counts(spark, sf_dir):
 
 def public_audit(spark, sf_dir):
     """Contract errors by document."""
-    cands, items = PQ._items(spark, sf_dir)
-    items = durable(items, "items")
+    items = PQ._items(spark, sf_dir)[1]
     return X.public_audit(X.public_questions(items), PQ._expected(items))
 
 

@@ -11,11 +11,10 @@ from foliate.plans import oracle_lines as OL
 from foliate.plans import oracle_packages as O
 from foliate.plans import package_queries as PQ
 from foliate.plans import tables
-from foliate.plans.lineage import durable
 
 
 def _items(spark, sf_dir):
-    items = durable(PQ._items(spark, sf_dir)[1], "items")
+    items = PQ._items(spark, sf_dir)[1]
     return items, PQ._expected(items)
 
 

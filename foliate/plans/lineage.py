@@ -32,6 +32,23 @@ def durable(df: DataFrame, label: str = "stage") -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def _path(spark: SparkSession, path: str):
+    """The Hadoop path of ``path`` and the file system that holds it."""
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return at, at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
+def version(spark: SparkSession, path: str) -> str:
+    """Names, sizes and times of the files at ``path``, which change when the table does."""
+    at, files = _path(spark, path)
+    return ";".join(sorted(f"{f.getPath()}:{f.getLen()}:{f.getModificationTime()}" for f in files.listStatus(at)))
+
+
+def exists(df: DataFrame) -> bool:
+    """Whether the files of a table made by :func:`durable` are still there."""
+    return all(files.exists(at) for at, files in (_path(df.sparkSession, f) for f in df.inputFiles()))
+
+
 def drop(df: DataFrame) -> None:
     """Delete the files of a table made by :func:`durable` that nothing reads any more."""
     spark = df.sparkSession

@@ -15,18 +15,22 @@ from foliate.plans.oracle_lines import strip
 
 def _candidates(spark, sf_dir):
     content = tables.content(spark, sf_dir)
-    return content, durable(S.candidates(content), "candidates")
+    return content, tables.shared(spark, sf_dir, "candidates", lambda: S.candidates(content))
 
 
 def _mapped(spark, sf_dir):
     content, cands = _candidates(spark, sf_dir)
-    sols = M.solutions(content)
-    return cands, M.mappings(cands, durable(M.answers(content, sols), "answers"), sols)
+
+    def made():
+        sols = M.solutions(content)
+        return M.mappings(cands, durable(M.answers(content, sols), "answers"), sols)
+
+    return cands, tables.shared(spark, sf_dir, "mappings", made)
 
 
 def _items(spark, sf_dir):
     cands, maps = _mapped(spark, sf_dir)
-    return cands, K.final_items(cands, maps)
+    return cands, tables.shared(spark, sf_dir, "items", lambda: K.final_items(cands, maps))
 
 
 def _expected(items):
@@ -84,7 +88,7 @@ def final_items(spark, sf_dir):
 
 def package_counts(spark, sf_dir):
     """Counters of each document's package, and whether its size is about what is expected."""
-    items = durable(_items(spark, sf_dir)[1], "items")
+    items = _items(spark, sf_dir)[1]
     counts = K.package_counts(items)
     return counts.join(K.count_audit(counts, _expected(items)).drop("total_questions"), "doc_id")
 
@@ -103,14 +107,13 @@ def pattern_input(spark, sf_dir):
 
 def canonical_slots(spark, sf_dir):
     """The best question of each expected number, or a placeholder."""
-    items = durable(_items(spark, sf_dir)[1], "items")
+    items = _items(spark, sf_dir)[1]
     return K.slots(items, _expected(items)).withColumn("confidence", F.round("confidence", 6))
 
 
 def artifact_reconciliation(spark, sf_dir):
     """Checks across candidates, items and lanes by document."""
     cands, items = _items(spark, sf_dir)
-    items = durable(items, "items")
     return K.reconcile(cands, items, K.eligibility(items))
 
 

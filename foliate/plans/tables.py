@@ -1,4 +1,4 @@
-"""The intermediate tables that several queries read, each stored once per query.
+"""The intermediate tables that several queries read, each stored once a session for one state of its input.
 
 A stored table between steps keeps later filters from being pushed below the
 classification, where it would be computed again for each of them.
@@ -6,16 +6,30 @@ classification, where it would be computed again for each of them.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 
 from foliate.operators import lines
-from foliate.plans.lineage import durable
+from foliate.plans.lineage import durable, exists, version
 from foliate.sources import corpus
 
+#: (application, folder, label) -> state of the documents when the table was made, and the table.
+_made: dict[tuple[str, str, str], tuple[str, DataFrame]] = {}
+
+
+def shared(spark: SparkSession, sf_dir: str, label: str, make: Callable[[], DataFrame]) -> DataFrame:
+    """The table ``label`` of ``sf_dir``: that made before in this session, unless the documents or its own files have changed since."""
+    key = (spark.sparkContext.applicationId, sf_dir, label)
+    state = version(spark, f"{sf_dir}/documents.parquet")
+    if key not in _made or _made[key][0] != state or not exists(_made[key][1]):
+        _made[key] = (state, durable(make(), label))
+    return _made[key][1]
+
 
 def classified(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return durable(lines.classified_lines(corpus.exam_lines(spark, sf_dir)), "lines")
+    return shared(spark, sf_dir, "lines", lambda: lines.classified_lines(corpus.exam_lines(spark, sf_dir)))
 
 
 def content(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return durable(lines.content_lines(classified(spark, sf_dir)), "content-lines")
+    return shared(spark, sf_dir, "content-lines", lambda: lines.content_lines(classified(spark, sf_dir)))

@@ -1,14 +1,12 @@
 """Every registered query with checking SQL agrees with it on the smallest tables."""
 
-import functools
 from collections import Counter
 from pathlib import Path
 
 import duckdb
 import pytest
 
-from foliate.plans import catalog, package_queries, tables
-from foliate.plans.lineage import durable
+from foliate.plans import catalog, lineage, tables
 
 DATA = "/root/testdata/sf0.001"
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
@@ -23,25 +21,6 @@ def duck():
     return con
 
 
-@pytest.fixture(scope="module", autouse=True)
-def shared_tables():
-    """Intermediate tables are made once for all queries here."""
-    patch = pytest.MonkeyPatch()
-    for module, name in ((tables, "classified"), (tables, "content"), (package_queries, "_candidates"), (package_queries, "_mapped")):
-        made = functools.cache(getattr(module, name))
-        patch.setattr(module, name, made)
-    items = package_queries._items
-
-    @functools.cache
-    def stored(spark, sf_dir):
-        cands, found = items(spark, sf_dir)
-        return cands, durable(found, "items")
-
-    patch.setattr(package_queries, "_items", stored)
-    yield
-    patch.undo()
-
-
 def plain(v):
     if isinstance(v, float):
         return round(v, 9)
@@ -63,3 +42,16 @@ def test_entry_has_rows(spark):
 
     assert entry.entry(spark).count() > 0
     assert set(entry.oracle_sql()) <= set(entry.queries())
+
+
+def test_shared_tables_follow_their_input(spark, tmp_path):
+    def lines(text):
+        spark.createDataFrame([(1, text)], "doc_id long, text string").write.mode("overwrite").parquet(f"{tmp_path}/documents.parquet")
+        return [r.raw for r in tables.classified(spark, str(tmp_path)).collect() if "word" in r.raw]
+
+    assert lines("one word")[0].endswith("one word")
+    first = tables.classified(spark, str(tmp_path))
+    assert tables.classified(spark, str(tmp_path)) is first
+    assert lines("two words")[0].endswith("two words")
+    lineage.drop(tables.classified(spark, str(tmp_path)))
+    assert [r.raw for r in tables.classified(spark, str(tmp_path)).collect() if "word" in r.raw]
