@@ -32,6 +32,7 @@ from pyspark.sql import functions as F
 from foliate.llm.textarrays import mix, shingle_sets, bounded_batches, spans, utf8
 from foliate.plans.lineage import drop, durable, split_join
 
+# Joins with the shingle sets carry a merge hint: both their sides grow with the corpus, so none of them is to be broadcast.
 SHINGLE_WORDS = 5
 SIMILARITY = 80  # per cent
 CHUNKS, WIDTH, ERRORS = 13, 6, 1
@@ -114,7 +115,7 @@ def shingles_of(needed: DataFrame, docs: DataFrame, words: int) -> DataFrame:
                 got = shingle_sets(raw[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i], words)
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(i, j - i), pa.array([s.tobytes() for s in got], pa.binary())], ["id", "grams"])
 
-    texts = docs.select(F.col("doc_id").alias("id"), "text").join(needed, "id", "left_semi")
+    texts = docs.select(F.col("doc_id").alias("id"), "text").join(needed.hint("merge"), "id", "left_semi")
     return texts.withColumn("print", F.xxhash64("text")).dropDuplicates(["id", "print"]).select("id", "text").mapInArrow(sets, "id long, grams binary")
 
 
@@ -141,7 +142,7 @@ def _against_heads(pairs: DataFrame, sets: DataFrame) -> DataFrame:
                     links.append(ids[k])
         return pa.table({"a": pa.array([ids[own[0]]] * len(links), pa.int64()), "b": pa.array(links, pa.int64())})
 
-    return sets.join(asked, "id").groupBy("a", "salt").applyInArrow(held, "a long, b long")
+    return sets.join(asked.hint("merge"), "id").groupBy("a", "salt").applyInArrow(held, "a long, b long")
 
 
 def prefix_length(n: np.ndarray) -> np.ndarray:
@@ -164,7 +165,7 @@ def _active(rows: DataFrame, sets: DataFrame) -> DataFrame:
             bucket, n = np.unique(flat % np.uint64(BUCKETS), return_counts=True)
             yield pa.RecordBatch.from_arrays([pa.array(bucket.astype(np.int64)), pa.array(n)], ["bucket", "n"])
 
-    held = durable(sets.join(rows, F.col("id") == F.col("rep")).select("rep", "part", "grams"), "held")
+    held = durable(sets.join(rows.hint("merge"), F.col("id") == F.col("rep")).select("rep", "part", "grams"), "held")
     counts = held.select("grams").mapInArrow(counted, "bucket long, n long").groupBy("bucket").agg(F.sum("n").alias("n")).toArrow()  # at most BUCKETS rows
     table = np.zeros(BUCKETS, np.int64)
     table[counts.column("bucket").to_numpy()] = counts.column("n").to_numpy()
@@ -252,7 +253,7 @@ def _between_components(members: DataFrame, sets: DataFrame) -> DataFrame:
     taking = mixed.select("head", "rep", "part", F.pmod(own, "targets").alias("i"), F.explode_outer(every("queries")).alias("j"), F.lit(False).alias("query"), F.lit(True).alias("target"))
     both = asking.unionByName(taking).withColumn("cell", F.xxhash64("head", "i", "j"))
     cells = both.groupBy("cell", "head", "i", "j", F.col("rep").alias("id"), "part").agg(F.max("query").alias("query"), F.max("target").alias("target"))
-    return sets.join(cells, "id").groupBy("cell", "head", "i", "j").applyInArrow(_across, "a long, b long")
+    return sets.join(cells.hint("merge"), "id").groupBy("cell", "head", "i", "j").applyInArrow(_across, "a long, b long")
 
 
 def components(links: DataFrame) -> DataFrame:
