@@ -66,7 +66,10 @@ def quality_gate(spark, sf_dir):
 
 
 def extraction_fallback(spark, sf_dir):
-    """Whether the lines of a document are too weak for its questions."""
+    """Whether the lines of a document are too weak for its questions.
+
+    The documents are text and have no measured pages: the shares of image lines and of plain lines stand in for image area and scan score.
+    """
     items, expected = GQ._items(spark, sf_dir)
     lines = tables.classified(spark, sf_dir).groupBy("doc_id").agg(F.count(F.lit(1)).alias("lines"), F.avg((F.col("line_type") == "image_reference").cast("double")).alias("image_ratio"), F.avg((F.col("line_type") == "text").cast("double")).alias("scanned_score"))
     windows = _windows(spark, sf_dir).groupBy("doc_id").agg(F.count(F.lit(1)).alias("windows"), F.count_if(F.col("status") == "ready").alias("windows_with_four"))
