@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from foliate.llm import exact_dedup, htmltext, langid, linededup, media_gif, mixing, neardup, packing, quality, tokencount
+from foliate.llm import decontaminate, exact_dedup, htmltext, langid, linededup, media_gif, mixing, neardup, packing, quality, tokencount
 
 QUERIES = {
     "op1_media_gif": media_gif.op1_media_gif,
@@ -15,8 +15,10 @@ QUERIES = {
     "op8_exact_dedup": exact_dedup.op8_exact_dedup,
     "op9_near_dedup": neardup.op9_near_dedup,
     "op10_line_dedup": linededup.op10_line_dedup,
+    "op11_decontamination": decontaminate.op11_decontamination,
 }
 ORACLES = {
     "op8_exact_dedup": exact_dedup.ORACLE,
     "op10_line_dedup": linededup.ORACLE,
+    "op11_decontamination": decontaminate.ORACLE,
 }

@@ -15,6 +15,8 @@ import pyarrow as pa
 BLOCK = 1 << 20  # bytes hashed at once
 _WHITE = np.zeros(256, bool)
 _WHITE[[0x20, *range(0x09, 0x0E)]] = True
+#: What is neither an ASCII letter or digit nor part of a longer character: ``[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]``.
+SYMBOLS = np.array([c < 128 and not chr(c).isalnum() for c in range(256)])
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 _BASE = 0x9E3779B97F4A7C15 | 1
@@ -75,11 +77,11 @@ def _power(kind: str, n: int) -> np.ndarray:
     return got
 
 
-def _hash_block(raw: np.ndarray, breaks: np.ndarray, lower: bool) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes and start positions of the words in ``raw``; ``breaks`` are row starts."""
+def _hash_block(raw: np.ndarray, breaks: np.ndarray, lower: bool, gap: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Hashes, starts and ends of the words in ``raw``; ``breaks`` are row starts."""
     if lower:
         raw = _LOWER[raw]
-    black = ~_WHITE[raw]
+    black = ~gap[raw]
     first, last = black.copy(), black.copy()
     first[1:] &= ~black[:-1]
     last[:-1] &= ~black[1:]
@@ -90,24 +92,25 @@ def _hash_block(raw: np.ndarray, breaks: np.ndarray, lower: bool) -> tuple[np.nd
     total = np.zeros(len(raw) + 1, np.uint64)
     np.cumsum((raw.astype(np.uint64) + np.uint64(1)) * _power("up", len(raw))[: len(raw)], out=total[1:])
     value = (total[end] - total[begin]) * _power("down", len(raw))[begin]
-    return mix(value ^ ((end - begin).astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93))), begin
+    return mix(value ^ ((end - begin).astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93))), begin, end
 
 
-def word_hashes(raw: np.ndarray, offsets: np.ndarray, lower: bool = True) -> tuple[np.ndarray, np.ndarray]:
-    """64-bit hashes of the words ``[^\\x20\\x09-\\x0D]+`` in order, and each one's row.
+def find_words(raw: np.ndarray, offsets: np.ndarray, lower: bool = True, gap: np.ndarray = _WHITE) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """64-bit hashes of the words in order, with each one's row, first byte and end.
 
+    Bytes that ``gap`` marks (white space: ``[\\x20\\x09-\\x0D]``) separate words.
     ``lower`` maps A-Z to a-z first.  A word's hash depends on its bytes alone.
     """
-    hashes, at, pos, size = [], [], 0, len(raw)
+    hashes, at, to, pos, size = [], [], [], 0, len(raw)
     while pos < size:
         end = min(size, pos + BLOCK)
         if end < size:  # cut at white space or a row's start, wherever that comes next
-            white = np.flatnonzero(_WHITE[raw[pos:end]])
+            white = np.flatnonzero(gap[raw[pos:end]])
             row = offsets[np.searchsorted(offsets, end, "right") - 1]
             cut = max(pos + int(white[-1]) + 1 if len(white) else 0, int(row))
             while cut <= pos:
                 more = min(size, end + BLOCK)
-                white = np.flatnonzero(_WHITE[raw[end:more]])
+                white = np.flatnonzero(gap[raw[end:more]])
                 later = offsets[np.searchsorted(offsets, end, "left")] if end < size else size
                 cut = min(end + int(white[0]) + 1 if len(white) else size + 1, int(later), more if more == size else size + 1)
                 if cut > size:
@@ -115,14 +118,29 @@ def word_hashes(raw: np.ndarray, offsets: np.ndarray, lower: bool = True) -> tup
             end = cut
         low = np.searchsorted(offsets, pos, "left")
         high = np.searchsorted(offsets, end, "left")
-        h, begin = _hash_block(raw[pos:end], offsets[low:high] - pos, lower)
+        h, begin, stop = _hash_block(raw[pos:end], offsets[low:high] - pos, lower, gap)
         hashes.append(h)
         at.append(begin + pos)
+        to.append(stop + pos)
         pos = end
     if not hashes:
-        return np.zeros(0, np.uint64), np.zeros(0, np.int64)
+        return np.zeros(0, np.uint64), *(np.zeros(0, np.int64) for _ in range(3))
     where = np.concatenate(at)
-    return np.concatenate(hashes), np.searchsorted(offsets, where, "right") - 1
+    return np.concatenate(hashes), np.searchsorted(offsets, where, "right") - 1, where, np.concatenate(to)
+
+
+def word_hashes(raw: np.ndarray, offsets: np.ndarray, lower: bool = True) -> tuple[np.ndarray, np.ndarray]:
+    """64-bit hashes of the words ``[^\\x20\\x09-\\x0D]+`` in order, and each one's row."""
+    return find_words(raw, offsets, lower)[:2]
+
+
+def joined(hashes: np.ndarray, words: int, salt: int = 0) -> np.ndarray:
+    """The hash of the ``words`` hashes from each place on; rows are not looked at."""
+    n = max(0, len(hashes) - words + 1)
+    out = np.full(n, ((words + (salt << 16)) * 0x2545F4914F6CDD1D) & _MASK, np.uint64)
+    for k in range(words):
+        out = mix(out * np.uint64(0x9FB21C651E98DF25) + hashes[k : k + n])
+    return out
 
 
 def shingle_sets(raw: np.ndarray, offsets: np.ndarray, words: int) -> list[np.ndarray]:
