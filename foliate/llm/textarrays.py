@@ -67,7 +67,7 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def _power(kind: str, n: int) -> np.ndarray:
+def power(kind: str, n: int) -> np.ndarray:
     got = _powers.get(kind)
     if got is None or len(got) < n:
         base = np.uint64(_BASE if kind == "up" else pow(_BASE, -1, 1 << 64))
@@ -90,8 +90,8 @@ def _hash_block(raw: np.ndarray, breaks: np.ndarray, lower: bool, gap: np.ndarra
     last[inner - 1] = black[inner - 1]
     begin, end = np.flatnonzero(first), np.flatnonzero(last) + 1
     total = np.zeros(len(raw) + 1, np.uint64)
-    np.cumsum((raw.astype(np.uint64) + np.uint64(1)) * _power("up", len(raw))[: len(raw)], out=total[1:])
-    value = (total[end] - total[begin]) * _power("down", len(raw))[begin]
+    np.cumsum((raw.astype(np.uint64) + np.uint64(1)) * power("up", len(raw))[: len(raw)], out=total[1:])
+    value = (total[end] - total[begin]) * power("down", len(raw))[begin]
     return mix(value ^ ((end - begin).astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93))), begin, end
 
 
