@@ -19,6 +19,7 @@ from __future__ import annotations
 import hashlib
 import zlib
 from collections.abc import Callable, Iterator
+from itertools import pairwise
 
 import numpy as np
 import pyarrow as pa
@@ -134,8 +135,8 @@ def candidate_tiles(hashes: np.ndarray, row: np.ndarray) -> Iterator[tuple[int,
         at, period, text = at[whole], period[whole], text[whole]
         primitive = _roots(blocks, at, period)
         at, period, text = at[primitive], period[primitive], text[primitive]
-        starts = np.flatnonzero(np.append(True, at[1:] != at[:-1])) if len(at) else np.zeros(0, np.int64)
-        for a, b in zip(starts.tolist(), np.append(starts[1:], len(at)).tolist(), strict=True):
+        edges = np.flatnonzero(np.diff(at, prepend=-1, append=-1)).tolist() if len(at) else []
+        for a, b in pairwise(edges):
             t, mid = text[a], int(at[a])
             low = max(int(first[t]), mid - step(octave))
             high = min(int(last[t]), mid + step(octave) + 2 * octave)
