@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from foliate.llm import decontaminate, exact_dedup, htmltext, langid, linededup, media_gif, mixing, neardup, packing, periodic, quality, tokencount
+from foliate.llm import decontaminate, exact_dedup, htmltext, langid, lexical, linededup, media_gif, mixing, neardup, packing, periodic, quality, tokencount
 
 QUERIES = {
     "op1_media_gif": media_gif.op1_media_gif,
@@ -16,10 +16,12 @@ QUERIES = {
     "op9_near_dedup": neardup.op9_near_dedup,
     "op10_line_dedup": linededup.op10_line_dedup,
     "op11_decontamination": decontaminate.op11_decontamination,
+    "op12_lexical_search": lexical.op12_lexical_search,
     "op13_periodic_runs": periodic.op13_periodic_runs,
 }
 ORACLES = {
     "op8_exact_dedup": exact_dedup.ORACLE,
     "op10_line_dedup": linededup.ORACLE,
     "op11_decontamination": decontaminate.ORACLE,
+    "op12_lexical_search": lexical.ORACLE,
 }
