@@ -16,7 +16,7 @@ other document can be among the best, so the result is that of scoring every doc
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
-from functools import reduce
+from functools import partial, reduce
 
 import numpy as np
 import pyarrow as pa
@@ -101,11 +101,11 @@ class QueryBlock:
         found = np.flatnonzero(self.terms[at] == hashes) if len(self.terms) else np.zeros(0, np.int64)
         return found, at[found]
 
-    def weigh(self, holders: np.ndarray, documents: int) -> None:
-        """Weights of all terms from the numbers of documents that hold them."""
+    def weigh(self, holders: np.ndarray, documents: int, bits: int) -> None:
+        """Weights of all terms from the numbers of documents that hold them, by term and by coordinate of ``bits`` bits."""
         weight = np.floor(WEIGHT_SCALE * np.log((2 * documents + 2) / (2 * holders + 1)))[self.term] * self.times
         self.exact = _Postings(self.term, self.query, weight, len(self.terms), self.n)
-        self.hashed = _Postings((self.terms[self.term] >> np.uint64(64 - COORDINATE_BITS)).astype(np.int64), self.query, weight, 1 << COORDINATE_BITS, self.n)
+        self.hashed = _Postings((self.terms[self.term] >> np.uint64(64 - bits)).astype(np.int64), self.query, weight, 1 << bits, self.n)
 
 
 def _texts(function: Callable) -> Callable:
@@ -120,10 +120,10 @@ def _texts(function: Callable) -> Callable:
     return run
 
 
-def _sketched(batch: pa.RecordBatch, raw: np.ndarray, offsets: np.ndarray) -> pa.RecordBatch:
+def _sketched(batch: pa.RecordBatch, raw: np.ndarray, offsets: np.ndarray, bits: int) -> pa.RecordBatch:
     """(key, print, text) -> key, print, number of terms, coordinates and the greatest frequency in each."""
     row, term, frequency, n = term_counts(raw, offsets)
-    at = (term >> np.uint64(64 - COORDINATE_BITS)).astype("<u2")  # terms are in order, so equal coordinates stand together
+    at = (term >> np.uint64(64 - bits)).astype("<u2")  # terms are in order, so equal coordinates stand together
     new = np.flatnonzero(np.append(True, (at[1:] != at[:-1]) | (row[1:] != row[:-1]))) if len(row) else np.zeros(0, np.int64)
     greatest = np.minimum(np.maximum.reduceat(frequency, new), MOST_FREQUENT).astype(np.uint8) if len(new) else np.zeros(0, np.uint8)
     bounds = np.searchsorted(row[new], np.arange(len(offsets)))
@@ -131,11 +131,11 @@ def _sketched(batch: pa.RecordBatch, raw: np.ndarray, offsets: np.ndarray) -> pa
     return pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(n), cut(at[new]), cut(greatest)], ["key", "print", "n", "coordinates", "frequencies"])
 
 
-def sketch_index(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
-    """The stored index: key, print of the text, number of terms, and the sketch, for every row of ``docs``."""
+def sketch_index(docs: DataFrame, text: str = "text", key: str = "doc_id", bits: int = COORDINATE_BITS) -> DataFrame:
+    """The stored index: key, print of the text, number of terms, and the sketch of 2 ** ``bits`` coordinates (at most 16 bits), for every row of ``docs``."""
     bounded_batches(docs.sparkSession)
     rows = _rows(docs, text, key)
-    return durable(rows.mapInArrow(_texts(_sketched), "key long, print long, n long, coordinates binary, frequencies binary"), "sketches")
+    return durable(rows.mapInArrow(_texts(partial(_sketched, bits=bits)), "key long, print long, n long, coordinates binary, frequencies binary"), "sketches")
 
 
 def _rows(docs: DataFrame, text: str, key: str) -> DataFrame:
@@ -157,13 +157,13 @@ def _holders(docs: DataFrame, text: str, block: QueryBlock) -> np.ndarray:
     return out
 
 
-def _bounds(index: DataFrame, shared, corpus: tuple[int, int], threshold: tuple[np.ndarray, np.ndarray] | None) -> DataFrame:
-    """(key, print, query, bound): each task's FIRST greatest bounds of a query, or all that reach the threshold."""
+def _bounds(index: DataFrame, shared, corpus: tuple[int, int], first: int = 0, threshold: tuple[np.ndarray, np.ndarray] | None = None) -> DataFrame:
+    """(key, print, query, bound): each task's ``first`` greatest bounds of a query, or all that reach the threshold."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         block = shared.value
         held: list[tuple[np.ndarray, ...]] = []
-        least = np.zeros(block.n)  # of a query, the bound that a row must exceed to be among the FIRST
+        least = np.zeros(block.n)  # of a query, the bound that a row must exceed to be among the first
 
         def out(rows: list[tuple[np.ndarray, ...]]) -> pa.RecordBatch:
             columns = [np.concatenate(c) for c in zip(*rows, strict=True)] if rows else [np.zeros(0, np.int64)] * 5
@@ -174,9 +174,9 @@ def _bounds(index: DataFrame, shared, corpus: tuple[int, int], threshold: tuple[
             order = np.lexsort((-columns[3], columns[2]))
             query = columns[2][order]
             rank = np.arange(len(order)) - np.searchsorted(query, query)
-            stay = order[rank < FIRST]
+            stay = order[rank < first]
             held[:] = [tuple(c[stay] for c in columns)]
-            last = order[rank == FIRST - 1]
+            last = order[rank == first - 1]
             least[columns[2][last]] = columns[3][last]
 
         for batch in batches:
@@ -198,7 +198,7 @@ def _bounds(index: DataFrame, shared, corpus: tuple[int, int], threshold: tuple[
                     near = (total[r, q] > threshold[0][q]) | (own[r] <= threshold[1][q])
                     r, q = r[near], q[near]
                 held.append((own[r], prints[low + r], q, total[r, q], nothing[low + r]))
-                if threshold is None and sum(len(h[0]) for h in held) > 4 * FIRST * block.n:
+                if threshold is None and sum(len(h[0]) for h in held) > 4 * first * block.n:
                     best()
             if threshold is not None and held:
                 yield out(held)
@@ -238,38 +238,39 @@ def _best(scores: DataFrame, most: int) -> DataFrame:
     return scores.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= most)
 
 
-def _search_block(index: DataFrame, docs: DataFrame, block: QueryBlock, corpus: tuple[int, int], text: str, key: str, top: int) -> DataFrame:
+def _search_block(index: DataFrame, docs: DataFrame, block: QueryBlock, corpus: tuple[int, int], text: str, key: str, top: int, many: int, bits: int) -> DataFrame:
     spark = docs.sparkSession
-    block.weigh(_holders(docs, text, block), corpus[0])
+    block.weigh(_holders(docs, text, block), corpus[0], bits)
     shared = spark.sparkContext.broadcast(block)
     queries = lambda found: found.groupBy("key", "print").agg(F.sort_array(F.collect_set("query")).alias("queries"))
     order = Window.partitionBy("query").orderBy(F.desc("bound"))
-    first = _bounds(index, shared, corpus, None).withColumn("n", F.row_number().over(order)).where(F.col("n") <= FIRST)
-    first = durable(queries(first), "first")  # at most FIRST rows a query of the block
+    first = _bounds(index, shared, corpus, first=many).withColumn("n", F.row_number().over(order)).where(F.col("n") <= many)
+    first = durable(queries(first), "first")  # at most ``many`` rows a query of the block
     limit = _best(_scored(docs, F.broadcast(first), shared, corpus, text, key), top).where(F.col("rank") == top).collect()  # a row a query of the block
     score, last = np.ones(block.n), np.full(block.n, np.iinfo(np.int64).max)  # scores are above 0
     for r in limit:
         score[r["query"]], last[r["query"]] = r["score"], last[0] if r["key"] is None else r["key"]
-    rest = durable(queries(_bounds(index, shared, corpus, (score, last))), "reached")
+    rest = durable(queries(_bounds(index, shared, corpus, threshold=(score, last))), "reached")
     best = durable(_best(_scored(docs, rest, shared, corpus, text, key), top), "best")
     drop(first)
     drop(rest)
     return best
 
 
-def search(docs: DataFrame, items: DataFrame, text: str = "text", key: str = "doc_id", item_text: str = "text", item_key: str = "item_id", top: int = TOP, index: DataFrame | None = None) -> DataFrame:
+def search(docs: DataFrame, items: DataFrame, text: str = "text", key: str = "doc_id", item_text: str = "text", item_key: str = "item_id", top: int = TOP, first: int = FIRST, bits: int = COORDINATE_BITS, index: DataFrame | None = None) -> DataFrame:
     """(item key, rank, key, score): the ``top`` rows of ``docs`` for each row of ``items``, best first.
 
     Terms are ``[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+`` with A-Z in lower case.  Equal
     scores rank by ascending key, null keys last; rows repeated with one key are
     documents of their own.  Items repeated alike are one; a null or empty item finds
-    nothing, as does one without terms; null texts hold none.  Keys must be integers.  ``index`` is a
-    :func:`sketch_index` of the same ``docs``, made here if not given.  Other
+    nothing, as does one without terms; null texts hold none.  Keys must be integers.  The ``first``
+    documents by bound (``top`` at least) set a query's threshold.  ``index`` is a
+    :func:`sketch_index` of the same ``docs`` and ``bits``, made here if not given.  Other
     columns are not read.
     """
     bounded_batches(docs.sparkSession)
     spark = docs.sparkSession
-    index = sketch_index(docs, text, key) if index is None else index
+    index = sketch_index(docs, text, key, bits) if index is None else index
     corpus = tuple(int(x or 0) for x in index.agg(F.count(F.when(F.col("n") > 0, 1)), F.sum("n")).first())
     asked = items.select(items[item_key].alias("item"), items[item_text].cast("string").alias("text")).distinct()
     size = asked.agg(F.count(F.lit(1)), F.sum(F.octet_length("text"))).first()
@@ -280,7 +281,7 @@ def search(docs: DataFrame, items: DataFrame, text: str = "text", key: str = "do
         own = asked.where(F.pmod(F.xxhash64("item", "text"), F.lit(blocks)) == b).collect()  # about BLOCK_QUERIES rows
         if own:
             names = F.broadcast(spark.createDataFrame([(q, r["item"]) for q, r in enumerate(own)], f"query long, item {kind}"))
-            found.append(_search_block(index, docs, QueryBlock([r["text"] for r in own]), corpus, text, key, top).join(names, "query"))
+            found.append(_search_block(index, docs, QueryBlock([r["text"] for r in own]), corpus, text, key, top, max(top, first), bits).join(names, "query"))
     if not found:
         return spark.createDataFrame([], f"{item_key} {kind}, rank int, {key} long, score long")
     return reduce(DataFrame.unionAll, found).select(F.col("item").alias(item_key), "rank", F.col("key").alias(key), "score")
