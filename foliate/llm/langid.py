@@ -1,103 +1,154 @@
 """Language identification, word first: known words by their log frequency in each
 language, others by the longest character n-grams that are known.
 
-Counting words is a Spark aggregation; the tables that a prediction needs have at
-most MAX_WORDS words and MAX_GRAMS n-grams of each language and are broadcast.
+Words and n-grams are counted by Spark.  A model holds at most ``max_words`` words and
+``max_grams`` n-grams of each language, each with its count in the languages that chose it, so
+it grows with the number of languages and is broadcast.  In a task the words of a
+block of texts are hashed on its Arrow buffer, each different word is looked up once, and
+a text's score is the sum over its words.
 """
 
 from __future__ import annotations
 
 import re
-from collections import Counter
-from collections.abc import Iterator
-from functools import reduce
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from foliate.llm.textarrays import bounded_batches, spans, utf8
+from foliate.llm.textarrays import bounded_batches, find_words, joined, spans, utf8
 from foliate.plans.lineage import durable
 
 #: The bounded sample that the classifier is fitted on, in documents of each language.
 MAX_TRAIN = 4000
-#: The size of the model, in words and n-grams of each language.
-MAX_WORDS, MAX_GRAMS, LONGEST = 20_000, 20_000, 4
+#: The bounded size of the model, in words and n-grams of each language.
+MAX_WORDS, MAX_GRAMS = 20_000, 20_000
+LONGEST = 4
 SMOOTHING = 0.5
 UNKNOWN = "und"
-BATCH_BYTES = 2 << 20
-_CACHE = 200_000
+_CELLS = 1 << 20  # words or texts times languages at once
 _LETTER = re.compile(r"[^\W\d_]")
 #: ASCII that is not a letter separates words; other bytes belong to them.
-_SPLIT = bytes(c if c >= 128 or chr(c).isalpha() else 32 for c in range(256))
-
-
-def words(text: str) -> list[bytes]:
-    """Lower-case words of a text in UTF-8."""
-    return text.lower().encode().translate(_SPLIT).split()
-
-
-def _grams(word: str, n: int) -> list[str]:
-    framed = f"<{word}>"
-    return [framed[i : i + n] for i in range(len(framed) - n + 1)]
+_GAP = np.array([c < 128 and not chr(c).isalpha() for c in range(256)])
+_ASCII_LETTER = np.array([c < 128 and chr(c).isalpha() for c in range(256)])
+_OPEN, _CLOSE = ord("<"), ord(">")
+
+
+def _framed(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """The code points of ``<word>`` for all words in a row, and the number of the word at each."""
+    codes = np.frombuffer("".join(f"<{w}>" for w in words).encode("utf-32-le"), "<u4").astype(np.uint64)
+    return codes, np.cumsum(codes == _OPEN) - 1
+
+
+def _sums(values: np.ndarray, group: np.ndarray, groups: int) -> np.ndarray:
+    """The sum of the rows of ``values`` in each group; groups are in order."""
+    out = np.zeros((groups, values.shape[1]))
+    if len(group):
+        first = np.flatnonzero(np.append(True, group[1:] != group[:-1]))
+        out[group[first]] = np.add.reduceat(values, first, axis=0)
+    return out
+
+
+class _Table:
+    """Smoothed log frequencies of one kind of entry: those that are held, and each language's of an entry that it lacks."""
+
+    def __init__(self, hashes: np.ndarray, column: np.ndarray, n: np.ndarray, langs: int):
+        self.keys, entry = np.unique(hashes, return_inverse=True)
+        order = np.argsort(entry, kind="stable")
+        total = np.bincount(column, weights=n, minlength=langs) + SMOOTHING * max(1, len(self.keys))
+        self.column, self.held = column[order], np.log((n + SMOOTHING) / total[column])[order]
+        self.start = np.searchsorted(entry[order], np.arange(len(self.keys) + 1))
+        self.base = np.log(SMOOTHING / total)
+
+    def rows(self, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Which of ``hashes`` are known, and the log frequencies of these in every language."""
+        at = np.searchsorted(self.keys, hashes)
+        at[at == len(self.keys)] = 0
+        known = np.flatnonzero(self.keys[at] == hashes) if len(self.keys) else np.zeros(0, np.int64)
+        at = at[known]
+        many = self.start[at + 1] - self.start[at]
+        ends = np.cumsum(many)
+        take = np.arange(ends[-1] if len(ends) else 0) - np.repeat(ends - many - self.start[at], many)
+        out = np.tile(self.base, (len(at), 1))
+        out[np.repeat(np.arange(len(at)), many), self.column[take]] = self.held[take]
+        return known, out
 
 
 class Model:
-    """Log-frequency vectors, one column a language."""
-
-    def __init__(self, langs: list[str], word_counts: list[tuple[str, str, int]], gram_counts: list[tuple[str, str, int]]):
-        self.langs = langs
-        self.words, self.word_rows = self._table([(w.encode(), lang, n) for w, lang, n in word_counts], lambda w: 0)
-        self.grams, self.gram_rows = self._table(gram_counts, len)
-        self._at, self._rows = dict(self.words), None
-
-    def _table(self, counts: list, kind) -> tuple[dict, np.ndarray]:
-        """Smoothed log frequencies within each kind of entry."""
-        at: dict = {}
-        for entry, _, _ in counts:
-            at.setdefault(entry, len(at))
-        rows = np.full((len(at), len(self.langs)), SMOOTHING)
-        column = {lang: i for i, lang in enumerate(self.langs)}
-        for entry, lang, n in counts:
-            rows[at[entry], column[lang]] += n
-        kinds = np.array([kind(entry) for entry in at], np.int64)
-        for k in np.unique(kinds):
-            rows[kinds == k] /= rows[kinds == k].sum(axis=0)
-        return at, np.log(rows)
-
-    def _backoff(self, word: bytes) -> np.ndarray:
-        """The mean over the word's known n-grams of the greatest length that has any."""
-        text = word.decode(errors="replace")
-        for n in range(LONGEST, 0, -1):
-            known = [at for g in _grams(text, n) if (at := self.grams.get(g)) is not None]
-            if known:
-                return self.gram_rows[known].mean(axis=0)
-        return np.zeros(len(self.langs))
+    """Log frequencies of words, and of n-grams of each length, in each language."""
+
+    def __init__(self, langs: list[str], word_counts: Iterable[tuple[str, str, int]], gram_counts: Iterable[tuple[str, str, int]], longest: int = LONGEST):
+        self.langs, self.longest = langs, longest
+        column = {lang: i for i, lang in enumerate(langs)}
+        words, grams = (list(zip(*counts, strict=True)) or [(), (), ()] for counts in (list(word_counts), list(gram_counts)))
+        place = lambda rows: (np.array([column[x] for x in rows[1]], np.int64), np.array(rows[2], float))
+        self.words = _Table(self._hashes(list(words[0])), *place(words), len(langs))
+        length = np.array([len(g) for g in grams[0]], np.int64)
+        where, n = place(grams)
+        self.grams = {}
+        for k in range(1, longest + 1):
+            mine = np.flatnonzero(length == k)
+            codes = np.frombuffer("".join(grams[0][i] for i in mine).encode("utf-32-le"), "<u4").astype(np.uint64)
+            self.grams[k] = _Table(joined(codes, k)[::k], where[mine], n[mine], len(langs))
+
+    @staticmethod
+    def _hashes(words: list[str]) -> np.ndarray:
+        return find_words(*utf8(pa.array(words, pa.string())), lower=False, gap=_GAP)[0]
+
+    def backoff(self, words: list[str]) -> np.ndarray:
+        """For each word the mean over its known n-grams of the greatest length that has any; zeros without one."""
+        out = np.zeros((len(words), len(self.langs)))
+        left = np.arange(len(words))
+        for k in range(self.longest, 0, -1):
+            if not len(left):
+                break
+            codes, word = _framed([words[i] for i in left.tolist()])
+            grams = joined(codes, k)
+            within = np.flatnonzero(word[: len(grams)] == word[k - 1 :]) if len(grams) else np.zeros(0, np.int64)
+            known, rows = self.grams[k].rows(grams[within])
+            of = word[within[known]]
+            found = np.bincount(of, minlength=len(left))
+            some = np.flatnonzero(found)
+            out[left[some]] = _sums(rows, of, len(left))[some] / found[some][:, None]
+            left = left[found == 0]
+        return out
+
+    def block_bytes(self) -> int:
+        """Bytes of text that are scored at once."""
+        return max(1 << 14, _CELLS // max(1, len(self.langs)) * 2)
+
+    def scores(self, raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The likeliest language (its number, -1 if unknown) of each lower-case text, and its probability."""
+        n = len(offsets) - 1
+        hashes, row, begin, end = find_words(raw, offsets, lower=False, gap=_GAP)
+        letters = np.concatenate([[0], np.cumsum(_ASCII_LETTER[raw])])
+        known = letters[offsets[1:]] > letters[offsets[:-1]]
+        for i in np.flatnonzero(~known & (np.diff(offsets) > 0)).tolist():
+            known[i] = bool(_LETTER.search(raw[offsets[i] : offsets[i + 1]].tobytes().decode(errors="replace")))
+        count = np.bincount(row, minlength=n)
+        known &= (count > 0) & bool(self.langs)
+        best, odds = np.full(n, -1), np.zeros(n)
+        if not known.any():
+            return best, odds
+        different, first, at = np.unique(hashes, return_index=True, return_inverse=True)
+        value = np.zeros((len(different), len(self.langs)))
+        found, rows = self.words.rows(different)
+        value[found] = rows
+        unseen = np.setdiff1d(np.arange(len(different)), found)
+        text = raw.tobytes()
+        value[unseen] = self.backoff([text[a:b].decode(errors="replace") for a, b in zip(begin[first[unseen]].tolist(), end[first[unseen]].tolist(), strict=True)])
+        total = _sums(value[at], row, n) / np.sqrt(np.maximum(count, 1))[:, None]
+        likely = np.exp(total - total.max(axis=1)[:, None])
+        best[known] = likely.argmax(axis=1)[known]
+        odds[known] = (likely.max(axis=1) / likely.sum(axis=1))[known]
+        return best, odds
 
     def score(self, text: str) -> tuple[str, float]:
-        """The likeliest language and its probability."""
-        found = words(text)
-        if not found or not self.langs or not _LETTER.search(text):
-            return UNKNOWN, 0.0
-        if self._rows is None or len(self._at) > len(self.words) + _CACHE:  # forget what was cached
-            self._at = dict(self.words)
-            self._rows = np.concatenate([self.word_rows, np.zeros((_CACHE + len(found) + 1, len(self.langs)))])
-        at = [self._at.get(w, -1) for w in found]
-        for i, a in enumerate(at):
-            if a < 0:
-                w = found[i]
-                a = self._at.get(w, -1)
-                if a < 0:
-                    a = self._at[w] = len(self._at)
-                    if a >= len(self._rows):
-                        self._rows = np.concatenate([self._rows, np.zeros_like(self._rows)])
-                    self._rows[a] = self._backoff(w)
-                at[i] = a
-        total = self._rows[at].sum(axis=0) / len(found) ** 0.5
-        odds = np.exp(total - total.max())
-        best = int(odds.argmax())
-        return self.langs[best], float(odds[best] / odds.sum())
+        """The likeliest language of one text and its probability."""
+        (best,), (odds,) = self.scores(*utf8(pa.array([text.lower()], pa.string())))
+        return (self.langs[best] if best >= 0 else UNKNOWN), float(odds)
 
 
 def remainder(key: Column, by: int) -> Column:
@@ -105,12 +156,31 @@ def remainder(key: Column, by: int) -> Column:
     return F.crc32(key.cast("string").cast("binary")) % by
 
 
-def fit(docs: DataFrame, text: str = "text", lang: str = "lang", max_train: int = MAX_TRAIN, key: str = "doc_id") -> Model:
-    """Learn from ``docs`` with a language and a text: about ``max_train`` rows of each language, chosen by a hash of their key.
-
-    Rows repeated with a key are chosen alike, null keys too; other columns are not
-    read.  The model holds each language's MAX_WORDS most frequent words and
-    MAX_GRAMS n-grams of the sample, with their counts in all languages.  Without a
+def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Arrow function: (lang, lower-case text) -> (lang, word, n) of a block of texts."""
+    for batch in batches:
+        raw, offsets = utf8(batch.column(1))
+        langs = batch.column(0).dictionary_encode()
+        column, names = langs.indices.to_numpy(), langs.dictionary
+        for i, j in spans(offsets, 1 << 20):
+            part = raw[offsets[i] : offsets[j]]
+            hashes, row, begin, end = find_words(part, offsets[i : j + 1] - offsets[i], lower=False, gap=_GAP)
+            of = column[i:j][row]
+            order = np.lexsort((hashes, of))
+            new = np.flatnonzero(np.diff(hashes[order], prepend=~hashes[order[:1]]).astype(bool) | np.diff(of[order], prepend=-1).astype(bool)) if len(order) else np.zeros(0, np.int64)
+            n, text = np.diff(np.append(new, len(order))), part.tobytes()
+            word = [text[a:b].decode(errors="replace") for a, b in zip(begin[order[new]].tolist(), end[order[new]].tolist(), strict=True)]
+            yield pa.RecordBatch.from_arrays([names.take(pa.array(of[order[new]])), pa.array(word, pa.string()), pa.array(n)], ["lang", "word", "n"])
+
+
+def fit(
+    docs: DataFrame, text: str = "text", lang: str = "lang", max_train: int = MAX_TRAIN, key: str = "doc_id", max_words: int = MAX_WORDS, max_grams: int = MAX_GRAMS, longest: int = LONGEST
+) -> Model:
+    """Learn from ``docs`` with a language and a text: about ``max_train`` rows of each language, chosen by a hash of their key and text.
+
+    Rows repeated alike are chosen alike, null keys too; other columns are not
+    read.  The model holds each language's ``max_words`` most frequent words and
+    ``max_grams`` most frequent n-grams of the sample.  Without a
     row to learn from, every prediction is UNKNOWN.
     """
     bounded_batches(docs.sparkSession)
@@ -119,31 +189,20 @@ def fit(docs: DataFrame, text: str = "text", lang: str = "lang", max_train: int
     if not sizes:
         return Model([], [], [])
     share = F.create_map(*(F.lit(x) for name, n in sorted(sizes.items()) for x in (name, min(1.0, max_train / n))))
-    sample = known.where(F.pmod(F.xxhash64("key", F.lit(3)), F.lit(1 << 30)) < share[F.col("lang")] * (1 << 30)).select("text", "lang")
-
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            tally: Counter = Counter()
-            for value, name in zip(batch.column(0), batch.column(1).to_pylist(), strict=True):
-                for w, n in Counter(words(value.as_py())).items():
-                    tally[name, w] += n
-            rows = [(name, w.decode(errors="replace"), n) for (name, w), n in tally.items()]
-            columns = list(zip(*rows, strict=True)) if rows else [[], [], []]
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, (pa.string(), pa.string(), pa.int64()), strict=True)], ["lang", "word", "n"])
-
-    counts = durable(sample.mapInArrow(count, "lang string, word string, n long").groupBy("lang", "word").agg(F.sum("n").alias("n")), "words")
+    sample = known.where(F.pmod(F.xxhash64("key", "text", F.lit(3)), F.lit(1 << 30)) < share[F.col("lang")] * (1 << 30)).select("lang", F.lower("text"))
+    counts = durable(sample.mapInArrow(_counted, "lang string, word string, n long").groupBy("lang", "word").agg(F.sum("n").alias("n")), "words")
     framed = F.concat(F.lit("<"), F.col("word"), F.lit(">"))
-    grams = counts.select("lang", "n", F.explode(F.flatten(F.array(*(F.transform(F.sequence(F.lit(1), F.greatest(F.char_length(framed) - n + 1, F.lit(1))), lambda i, n=n: F.substring(framed, i, F.lit(n))) for n in range(1, LONGEST + 1))))).alias("gram"))
-    grams = durable(grams.groupBy("lang", "gram").agg(F.sum("n").alias("n")), "grams")
+    places = lambda n: F.when(F.char_length(framed) >= n, F.sequence(F.lit(1), F.char_length(framed) - n + 1)).otherwise(F.array().cast("array<int>"))
+    grams = counts.select("lang", "n", F.explode(F.flatten(F.array(*(F.transform(places(n), lambda i, n=n: F.substring(framed, i, F.lit(n))) for n in range(1, longest + 1))))).alias("gram"))
+    grams = grams.groupBy("lang", "gram").agg(F.sum("n").alias("n"))
 
     def top(table: DataFrame, entry: str, most: int) -> list[tuple[str, str, int]]:
-        """Each language's most frequent entries, counted in all; at most ``most`` times the square of the number of languages."""
-        best = [table.where(F.col("lang") == name).orderBy(F.desc("n"), entry).limit(most).select(entry) for name in sorted(sizes)]
-        chosen = reduce(DataFrame.unionAll, best).distinct()
-        rows = table.join(F.broadcast(chosen), entry).select(entry, "lang", "n").collect()  # chosen: at most ``most`` rows a language
-        return sorted((r[entry], r["lang"], r["n"]) for r in rows)
+        """Each language's ``most`` most frequent entries, with their counts in it."""
+        first = F.row_number().over(Window.partitionBy("lang").orderBy(F.desc("n"), entry))
+        rows = table.withColumn("first", first).where(F.col("first") <= most).select(entry, "lang", "n").toArrow()  # at most ``most`` rows a language
+        return sorted(zip(*(c.to_pylist() for c in rows.columns), strict=True))
 
-    return Model(sorted(sizes), top(counts, "word", MAX_WORDS), top(grams, "gram", MAX_GRAMS))
+    return Model(sorted(sizes), top(counts, "word", max_words), top(grams, "gram", max_grams), longest)
 
 
 def predict(docs: DataFrame, model: Model, text: str = "text", key: str = "doc_id") -> DataFrame:
@@ -155,14 +214,16 @@ def predict(docs: DataFrame, model: Model, text: str = "text", key: str = "doc_i
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        model = shared.value
+        names = pa.array([*model.langs, UNKNOWN])
         for batch in batches:
-            _, offsets = utf8(batch.column(1))
-            for i, j in spans(offsets, BATCH_BYTES):
-                got = [shared.value.score(t or "") for t in batch.column(1).slice(i, j - i).to_pylist()]
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(i, j - i), pa.array([g[0] for g in got]), pa.array([g[1] for g in got])], ["key", "lang_pred", "score"])
+            raw, offsets = utf8(batch.column(1))
+            for i, j in spans(offsets, model.block_bytes()):
+                best, odds = model.scores(raw[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i])
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(i, j - i), names.take(pa.array(best % len(names))), pa.array(odds)], ["key", "lang_pred", "score"])
 
     kind = docs.schema[key].dataType.simpleString()
-    out = docs.select(docs[key].alias("key"), docs[text].cast("string").alias("text")).mapInArrow(run, f"key {kind}, lang_pred string, score double")
+    out = docs.select(docs[key].alias("key"), F.lower(docs[text].cast("string")).alias("text")).mapInArrow(run, f"key {kind}, lang_pred string, score double")
     return out.withColumnRenamed("key", key)
 
 

@@ -254,14 +254,12 @@ def test_language_of_hard_rows(spark, hard, docs, empty):
     assert langid.predict(empty, model).count() == 0
 
 
-def test_small_languages_have_their_own_words(spark, monkeypatch):
+def test_small_languages_have_their_own_words(spark):
     """A language with few documents keeps its words beside a large one, and copies don't fill the sample."""
-    monkeypatch.setattr(langid, "MAX_WORDS", 40)
-    monkeypatch.setattr(langid, "MAX_GRAMS", 200)
     rng = np.random.default_rng(4)
     texts = [("big", " ".join(f"qa{x}" for x in rng.integers(100, 400, 30))) for _ in range(300)] + [("big", "qa100 " * 30)] * 300 + [("small", "zu" + " zu".join("abcdef"))] * 3
     df = spark.createDataFrame([(i, *t) for i, t in enumerate(texts)], "doc_id long, lang string, text string")
-    model = langid.fit(df, max_train=100)
+    model = langid.fit(df, max_train=100, max_words=40, max_grams=200)
     assert model.score("zua zub zuc")[0] == "small" and model.score("zuq zur")[0] == "small" and model.score("qa200 qa999")[0] == "big"
     assert langid.Model([], [], []).score("any")[0] == "und"
 
@@ -272,6 +270,73 @@ def test_unseen_words_back_off():
     assert model.score("123 !")[0] == "und"
 
 
+def plain_language(train, texts, max_words, max_grams, longest=4):
+    """The language of each text by dictionaries alone."""
+    split = lambda t: re.findall(r"(?:[a-z]|[^\x00-\x7f])+", t.lower())
+    grams_of = lambda w, k: [f"<{w}>"[i : i + k] for i in range(len(w) + 3 - k)]
+    langs, counts = sorted({lang for lang, _ in train}), defaultdict(Counter)
+    for lang, text in train:
+        counts[lang].update(split(text))
+
+    def table(of, most):
+        kept = {}
+        for lang in langs:
+            for e, n in sorted(of[lang].items(), key=lambda x: (-x[1], x[0]))[:most]:
+                kept.setdefault(e, {})[lang] = n
+        return kept
+
+    every = {lang: Counter() for lang in langs}
+    for lang in langs:
+        for w, n in counts[lang].items():
+            for k in range(1, longest + 1):
+                for g in grams_of(w, k):
+                    every[lang][g] += n
+    words, grams = table(counts, max_words), table(every, max_grams)
+
+    def logs(kept):
+        total = {lang: sum(x.get(lang, 0) for x in kept.values()) + 0.5 * max(1, len(kept)) for lang in langs}
+        return {e: [np.log((x.get(lang, 0) + 0.5) / total[lang]) for lang in langs] for e, x in kept.items()}
+
+    words = logs(words)
+    grams = {k: logs({g: x for g, x in grams.items() if len(g) == k}) for k in range(1, longest + 1)}
+    out = []
+    for text in texts:
+        total, found = np.zeros(len(langs)), split(text)
+        for w in found:
+            if w in words:
+                total += words[w]
+                continue
+            for k in range(longest, 0, -1):
+                known = [grams[k][g] for g in grams_of(w, k) if g in grams[k]]
+                if known:
+                    total += np.mean(known, axis=0)
+                    break
+        odds = np.exp((total - total.max()) / len(found) ** 0.5)
+        out.append((langs[int(odds.argmax())], odds.max() / odds.sum()))
+    return out
+
+
+def test_language_scores_equal_plain_python(spark, docs):
+    train = docs.where("lang is not null and text is not null and doc_id % 3 = 0")
+    texts = [(r.doc_id, r.text) for r in docs.where("text is not null and length(text) < 4000").collect() if re.search(r"[a-zA-Z]", r.text)]
+    got = {r["doc_id"]: r for r in rows(langid.predict(docs, langid.fit(train, max_words=60, max_grams=300)))}
+    want = plain_language([(r.lang, r.text) for r in train.collect()], [t for _, t in texts], 60, 300)
+    for (key, _), (lang, odds) in zip(texts, want, strict=True):
+        assert abs(got[key]["score"] - odds) < 1e-9 and (got[key]["lang_pred"] == lang or odds < 0.51)
+
+
+def test_sixty_languages(spark):
+    """The model grows with the languages, each with its own words; unseen words are told by their letters."""
+    rng = np.random.default_rng(9)
+    stems = [[f"{a}{b}" for a in rng.permutation(list("bcdfgklmnp"))[:3] for b in rng.permutation(list("aeiou"))[:3]] for _ in range(60)]
+    draw = lambda k: " ".join(f"l{k:02d}"[1:].translate({48 + i: c for i, c in enumerate("qwrtyzhjvx")}) + "".join(rng.choice(stems[k], 2)) for _ in range(25))
+    df = spark.createDataFrame([(i, f"lang{i % 60:02d}", draw(i % 60)) for i in range(1200)], "doc_id long, lang string, text string")
+    model = langid.fit(df, max_train=15, max_words=20, max_grams=60)
+    assert len(model.langs) == 60 and len(model.words.held) <= 60 * 20 and sum(len(t.held) for t in model.grams.values()) <= 60 * 60
+    got = rows(langid.predict(df, model).join(df.select("doc_id", "lang"), "doc_id"))
+    assert np.mean([g["lang_pred"] == g["lang"] for g in got]) > 0.95
+
+
 # --- 4: mixing -------------------------------------------------------------------------------
 
 
