@@ -192,8 +192,13 @@ def fit(
     sample = known.where(F.pmod(F.xxhash64("key", "text", F.lit(3)), F.lit(1 << 30)) < share[F.col("lang")] * (1 << 30)).select("lang", F.lower("text"))
     counts = durable(sample.mapInArrow(_counted, "lang string, word string, n long").groupBy("lang", "word").agg(F.sum("n").alias("n")), "words")
     framed = F.concat(F.lit("<"), F.col("word"), F.lit(">"))
-    places = lambda n: F.when(F.char_length(framed) >= n, F.sequence(F.lit(1), F.char_length(framed) - n + 1)).otherwise(F.array().cast("array<int>"))
-    grams = counts.select("lang", "n", F.explode(F.flatten(F.array(*(F.transform(places(n), lambda i, n=n: F.substring(framed, i, F.lit(n))) for n in range(1, longest + 1))))).alias("gram"))
+
+    def places(n: int) -> Column:
+        """All n-grams of a framed word."""
+        begins = F.when(F.char_length(framed) >= n, F.sequence(F.lit(1), F.char_length(framed) - n + 1)).otherwise(F.array().cast("array<int>"))
+        return F.transform(begins, lambda i: F.substring(framed, i, F.lit(n)))
+
+    grams = counts.select("lang", "n", F.explode(F.flatten(F.array(*(places(n) for n in range(1, longest + 1))))).alias("gram"))
     grams = grams.groupBy("lang", "gram").agg(F.sum("n").alias("n"))
 
     def top(table: DataFrame, entry: str, most: int) -> list[tuple[str, str, int]]:
