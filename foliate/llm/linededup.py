@@ -2,7 +2,8 @@
 
 A line ends a chunk where the rolling hash over its hash and that of the line
 before it begins with a hex digit below 8, so boundaries move with the lines and
-not with their numbers.  Chunks of several lines that occur more than once in the
+not with their numbers.  A line of over MOST_WORDS words is a passage itself and makes a
+chunk alone.  Such chunks and those of several lines that occur more than once in the
 corpus are grouped by hash and bytes; all but the first occurrence go.
 """
 
@@ -29,34 +30,45 @@ def _rolling(hashes: Column, i: Column) -> Column:
     return F.md5(F.concat(*(F.coalesce(F.get(hashes, i - k), F.lit("")) for k in range(WINDOW_LINES - 1, -1, -1))))
 
 
-def line_chunks(docs: DataFrame, text: str) -> DataFrame:
-    """Add _lines, _ends (index of each chunk's last line) and _chunks (texts) to ``docs``."""
+def _words(line: Column) -> Column:
+    """How many words a line has, or would have if LONG_WORD characters were the longest."""
+    return F.greatest(F.regexp_count(line, F.lit(r"\S+")), F.ceil(F.char_length(line) / LONG_WORD)).cast("long")
+
+
+def line_chunks(docs: DataFrame, text: str, alone: bool = False) -> DataFrame:
+    """Add _lines, _ends (index of each chunk's last line) and _chunks (texts) to ``docs``.
+
+    With ``alone`` lines of over MOST_WORDS words are chunks of their own.
+    """
     out = docs.withColumn("_lines", F.split(F.coalesce(F.col(text), F.lit("")), "\n", -1))
     out = out.withColumn("_hashes", F.transform("_lines", lambda x: F.md5(x)))
+    # a line of more words has at least a character and a blank for each but one
+    long = lambda x: (F.char_length(x) > 2 * MOST_WORDS) & (_words(x) > MOST_WORDS) if alone else F.lit(False)
+    out = out.withColumn("_long", F.transform("_lines", long))
     last = F.size("_hashes") - 1
-    out = out.withColumn("_ends", F.filter(F.sequence(F.lit(0), last), lambda i: (i == last) | (F.substring(_rolling(F.col("_hashes"), i), 1, 1) < BREAK_BELOW)))
+    out = out.withColumn("_ends", F.filter(F.sequence(F.lit(0), last), lambda i: (i == last) | F.get("_long", i) | F.get("_long", i + 1) | (F.substring(_rolling(F.col("_hashes"), i), 1, 1) < BREAK_BELOW)))
 
     def chunk(end: Column, k: Column) -> Column:
         begin = F.when(k == 0, F.lit(0)).otherwise(F.get("_ends", k - 1) + 1)
-        return F.struct(F.array_join(F.transform(_run(begin, end + 1), lambda i: F.get("_lines", i)), "\n").alias("text"), (end - begin + 1).alias("lines"))
+        return F.struct(F.array_join(F.transform(_run(begin, end + 1), lambda i: F.get("_lines", i)), "\n").alias("text"), (end - begin + 1).alias("lines"), F.get("_long", end).alias("long"))
 
-    return out.withColumn("_chunks", F.transform("_ends", chunk)).drop("_hashes")
+    return out.withColumn("_chunks", F.transform("_ends", chunk)).drop("_hashes", "_long")
 
 
 def dedup_lines(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
     """``docs`` with repeated chunks cut out of ``text``; removed_chunks and removed_lines are added (or replaced).
 
-    Of equal chunks (at least MIN_LINES lines, not all blank) the one in the
+    Of equal chunks (at least MIN_LINES lines, not all blank, or one line of over MOST_WORDS words) the one in the
     document with the smallest key stays, the first of them within it; documents
-    with a null key come last.  Chunks are equal when their bytes are.  A text
+    with a null key come last.  Keys must be whole numbers.  Chunks are equal when their bytes are.  A text
     from which nothing is cut is unchanged, null included; one that is cut whole
     becomes empty and its row stays.  Rows repeated alike are treated alike.
     Other columns pass through unchanged, whatever their names.
     """
     base = docs.select(F.struct(*(docs[c] for c in docs.columns if c != text)).alias("row"), docs[key].alias("key"), docs[text].alias("text"), F.xxhash64(docs[text]).alias("print"))
-    made = line_chunks(base.select("key", "print", "text"), "text")
+    made = line_chunks(base.select("key", "print", "text"), "text", alone=True)
     # an outer generator, so that no filter on the array's size is pushed below it and evaluates it again
-    chunks = made.select("key", "print", F.posexplode_outer("_chunks").alias("pos", "chunk")).where((F.col("chunk.lines") >= MIN_LINES) & F.col("chunk.text").rlike(r"[^\s]"))
+    chunks = made.select("key", "print", F.posexplode_outer("_chunks").alias("pos", "chunk")).where(F.col("chunk.long") | (F.col("chunk.lines") >= MIN_LINES) & F.col("chunk.text").rlike(r"[^\s]"))
     place = F.coalesce(F.col("key").cast("decimal(28,0)"), F.lit("9223372036854775808").cast("decimal(28,0)")) * F.lit(_PLACES).cast("decimal(10,0)") + F.col("pos")
     chunks = chunks.select("key", "print", "pos", place.cast("decimal(38,0)").alias("place"), F.col("chunk.lines").alias("n"), F.md5(F.col("chunk.text")).alias("hash"), F.col("chunk.text").alias("bytes"))
     repeated = chunks.groupBy("hash", "bytes").agg(F.count(F.lit(1)).alias("times"), F.min("place").alias("first")).where("times > 1").select(F.col("hash").alias("again"), "first")
@@ -71,7 +83,7 @@ def dedup_lines(docs: DataFrame, text: str = "text", key: str = "doc_id") -> Dat
 def _without(df: DataFrame) -> DataFrame:
     """Cut the chunks in ``cuts`` from ``text``: what lies between two cuts is joined again, as ``new``."""
     cut = F.col("cuts").isNotNull()
-    own = line_chunks(df.withColumn("part", F.when(cut, F.col("text"))), "part")
+    own = line_chunks(df.withColumn("part", F.when(cut, F.col("text"))), "part", alone=True)
 
     def between(k: Column) -> Column:
         low = F.when(k == 0, F.lit(0)).otherwise(F.get("cuts", k - 1)["pos"] + 1)
@@ -94,10 +106,10 @@ def _passages(docs: DataFrame) -> DataFrame:
     Any longer run is covered by such runs inside it.  Lines without words neither
     begin nor end a run and are passed over within.
     """
-    line, words = F.col("line"), F.regexp_count("line", F.lit(r"\S+"))
+    line = F.col("line")
     # numbered before the lines are, so that repeated rows stay apart
     rows = docs.withColumn("row", F.monotonically_increasing_id()).select("row", "key", "print", F.posexplode(F.split("text", "\n", -1)).alias("pos", "line"))
-    rows = rows.where(F.col("line").rlike(r"\S")).select("row", "key", "print", "pos", F.unhex(F.sha2(line, 256)).alias("hash"), F.greatest(words, F.ceil(F.char_length("line") / LONG_WORD)).cast("long").alias("words"))
+    rows = rows.where(F.col("line").rlike(r"\S")).select("row", "key", "print", "pos", F.unhex(F.sha2(line, 256)).alias("hash"), _words(line).alias("words"))
     upto = F.sum("words").over(Window.partitionBy("row").orderBy("pos"))
     rows = rows.withColumn("upto", upto).withColumn("before", F.col("upto") - F.col("words"))
     rows = rows.withColumn("n", F.row_number().over(Window.partitionBy("row").orderBy("pos")))
@@ -154,21 +166,24 @@ ORACLE = """
 WITH lines AS (
   SELECT doc_id, text, string_split(coalesce(text, ''), chr(10)) AS l FROM documents
 ), hashed AS (
-  SELECT *, list_transform(l, lambda x: md5(x)) AS h FROM lines
+  SELECT *, list_transform(l, lambda x: md5(x)) AS h,
+         list_transform(l, lambda x: length(x) > 800 OR len(regexp_extract_all(x, '[^ \\t\\n\\x0B\\f\\r]+')) > 50) AS long
+  FROM lines
 ), ended AS (
-  SELECT *, list_filter(range(len(l)), lambda i: i = len(l) - 1 OR
+  SELECT *, list_filter(range(len(l)), lambda i: i = len(l) - 1 OR long[i + 1] OR long[i + 2] OR
       substr(md5(CASE WHEN i = 0 THEN h[1] ELSE h[i] || h[i + 1] END), 1, 1) < '8') AS e
   FROM hashed
 ), chunked AS (
   SELECT doc_id, text, list_transform(range(len(e)), lambda k: {
       'p': k,
       'n': e[k + 1] - (CASE WHEN k = 0 THEN -1 ELSE e[k] END),
+      'long': long[e[k + 1] + 1],
       't': array_to_string(l[(CASE WHEN k = 0 THEN 0 ELSE e[k] + 1 END) + 1 : e[k + 1] + 1], chr(10))}) AS c
   FROM ended
 ), flat AS (
-  SELECT doc_id, u.p AS p, u.n AS n, u.t AS t FROM (SELECT doc_id, unnest(c) AS u FROM chunked)
+  SELECT doc_id, u.p AS p, u.n AS n, u.t AS t, u.long AS long FROM (SELECT doc_id, unnest(c) AS u FROM chunked)
 ), marked AS (
-  SELECT *, n >= 2 AND regexp_matches(t, '[^ \\t\\n\\x0B\\f\\r]')
+  SELECT *, (long OR n >= 2 AND regexp_matches(t, '[^ \\t\\n\\x0B\\f\\r]'))
       AND row_number() OVER (PARTITION BY t ORDER BY doc_id, p) > 1 AS cut
   FROM flat
 )

@@ -798,6 +798,17 @@ def test_chunks_move_with_their_lines(spark, empty):
     assert linededup.dedup_lines(empty).count() == 0
 
 
+def test_no_line_of_a_passage_stays_twice(spark, docs):
+    """Lines of over 50 words are passages themselves: each stays once, whatever stands beside it."""
+    long = lambda t: [x for x in (t or "").split("\n") if len(re.findall(r"\S+", x, re.A)) > 50]
+    before = Counter(x for r in docs.collect() for x in long(r["text"]))
+    after = Counter(x for r in rows(linededup.op10_line_dedup(spark, DATA)) for x in long(r["text"]))
+    assert max(before.values()) > 1 and after.keys() == before.keys() and set(after.values()) == {1}
+    line = " ".join(f"w{i}" for i in range(60))
+    df = spark.createDataFrame([(1, f"a\n{line}\nb"), (2, f"c\n{line}\n{line}"), (3, line), (4, line[:200])], "doc_id long, text string")
+    assert {r["doc_id"]: r["text"] for r in linededup.dedup_lines(df).collect()} == {1: f"a\n{line}\nb", 2: "c", 3: "", 4: line[:200]}
+
+
 def chunk_spans(text):
     """(first line, last line) of each chunk of at least two lines, not all blank."""
     lines = text.split("\n")
