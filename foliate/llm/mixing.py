@@ -24,6 +24,8 @@ BLOCK_WORDS = 64
 SHARD_SLOTS = 4096
 #: Slots of one source that one row of a plan stands for before it is dealt to a task.
 RUN_SLOTS = 16_384
+#: Tasks that slots are made in, at most; beyond that a task makes more runs.
+MOST_TASKS = 20_000
 ROUNDS = 12
 SEED = 20240229
 WORD = r"[^\x20\x09-\x0D]+"
@@ -101,7 +103,7 @@ def slots(mixed: DataFrame, block_words: int = BLOCK_WORDS, shard_slots: int = S
     total = int(share.agg(F.coalesce(F.sum("wanted"), F.lit(0))).first()[0])  # one number
     # runs of a source's slots, dealt to as many tasks as their number asks for
     runs = share.where("wanted > 0").select("rank", "blocks", "wanted", "before", F.explode_outer(F.sequence(F.lit(0).cast("long"), F.floor((F.col("wanted") - 1) / RUN_SLOTS))).alias("run"))
-    runs = runs.repartition(max(1, -(-total // (4 * RUN_SLOTS))), "rank", "run")
+    runs = runs.repartition(min(MOST_TASKS, max(1, -(-total // (4 * RUN_SLOTS)))), "rank", "run")
     begin = F.col("run") * RUN_SLOTS
     slot = runs.select("rank", "blocks", "before", F.explode_outer(F.sequence(begin, F.least(begin + RUN_SLOTS, F.col("wanted")) - 1)).alias("nth"))
     slot = slot.withColumn("pass", F.floor(F.col("nth") / F.col("blocks")))

@@ -106,29 +106,30 @@ class Attention:
                 self.p[k] = p[k] - RATE * (m[k] / (1 - 0.9**step)) / (np.sqrt(v[k] / (1 - 0.999**step)) + 1e-8)
 
 
-def fit(docs: DataFrame, labels: DataFrame, text: str = "text", key: str = "doc_id", label: str = "quality") -> Attention:
-    """Learn from the documents that ``labels`` (key, label 0 or 1) marks: at most MAX_TRAIN, chosen by a hash of their key.
+def fit(docs: DataFrame, labels: DataFrame, text: str = "text", key: str = "doc_id", label: str = "quality", max_train: int = MAX_TRAIN, max_passages: int = MAX_PASSAGES) -> Attention:
+    """Learn from the documents that ``labels`` (key, label 0 or 1) marks: at most ``max_train``, chosen by a hash of their key.
 
-    Of a longer document MAX_PASSAGES passages are learned from, evenly spread over it; scores
+    Of a longer document ``max_passages`` passages are learned from, evenly spread over it; scores
     are of all passages.  Null labels and null keys don't count; of several labels of a key
-    the highest does, and every row of that key is learned from.  Other columns are not
+    the highest does, and of several rows of a key one is learned from, chosen by a hash of its text.  Other columns are not
     read.  Without labels of both kinds every score is their share.
     """
     bounded_batches(docs.sparkSession)
     marked = labels.select(labels[key].alias("k"), labels[label].cast("double").alias("y")).where("k is not null and y in (0, 1)")
-    marked = marked.groupBy("k").agg(F.max("y").alias("y")).orderBy(F.xxhash64("k"), "k").limit(MAX_TRAIN)
+    marked = marked.groupBy("k").agg(F.max("y").alias("y")).orderBy(F.xxhash64("k"), "k").limit(max_train)
 
     def features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             raw, offsets = utf8(batch.column(1))
             for i, j in spans(offsets, BATCH_BYTES):
                 got, first = encode_passages(raw[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i])
-                few = [got[a:b][np.unique(np.linspace(0, b - a - 1, min(b - a, MAX_PASSAGES)).astype(int))] for a, b in zip(first[:-1], first[1:], strict=True)]
+                few = [got[a:b][np.unique(np.linspace(0, b - a - 1, min(b - a, max_passages)).astype(int))] for a, b in zip(first[:-1], first[1:], strict=True)]
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(i, j - i), batch.column(2).slice(i, j - i), pa.array([f.tobytes() for f in few], pa.binary())], ["k", "y", "f"])
 
     texts = docs.select(docs[key].alias("k"), docs[text].cast("string").alias("text"))
     kind = docs.schema[key].dataType.simpleString()
-    sample = texts.join(F.broadcast(marked), "k").select("k", "text", "y").mapInArrow(features, f"k {kind}, y double, f binary")  # at most MAX_TRAIN rows are broadcast
+    chosen = texts.join(F.broadcast(marked), "k").groupBy("k").agg(F.min_by(F.coalesce("text", F.lit("")), F.xxhash64("text")).alias("text"), F.max("y").alias("y"))  # at most max_train rows are broadcast
+    sample = chosen.mapInArrow(features, f"k {kind}, y double, f binary")
     got = sorted(sample.collect(), key=lambda r: (r["k"], bytes(r["f"])))
     y = np.array([r["y"] for r in got])
     bags = [np.frombuffer(r["f"], np.float32).reshape(-1, FEATURES) for r in got]
@@ -146,6 +147,7 @@ def score(docs: DataFrame, model: Attention, text: str = "text", key: str = "doc
     """(key, score) of every whole text; with ``keep`` (row, score), where row holds all columns of ``docs``.
 
     Null and empty texts get a score too: that of a document with one empty passage.
+    Keys are passed on, null and repeated ones too; without ``keep`` other columns are not read.
     """
     bounded_batches(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(model)
