@@ -137,3 +137,37 @@ QUESTION_ID = r"(?i)question\s*id"
 SOLUTION_NUMBER = r"(?i)^(?:\|?\s*)?(?:\*\*)?\s*(?:Q\.?\s*)?(\d{1,3})\s*[\.\)]"
 SOLUTION_LABEL = r"(?i)(?:Ans(?:wer)?[\.\:]?\s*)?(?:\(\s*\*?([A-Ea-e])\s*\*?\s*\)|([A-Ea-e])\s*[\)\.:]|Answer\s*:\s*([A-Ea-e])\b)"
 SOLUTION_NOISE = r"(?i)(?:free\s+mock|download\s+pdf|www\.|subscribe\s+now)"
+
+# --- fixed values: families of options inside one line (rows 201-207) ---------------------------
+LINE_BULLET = r"^[-•]\s+"
+ANCHOR_STRIP = r"(?i)^(?:[-•*]\s*)?(?:\*\*)?(?:Q\.?\s*)?\d{1,3}\s*[\.\)]\s*(?:\*\*)?\s*"
+FIRST_MARKER = r"(?i)(?:\(\*?[A-Da-d]\*?\)|\([A-Da-d]\)|(?:^|\s)[A-Da-d]\.\s|(?:^|\s)[1-4]\s*[\.\)]\s|(?:^|\s)(?:Ans(?:wer)?\s*)?[1-4]\s*[\.\)])"
+PIPE_TABLE_OPTION = r"^(?:\|+\s*)+([A-Da-d])\s{2,}(.+?)\s*\|?\s*$"
+MATHSF_OPTION = r"(?i)\\mathsf\{([A-Da-d])\}"
+EXPLICIT_LABELS = (r"\*\*[A-Da-d]\*\*", r"\([A-Da-d]\)", r"\(\*?[A-Da-d]\*?\)", r"(?:^|\s)[A-Da-d]\.")
+#: Several options in one line, each text up to the next marker of its family.
+SEVERAL = (
+    r"\(\*?([A-Da-d])\*?\)\s*([^(*]+?)(?=\s*\(\*?[A-Da-d]\*?\)|$)",
+    r"[-*+]\s+\*\*([A-Da-d])\*\*\s*([^-*]+?)(?=(?:\s*[-*+]\s+\*\*[A-Da-d]\*\*)|$)",
+    r"\*\*([A-Da-d])\*\*\s*([^*]+?)(?=\s*\*\*[A-Da-d]\*\*|$)",
+    r"\(([A-Da-d])\)\s*([^()]+?)(?=\s*\([A-Da-d]\)|$)",
+    r"(?:^|\s)([A-Da-d])\.\s+([^A-D.]+?)(?=(?:\s+[A-D]\.)|$)",
+)
+SEVERAL_NUMERIC = r"(?i)(?:Ans(?:wer)?\s*)?(\d+)\s*[\.\)]\s*([^0-9]+?)(?=(?:\s*(?:Ans(?:wer)?\s*)?\d+\s*[\.\)])|$)"
+#: One option a line, in the order of trial.
+SINGLE = (
+    r"(?i)^[✓✔√×xX★🔀\s]*(?:<[^>]+>)*\s*([A-Da-d])\.\s*(.+)$",
+    r"^[-*+]\s+\*\*([A-Da-d])\*\*\s+(.+)$",
+    r"^\*\*?([A-Da-d])\*\*?\s+(.+)$",
+    r"^[-*+]\s+\(\*?([A-Da-d])\*?\)\s*(.+)$",
+    r"^[-*+]\s+([A-Da-d])\s+(.+)$",
+    r"^\s*\(\*?([A-Da-d])\*?\)\s*(.+)$",
+    r"^([A-Da-d])\.\s+(.+)$",
+    r"^([A-Da-d])\s+(.+)$",
+)
+TABLE_OPTION = r"^\|?\s*\|?\s*([^\s|])\s*\|\s*(.+?)\s*\|?\s*$"
+PAREN_LABEL = r"\(\*?([A-Da-d])\*?\)"
+OPTION_NOISE = r"(?i)(?:free\s+mock|download\s+pdf|www\.|subscribe\s+now|all\s+exams|one\s+subscription|attempt\s+free\s+mock|personalised\s+report|unlimited\s+re-?attempt|exam\s+covered|refund)"
+BOLD_OPTION_LINE = r"^\*\*([A-Da-d])\*\*"
+ANCHOR_LOOK = r"^(?:[-•*]|\*\*|[Qq]\.?\s*\d)"
+MATCHED_ANYWHERE = r"\([*A-Da-d]|\*[A-Da-d]\*|[A-Da-d]\.|^[^\w|]*[A-Da-d]\s|\||\\mathsf|\d\s*[\.\)]"
