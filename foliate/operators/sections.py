@@ -65,15 +65,17 @@ def question_anchors(lines: DataFrame) -> DataFrame:
     return found.join(kept, ["doc_id", "number", "line_number"])
 
 
-def selected_anchors(lines: DataFrame, expected: DataFrame | None = None) -> DataFrame:
+def selected_anchors(lines: DataFrame, expected: DataFrame | None = None, anchors: DataFrame | None = None) -> DataFrame:
     """(doc_id, number, line_number): the best-ranked anchor of each number before the solutions.
 
     After the heading of a mere answer key, anchors that are surely questions count
     too.  ``expected`` (doc_id, expected_count) lets a document with too few anchors
-    ignore its heading, if that gives more.
+    ignore its heading, if that gives more.  ``anchors`` are the :func:`question_anchors` of the lines,
+    found here if not given; read from a stored table, they keep the patterns of both steps
+    out of one stage, whose generated code would be too large.
     """
     heads = headings(lines)
-    found = question_anchors(lines).where(~_is(A.starts_solution) & ~_is(A.is_key_anchor)).join(heads, "doc_id", "left")
+    found = (question_anchors(lines) if anchors is None else anchors).where(~_is(A.starts_solution) & ~_is(A.is_key_anchor)).join(heads, "doc_id", "left")
     after = F.coalesce(F.col("line_number") >= F.col("heading_line"), F.lit(False))
     early = ~after | ((F.col("section_type") == "answer_key_section") & _is(A.goes_on))
     ranked = found.select("doc_id", "number", "line_number", early.alias("early"), (_is(A.anchor_rank) - F.when(after, 10000).otherwise(0)).alias("rank"))

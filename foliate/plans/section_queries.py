@@ -17,15 +17,20 @@ def section_split(spark, sf_dir):
     return S.section_split(tables.classified(spark, sf_dir))
 
 
-def _expected(lines):
-    """As many questions as the highest number of an anchor."""
-    return S.question_anchors(lines).groupBy("doc_id").agg(F.max("number").alias("expected_count"))
+def ranked_windows(spark, sf_dir):
+    """The windows of the best-ranked anchors; as many questions are expected as the highest number of an anchor."""
+
+    def made():
+        lines = tables.classified(spark, sf_dir)
+        anchors = tables.shared(spark, sf_dir, "anchors", lambda: S.question_anchors(lines))
+        return S.windows(lines, S.selected_anchors(lines, anchors.groupBy("doc_id").agg(F.max("number").alias("expected_count")), anchors))
+
+    return tables.shared(spark, sf_dir, "ranked-windows", made)
 
 
 def question_windows(spark, sf_dir):
     """Question windows by the best-ranked anchor of each number, with what is among their lines."""
-    lines = tables.classified(spark, sf_dir)
-    out = S.windows(lines, S.selected_anchors(lines, _expected(lines)))
+    out = ranked_windows(spark, sf_dir)
     return out.withColumn("line_numbers", F.concat_ws(",", F.transform("line_numbers", lambda x: x.cast("string"))))
 
 

@@ -21,8 +21,7 @@ from foliate.plans.lineage import durable
 
 
 def _windows(spark, sf_dir):
-    lines = tables.classified(spark, sf_dir)
-    return tables.shared(spark, sf_dir, "ranked-windows", lambda: S.windows(lines, S.selected_anchors(lines, SQ._expected(lines))))
+    return SQ.ranked_windows(spark, sf_dir)
 
 
 def _judged(spark, sf_dir):
