@@ -171,3 +171,9 @@ OPTION_NOISE = r"(?i)(?:free\s+mock|download\s+pdf|www\.|subscribe\s+now|all\s+e
 BOLD_OPTION_LINE = r"^\*\*([A-Da-d])\*\*"
 ANCHOR_LOOK = r"^(?:[-•*]|\*\*|[Qq]\.?\s*\d)"
 MATCHED_ANYWHERE = r"\([*A-Da-d]|\*[A-Da-d]\*|[A-Da-d]\.|^[^\w|]*[A-Da-d]\s|\||\\mathsf|\d\s*[\.\)]"
+
+# --- fixed values: question numbers at which a block of a window begins (rows 131, 132) ----------------
+BLOCK_ANCHOR = r"^(?:[-*+]\s+)?(?:\|\s*)?(?:\*\*)?(\d{1,3})\.(?:\*\*)?\s*(?:\|\s*)?"
+BOLD_ANCHOR = r"\*\*(\d{1,3})\.\*\*"
+#: Where else, in the first characters of a line, its question's number may stand.
+NUMBER_PLACES = (r"^(?:[-*+]\s+)?\*\*(\d+)\.", r"^(\d+)\.\s", r"^\|\s*(\d+)\.", r"^(\d+)\s*\|\s*", r"\*\*(\d+)\.\*\*")

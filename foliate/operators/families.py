@@ -125,19 +125,25 @@ def stem_of(text: Column, anchor: Column) -> Column:
     return T.strip(F.split(bare, T.uni(P.FIRST_MARKER), 2)[0])
 
 
-def window_options(lines: DataFrame) -> DataFrame:
-    """(doc_id, question_number, options, stem) of each window.
+def read_lines(lines: DataFrame) -> DataFrame:
+    """Those of ``lines`` (doc_id, question_number, line_number, raw, is_anchor, is_option_line) that say something, with their ``options``.
 
-    ``lines`` (doc_id, question_number, line_number, raw, is_anchor, is_option_line) are those of the
-    windows.  Option lines are read before the others, and the first option of a
-    key counts; at most MOST_OPTIONS stay, by key.  A line without options adds
-    what stands before its first marker to the stem; noise, rows of answer keys and lone images add nothing.
+    Blank lines, noise, rows of answer keys and lone images say nothing.
     """
     raw = T.strip(F.coalesce(F.col("raw"), F.lit("")))
     without = T.strip(F.regexp_replace(raw, P.IMAGE_REF, ""))
     lone = raw.rlike(P.IMAGE_REF) & (F.char_length(without) < IMAGE_ALONE)
-    read = lines.where((raw != "") & ~T.has(raw, P.OPTION_NOISE) & ~T.is_answer_key_line(raw) & ~lone)
-    told = line_options(read, anchor=F.col("is_anchor"))
+    says = lines.where((raw != "") & ~T.has(raw, P.OPTION_NOISE) & ~T.is_answer_key_line(raw) & ~lone)
+    return line_options(says, anchor=F.col("is_anchor"))
+
+
+def window_options(told: DataFrame) -> DataFrame:
+    """(doc_id, question_number, options, stem) of each window, from the :func:`read_lines` of all.
+
+    Option lines are read before the others, and the first option of a
+    key counts; at most MOST_OPTIONS stay, by key.  A line without options adds
+    what stands before its first marker to the stem.
+    """
     says = F.when(F.col("is_anchor") | (F.size("options") == 0), stem_of(F.col("raw"), F.col("is_anchor"))).otherwise("")
     by = told.groupBy("doc_id", "question_number").agg(F.sort_array(F.collect_list(F.struct((~F.col("is_option_line")).alias("later"), "line_number", "options", says.alias("stem")))).alias("lines"))
     add = lambda found, o: F.when(F.exists(found, lambda x: x["key"] == o["key"]), found).otherwise(F.concat(found, F.array(o)))

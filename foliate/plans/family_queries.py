@@ -22,10 +22,15 @@ def window_lines(lines, windows):
     return both.select("doc_id", "question_number", "line_number", "raw", (F.col("line_number") == F.col("start_line")).alias("is_anchor"), F.expr(A.is_option_line(A.Spark, "raw")).alias("is_option_line"))
 
 
+def read_lines(spark, sf_dir):
+    """The lines of the ranked windows with their options."""
+    made = lambda: families.read_lines(window_lines(tables.classified(spark, sf_dir), section_queries.ranked_windows(spark, sf_dir)))
+    return tables.shared(spark, sf_dir, "read-lines", made)
+
+
 def window_options(spark, sf_dir):
     """The options and the stem of each ranked question window."""
-    windows = section_queries.ranked_windows(spark, sf_dir)
-    out = families.window_options(window_lines(tables.classified(spark, sf_dir), windows))
+    out = families.window_options(read_lines(spark, sf_dir))
     told = F.array_join(F.transform("options", lambda o: F.concat(o["key"], F.lit("="), o["text"])), "\n")
     return out.select("doc_id", "question_number", F.array_join(F.transform("options", lambda o: o["key"]), "").alias("keys"), F.size("options").cast("long").alias("n_options"), told.alias("options"), "stem")
 
@@ -98,46 +103,48 @@ def _chain(lists: list[str]) -> str:
     return out
 
 
-ORACLES = {
-    "window_options": f"""WITH RECURSIVE {section_queries._MARKED}, in_window AS (
+#: CTEs from the ranked anchors to the options of every line of their windows.
+OPTION_LINES = f"""fam_in_window AS (
   SELECT * FROM (SELECT f.*, p.number, count(p.number) OVER (PARTITION BY f.doc_id ORDER BY f.line_number ROWS UNBOUNDED PRECEDING) AS win FROM flagged f LEFT JOIN picked p USING (doc_id, line_number)) WHERE win > 0
-), set_lines AS (
-  SELECT doc_id, win, line_number, raw, key_row, max(number) OVER w AS question_number, line_number = min(line_number) OVER w AS is_anchor FROM in_window WINDOW w AS (PARTITION BY doc_id, win)
-), read AS (
-  SELECT *, {A.is_option_line(_C, 'raw')} AS is_option_line FROM set_lines
+), fam_set_lines AS (
+  SELECT doc_id, win, line_number, raw, key_row, max(number) OVER w AS question_number, line_number = min(line_number) OVER w AS is_anchor FROM fam_in_window WINDOW w AS (PARTITION BY doc_id, win)
+), fam_read AS (
+  SELECT *, {A.is_option_line(_C, 'raw')} AS is_option_line FROM fam_set_lines
   WHERE NOT key_row AND {_RAW} <> '' AND NOT {_has(_RAW, P.OPTION_NOISE)} AND NOT (regexp_matches({_RAW}, {_q(P.IMAGE_REF)}) AND length({_strip(f"regexp_replace({_RAW}, {_q(P.IMAGE_REF)}, '', 'g')")}) < {families.IMAGE_ALONE})
-), cut_ AS (SELECT *, {_normal('raw')} AS n FROM read
-), rested AS (SELECT *, is_anchor OR {_looks('n')} AS cut FROM cut_
-), rests AS (SELECT *, CASE WHEN cut THEN {_unnumbered('n')} ELSE n END AS rest FROM rested
-), firsts AS (SELECT *, CASE WHEN NOT cut OR {_has('rest', P.FIRST_MARKER)} THEN {_normal('rest')} ELSE '' END AS u FROM rests
-), texts AS (SELECT *, CASE WHEN {_looks('u')} AND NOT {_has(_unnumbered('u'), P.FIRST_MARKER)} THEN '' ELSE u END AS t FROM firsts
-), parts AS (
+), fam_cut AS (SELECT *, {_normal('raw')} AS n FROM fam_read
+), fam_rested AS (SELECT *, is_anchor OR {_looks('n')} AS cut FROM fam_cut
+), fam_rests AS (SELECT *, CASE WHEN cut THEN {_unnumbered('n')} ELSE n END AS rest FROM fam_rested
+), fam_firsts AS (SELECT *, CASE WHEN NOT cut OR {_has('rest', P.FIRST_MARKER)} THEN {_normal('rest')} ELSE '' END AS u FROM fam_rests
+), fam_texts AS (SELECT *, CASE WHEN {_looks('u')} AND NOT {_has(_unnumbered('u'), P.FIRST_MARKER)} THEN '' ELSE u END AS t FROM fam_firsts
+), fam_parts AS (
   SELECT *, {_LABELS} AS labels, length(t) - length(replace(t, '|', '')) AS bars, {A.is_key_row(_C, 't')} AS t_key_row,
     {_BARE} AS bare,
-    list_transform(list_filter(list_transform(string_split(t, '|'), lambda c: {_strip('c')}), lambda c: c <> ''), lambda c: {{'c': c, 'k': {_CELL_KEY}}}) AS cells FROM texts
-), paired AS (
+    list_transform(list_filter(list_transform(string_split(t, '|'), lambda c: {_strip('c')}), lambda c: c <> ''), lambda c: {{'c': c, 'k': {_CELL_KEY}}}) AS cells FROM fam_texts
+), fam_paired AS (
   SELECT *, CASE WHEN bars > 0 AND len(cells) >= 2 THEN list_reduce(cells, lambda a, x: CASE WHEN a.wants IS NOT NULL THEN {{'c': '', 'k': '', 'wants': CAST(NULL AS VARCHAR), 'found': list_append(a.found, {{'key': a.wants, 'text': x.c}})}}
       ELSE {{'c': '', 'k': '', 'wants': CASE WHEN x.k IS NOT NULL AND NOT list_contains(list_transform(a.found, lambda y: y.key), x.k) THEN x.k END, 'found': a.found}} END,
-      {{'c': '', 'k': '', 'wants': CAST(NULL AS VARCHAR), 'found': CAST([] AS STRUCT(key VARCHAR, text VARCHAR)[])}}).found[1:{families.MOST_IN_ROW}] ELSE [] END AS pairs FROM parts
-), entries AS (
-  SELECT *, list_filter(CASE WHEN t = '' THEN [] WHEN t_key_row THEN {_chain(_LATE)} ELSE {_chain(_EARLY + _LATE)} END, lambda x: x.key IS NOT NULL AND x.text <> '') AS every FROM paired
-), ranked_entries AS (SELECT *, list_min(list_transform(every, lambda x: x.rank)) AS best_rank FROM entries
-), choices AS (SELECT *, list_filter(every, lambda x: x.rank = best_rank) AS mine, list_filter(every, lambda x: x.rank = {families.DELIMITED}) AS delimited FROM ranked_entries
-), distinct_choices AS (SELECT *, {_FIRSTS.format('mine')} AS own, {_FIRSTS.format('delimited')} AS other FROM choices
-), read_options AS (
-  SELECT doc_id, question_number, line_number, raw, is_anchor, is_option_line, CASE WHEN best_rank < {families.DELIMITED} AND len(other) > len(own) THEN other ELSE own END AS options FROM distinct_choices
-), said AS (
-  SELECT *, CASE WHEN is_anchor OR len(options) = 0 THEN {_strip(f"split_part(regexp_replace(CASE WHEN is_anchor THEN {_unnumbered(_RAW)} ELSE {_RAW} END, {_q(P.FIRST_MARKER)}, chr(1)), chr(1), 1)")} ELSE '' END AS stem FROM read_options
-), flat AS (
-  SELECT doc_id, question_number, is_option_line, line_number, generate_subscripts(options, 1) AS nth, unnest(options) AS o FROM said
-), first_of AS (
-  SELECT *, row_number() OVER (PARTITION BY doc_id, question_number, o.key ORDER BY NOT is_option_line, line_number, nth) AS place FROM flat
-), kept AS (
-  SELECT doc_id, question_number, o.key AS key, o.text AS text, row_number() OVER (PARTITION BY doc_id, question_number ORDER BY o.key) AS k FROM first_of WHERE place = 1
-), joined AS (
-  SELECT doc_id, question_number, string_agg(key, '' ORDER BY key) AS keys, count(*) AS n_options, string_agg(key || '=' || text, chr(10) ORDER BY key) AS options FROM kept WHERE k <= {families.MOST_OPTIONS} GROUP BY doc_id, question_number
-), stems AS (
-  SELECT doc_id, question_number, coalesce(string_agg(stem, ' ' ORDER BY NOT is_option_line, line_number) FILTER (stem <> ''), '') AS stem FROM said GROUP BY doc_id, question_number
+      {{'c': '', 'k': '', 'wants': CAST(NULL AS VARCHAR), 'found': CAST([] AS STRUCT(key VARCHAR, text VARCHAR)[])}}).found[1:{families.MOST_IN_ROW}] ELSE [] END AS pairs FROM fam_parts
+), fam_entries AS (
+  SELECT *, list_filter(CASE WHEN t = '' THEN [] WHEN t_key_row THEN {_chain(_LATE)} ELSE {_chain(_EARLY + _LATE)} END, lambda x: x.key IS NOT NULL AND x.text <> '') AS every FROM fam_paired
+), fam_ranked_entries AS (SELECT *, list_min(list_transform(every, lambda x: x.rank)) AS best_rank FROM fam_entries
+), fam_choices AS (SELECT *, list_filter(every, lambda x: x.rank = best_rank) AS mine, list_filter(every, lambda x: x.rank = {families.DELIMITED}) AS delimited FROM fam_ranked_entries
+), fam_distinct_choices AS (SELECT *, {_FIRSTS.format('mine')} AS own, {_FIRSTS.format('delimited')} AS other FROM fam_choices
+), fam_read_options AS (
+  SELECT doc_id, question_number, line_number, raw, is_anchor, is_option_line, CASE WHEN best_rank < {families.DELIMITED} AND len(other) > len(own) THEN other ELSE own END AS options FROM fam_distinct_choices
+)"""
+ORACLES = {
+    "window_options": f"""WITH RECURSIVE {section_queries._MARKED}, {OPTION_LINES}, fam_said AS (
+  SELECT *, CASE WHEN is_anchor OR len(options) = 0 THEN {_strip(f"split_part(regexp_replace(CASE WHEN is_anchor THEN {_unnumbered(_RAW)} ELSE {_RAW} END, {_q(P.FIRST_MARKER)}, chr(1)), chr(1), 1)")} ELSE '' END AS stem FROM fam_read_options
+), fam_flat AS (
+  SELECT doc_id, question_number, is_option_line, line_number, generate_subscripts(options, 1) AS nth, unnest(options) AS o FROM fam_said
+), fam_first_of AS (
+  SELECT *, row_number() OVER (PARTITION BY doc_id, question_number, o.key ORDER BY NOT is_option_line, line_number, nth) AS place FROM fam_flat
+), fam_kept AS (
+  SELECT doc_id, question_number, o.key AS key, o.text AS text, row_number() OVER (PARTITION BY doc_id, question_number ORDER BY o.key) AS k FROM fam_first_of WHERE place = 1
+), fam_joined AS (
+  SELECT doc_id, question_number, string_agg(key, '' ORDER BY key) AS keys, count(*) AS n_options, string_agg(key || '=' || text, chr(10) ORDER BY key) AS options FROM fam_kept WHERE k <= {families.MOST_OPTIONS} GROUP BY doc_id, question_number
+), fam_stems AS (
+  SELECT doc_id, question_number, coalesce(string_agg(stem, ' ' ORDER BY NOT is_option_line, line_number) FILTER (stem <> ''), '') AS stem FROM fam_said GROUP BY doc_id, question_number
 )
-SELECT doc_id, question_number, coalesce(keys, '') AS keys, coalesce(n_options, 0) AS n_options, coalesce(options, '') AS options, stem FROM stems LEFT JOIN joined USING (doc_id, question_number)"""
+SELECT doc_id, question_number, coalesce(keys, '') AS keys, coalesce(n_options, 0) AS n_options, coalesce(options, '') AS options, stem FROM fam_stems LEFT JOIN fam_joined USING (doc_id, question_number)"""
 }

@@ -59,6 +59,6 @@ def test_anchors_are_read_after_their_number(spark):
 ])
 def test_windows(spark, rows, options, stem):
     df = spark.createDataFrame([(1, 1, i, *r) for i, r in enumerate(rows)], "doc_id long, question_number int, line_number int, raw string, is_anchor boolean, is_option_line boolean")
-    (got,) = families.window_options(df).collect()
+    (got,) = families.window_options(families.read_lines(df)).collect()
     assert {o.key: o.text for o in got.options} == options and got.stem == stem
-    assert families.window_options(df.limit(0)).count() == 0
+    assert families.window_options(families.read_lines(df.limit(0))).count() == 0
