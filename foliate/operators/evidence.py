@@ -10,9 +10,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from foliate.functions import text as T
+
 SIMILAR = 0.92
 ANCHOR_DISTANCE = 5
 CHUNK_LINES = 120
+# --- fixed values: options that lost their text, and lines that hold one ----------------------
+BLANK_OPTION = r"^(?:\d+\s*[\.\)]\s*|[A-Da-d]\s*[\.\)]\s*|Ans\.?)$"
+NUMBERED_TEXT = r"^(\d+)\s*[\.\)]\s+(.+)$"
 
 
 def duplicates(second: DataFrame, first: DataFrame) -> DataFrame:
@@ -50,6 +55,32 @@ def merged(first: DataFrame, second: DataFrame) -> DataFrame:
     return first.withColumn("engine", F.lit("first")).unionByName(fresh.withColumn("engine", F.lit("second")))
 
 
+def recovered_options(first: DataFrame, second: DataFrame) -> DataFrame:
+    """(doc_id, line_id, option_line, option_text): for each option of ``first`` without a text the line of ``second`` that it gets.
+
+    ``first`` has (doc_id, line_id, page_number, place, text), ``second`` (doc_id, line_id, page_number, place, text,
+    confidence, is_option).  In the order of their places each blank option takes the surest line of its page
+    that no other has taken, the first of equals; one without a page takes a line of any.  A line offers the
+    text after its number or, if it is known as an option, all of it.  A document's
+    blanks are one fold, as what is taken is carried along; null where nothing is left.
+    """
+    bare = T.strip(F.coalesce("text", F.lit("")))
+    blanks = first.where(T.has(bare, BLANK_OPTION)).groupBy("doc_id").agg(F.sort_array(F.collect_list(F.struct("place", "line_id", "page_number"))).alias("blanks"))
+    told = F.when(T.has(bare, NUMBERED_TEXT), T.strip(T.part(bare, NUMBERED_TEXT, 2))).when(F.col("is_option"), bare)
+    offers = second.select("doc_id", "line_id", "page_number", "place", "confidence", told.alias("said")).where("said <> ''")
+    offers = offers.groupBy("doc_id").agg(F.sort_array(F.collect_list(F.struct((-F.col("confidence")).alias("order"), "place", "line_id", "page_number", "said"))).alias("offers"))
+    both = blanks.join(offers, "doc_id", "left")
+    start = F.struct(F.array().cast("array<string>").alias("used"), F.array().cast("array<struct<line_id:string,option_line:string,option_text:string>>").alias("found"))
+
+    def step(state: Column, blank: Column) -> Column:
+        free = F.filter("offers", lambda o: (blank["page_number"].isNull() | (o["page_number"] == blank["page_number"])) & ~F.array_contains(state["used"], o["line_id"]))
+        best = F.get(free, F.lit(0))
+        got = F.struct(blank["line_id"].alias("line_id"), best["line_id"].alias("option_line"), best["said"].alias("option_text"))
+        return F.struct(F.when(best.isNotNull(), F.array_append(state["used"], best["line_id"])).otherwise(state["used"]).alias("used"), F.array_append(state["found"], got).alias("found"))
+
+    return both.select("doc_id", F.explode(F.aggregate("blanks", start, step)["found"]).alias("f")).select("doc_id", "f.*")
+
+
 def accepted(places: Column, distance: int = ANCHOR_DISTANCE) -> Column:
     """Of ascending places, the first and every one at least ``distance`` after the last accepted."""
     start = F.struct(F.array().cast("array<int>").alias("kept"), F.lit(None).cast("int").alias("last"))

@@ -23,17 +23,20 @@ def acceptance(items: DataFrame) -> DataFrame:
     """Add usable_options, answer_text, gate_issues and quality to items of single choice.
 
     The answer's text is that of the option with its key; accepted is what has
-    text, four usable options and an answer among them.
+    text, four usable options and an answer among them.  An item that brings an ``answer_text`` of its own keeps
+    it where no option has the key, and its key is then not in the options.
     """
     owner = F.get(F.filter("options", lambda o: (T.option_key(o["key"]) == F.col("answer_key")) & (T.strip(o["text"]) != "")), F.lit(0))
-    marked = items.withColumns({"usable_options": usable_options(), "answer_text": T.strip(owner["text"])})
+    given = F.coalesce(T.strip(F.col("answer_text")), F.lit("")) if "answer_text" in items.columns else F.lit("")
+    outside = F.col("answer_key").isNotNull() & owner["text"].isNull() & (given != "")
+    marked = items.withColumns({"usable_options": usable_options(), "_outside": outside, "answer_text": F.coalesce(T.strip(owner["text"]), F.when(given != "", given))})
     keyed = F.col("answer_key").isNotNull()
     lost = keyed & F.col("answer_text").isNull()
     few = F.col("usable_options") < FOUR
     blank = T.strip(F.col("question_text_raw")) == ""
-    issues = F.array_compact(F.array(F.when(few, F.lit("incomplete_options")), F.when(lost, F.lit("correct_answer_text_unavailable")), F.when(blank, F.lit("question_text_missing"))))
-    quality = F.when(blank, "blocked").when(T.is_visual(F.col("question_text_raw")), "visual_required").when(few | lost, "review_required").when(~keyed, "answer_unavailable").otherwise("accepted_safe")
-    return marked.withColumns({"gate_issues": issues, "quality": quality})
+    issues = F.array_compact(F.array(F.when(few, F.lit("incomplete_options")), F.when(lost, F.lit("correct_answer_text_unavailable")), F.when(F.col("_outside"), F.lit("answer_key_not_in_options")), F.when(blank, F.lit("question_text_missing"))))
+    quality = F.when(blank, "blocked").when(T.is_visual(F.col("question_text_raw")), "visual_required").when(few | lost | F.col("_outside"), "review_required").when(~keyed, "answer_unavailable").otherwise("accepted_safe")
+    return marked.withColumns({"gate_issues": issues, "quality": quality}).drop("_outside")
 
 
 def extra_items(items: DataFrame, expected: DataFrame) -> DataFrame:

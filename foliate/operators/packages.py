@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from foliate.functions import issues as I
 from foliate.functions import text as T
 from foliate.operators.mapping import SOLUTION_CONFIDENCE
 
@@ -103,12 +104,15 @@ def pattern_input(lanes: DataFrame, mode: str = "eligible_only") -> DataFrame:
 def slots(items: DataFrame, expected: DataFrame) -> DataFrame:
     """Slots 1 .. expected_count of each document of ``expected``: the best item of each number, or a placeholder.
 
-    Items rank by clean text, four options, answer, solution, few issues, and place.
+    Items rank by clean text (some, and no issue of corruption), four options, an answer whose
+    option has a text, a solution, few issues, and place.
     """
     usable = F.size(F.filter("options", lambda o: o["key"].isNotNull() & (T.strip(o["text"]) != "")))
     contaminated = T.is_contaminated(F.col("question_text_raw"))
+    clean = (T.strip(F.col("question_text_raw")) != "") & ~F.exists("issues", I.is_corrupt)
+    told = F.exists("options", lambda o: (T.option_key(o["key"]) == F.col("answer_key")) & (T.strip(o["text"]) != ""))
     score = F.when(contaminated, F.struct(F.lit(-3).alias("a"), F.lit(-1).alias("b"), F.lit(-1).alias("c"), F.lit(-1).alias("d"), F.lit(-999).alias("e"))).otherwise(
-        F.struct((T.strip(F.col("question_text_raw")) != "").cast("int").alias("a"), F.coalesce((usable >= 4).cast("int"), F.lit(0)).alias("b"), F.col("answer_key").isNotNull().cast("int").alias("c"), F.col("solution").isNotNull().cast("int").alias("d"), (-F.size("issues")).alias("e"))
+        F.struct(clean.cast("int").alias("a"), F.coalesce((usable >= 4).cast("int"), F.lit(0)).alias("b"), F.coalesce(told, F.lit(False)).cast("int").alias("c"), F.col("solution").isNotNull().cast("int").alias("d"), (-F.size("issues")).alias("e"))
     )
     bounded = items.join(expected, "doc_id").where("question_number between 1 and expected_count")
     ranked = bounded.withColumn("place", F.row_number().over(W.partitionBy("doc_id", "question_number").orderBy(score.desc(), "seq")))

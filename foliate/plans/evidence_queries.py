@@ -48,6 +48,17 @@ def _engines(spark, sf_dir):
     return lines.drop("line_number"), second
 
 
+def recovered_options(spark, sf_dir):
+    """Options whose text the first engine lost, with the line of the second that each gets."""
+    lines = tables.classified(spark, sf_dir).withColumn("option", F.col("line_type") == "option_candidate")
+    lost = F.col("option") & (F.col("line_number") % 3 != 1)
+    label = F.concat(F.lower(F.regexp_extract("raw", "([A-Da-d])", 1)), F.lit(")"))
+    first = lines.select("doc_id", F.concat(F.lit("m_"), F.col("line_number")).alias("line_id"), F.when(F.col("line_number") % 11 != 0, F.col("page_number")).alias("page_number"), F.col("line_number").alias("place"), F.when(lost, label).otherwise(F.col("raw")).alias("text"))
+    read = F.when(F.col("option") & (F.col("line_number") % 2 == 0), F.concat((F.col("line_number") % 4 + 1).cast("string"), F.lit(". "), F.col("raw"))).otherwise(F.col("raw"))
+    second = lines.where("line_number % 5 <> 0").select("doc_id", F.concat(F.lit("o_"), F.col("line_number")).alias("line_id"), F.coalesce("page_number", F.lit(1)).alias("page_number"), F.col("line_number").alias("place"), read.alias("text"), (F.col("line_number") * 37 % 10).cast("double").alias("confidence"), (F.col("option") & (F.col("line_number") % 7 == 0)).alias("is_option"))
+    return V.recovered_options(first, second)
+
+
 def ocr_merge(spark, sf_dir):
     """Lines of two engines without near repeats: how many of each engine stay, by document."""
     first, second = _engines(spark, sf_dir)
@@ -147,7 +158,7 @@ def option_keys(spark, sf_dir):
 
 QUERIES = {
     f.__name__: f
-    for f in (layout_lines, layout_summary, ocr_merge, binder_chunks, number_ranges, public_questions, public_status_counts, public_audit, public_json, review_export, review_merge, solution_overlap, chosen_options, language_profiles, option_keys)
+    for f in (layout_lines, layout_summary, ocr_merge, recovered_options, binder_chunks, number_ranges, public_questions, public_status_counts, public_audit, public_json, review_export, review_merge, solution_overlap, chosen_options, language_profiles, option_keys)
 }
 
 _NUMBERED = LINES_SQL.split("placed AS")[0].rstrip().rstrip(",")
@@ -179,6 +190,18 @@ def _key_sql(word: str) -> str:
 _LABEL = "CASE n % 6 WHEN 0 THEN '(' || c || ')' WHEN 1 THEN '- **' || c || '**' WHEN 2 THEN 'Option ' || c WHEN 3 THEN c || '.' WHEN 4 THEN '**' || c || '**' ELSE 'Ans (' || c || ')' END"
 _WORD = OL.strip(f"regexp_replace({OL.strip('label')}, {OL.q(OL.P.OPTION_WORD)}, '')")
 ORACLES = {
+    "recovered_options": f"""WITH RECURSIVE {OL.CLASSIFIED}, known AS (SELECT *, line_type = 'option_candidate' AS option FROM classified
+      ), blanks AS (SELECT doc_id, line_id, page_number, row_number() OVER (PARTITION BY doc_id ORDER BY line_number) AS k FROM (
+        SELECT doc_id, line_number, 'm_' || line_number AS line_id, CASE WHEN line_number % 11 <> 0 THEN page_number END AS page_number, CASE WHEN option AND line_number % 3 <> 1 THEN lower(regexp_extract(raw, '([A-Da-d])', 1)) || ')' ELSE raw END AS text FROM known) WHERE {OL.has(OL.strip('text'), V.BLANK_OPTION)}
+      ), read_by AS (SELECT doc_id, line_number, coalesce(page_number, 1) AS page_number, CASE WHEN option AND line_number % 2 = 0 THEN (line_number % 4 + 1)::VARCHAR || '. ' || raw ELSE raw END AS text, line_number * 37 % 10 AS confidence, option AND line_number % 7 = 0 AS is_option FROM known WHERE line_number % 5 <> 0
+      ), offers0 AS (SELECT doc_id, line_number, page_number, confidence, CASE WHEN {OL.has(OL.strip('text'), V.NUMBERED_TEXT)} THEN {OL.strip(f"regexp_extract({OL.strip('text')}, {OL.q(V.NUMBERED_TEXT)}, 2)")} WHEN is_option THEN {OL.strip('text')} END AS said FROM read_by
+      ), offers AS (SELECT doc_id, 'o_' || line_number AS line_id, page_number, said, row_number() OVER (PARTITION BY doc_id ORDER BY confidence DESC, line_number) AS r FROM offers0 WHERE said <> ''
+      ), walk AS (
+        SELECT doc_id, 0::BIGINT AS k, CAST([] AS BIGINT[]) AS used, CAST(NULL AS BIGINT) AS pick FROM blanks WHERE k = 1
+        UNION ALL
+        SELECT doc_id, k, CASE WHEN pick IS NULL THEN used ELSE list_append(used, pick) END, pick FROM (
+          SELECT w.doc_id, b.k, w.used, min(o.r) AS pick FROM walk w JOIN blanks b ON b.doc_id = w.doc_id AND b.k = w.k + 1 LEFT JOIN offers o ON o.doc_id = w.doc_id AND (b.page_number IS NULL OR o.page_number = b.page_number) AND NOT list_contains(w.used, o.r) GROUP BY w.doc_id, b.k, w.used)
+      ) SELECT b.doc_id, b.line_id, o.line_id AS option_line, o.said AS option_text FROM blanks b JOIN walk w ON w.doc_id = b.doc_id AND w.k = b.k LEFT JOIN offers o ON o.doc_id = w.doc_id AND o.r = w.pick""",
     "layout_lines": f"WITH {_NUMBERED} SELECT doc_id, CAST((i - i % 10) / 10 AS INT) + 1 AS page_number, CAST(i % 10 AS INT) AS line_index, line AS text_raw, CAST(i AS DOUBLE) AS x0, CAST(i * 2 AS DOUBLE) AS y0, CAST(i + 10 AS DOUBLE) AS x1, CAST(i * 2 + 3 AS DOUBLE) AS y1 FROM numbered",
     "layout_summary": f"WITH {_NUMBERED} SELECT doc_id, CAST((max(i) - max(i) % 10) / 10 AS INT) + 1 AS pages, CAST(count(*) AS INT) AS lines, CASE WHEN doc_id % 2 = 0 THEN 1 ELSE 0 END AS tables, 0 AS paragraphs, CASE WHEN doc_id % 5 = 0 THEN 1 ELSE 0 END AS figures FROM numbered GROUP BY doc_id",
     "binder_chunks": f"""WITH RECURSIVE {_WINDOWS}, ordered AS (SELECT doc_id, window_id, n_lines, row_number() OVER (PARTITION BY doc_id ORDER BY start_line) AS rn FROM wins

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from foliate.functions import issues as I
 from foliate.operators import mapping as M
 from foliate.operators import packages as K
 from foliate.operators import segment as S
@@ -125,6 +126,7 @@ QUERIES = {
 _EXPECTED = "expected AS (SELECT doc_id, CAST(count(*) + doc_id % 4 - 1 AS INT) AS expected_count FROM items GROUP BY doc_id)"
 _JOINED = "coalesce(array_to_string({}, '+'), '') AS {}"
 _NOISY = "noise_assets > 0 OR list_contains(issues, 'possible_noise_asset_after_options') OR len(list_filter(issues, lambda x: contains(x, 'noise_inside'))) > 0"
+_CORRUPT = " OR ".join(f"contains(x, '{m}')" for m in I.CORRUPT)
 ORACLES = {
     "duplicate_solutions": f"WITH {O.MAPPINGS} SELECT doc_id, question_number, solutions, answers_identical, texts_identical, solution_line AS chosen_line, CASE WHEN answers_identical AND texts_identical THEN 'harmless_duplicate_same_text' ELSE 'duplicate_conflict' END AS safety_decision FROM best_solutions WHERE question_number IS NOT NULL AND solutions > 1",
     "question_candidates": f"WITH {O.CANDIDATES} SELECT doc_id, question_id, question_number, md5(raw_text) AS raw_md5, md5(stem) AS stem_md5, option_texts, assets, noise_assets, start_line, end_line, page_start, page_end, round(confidence, 6) AS confidence, review_status, {_JOINED.format('issues', 'issues')} FROM candidates",
@@ -146,8 +148,8 @@ ORACLES = {
     "eligibility_lanes": f"WITH {O.LANES} SELECT doc_id, question_id, eligibility_status, {_JOINED.format('blocking_reasons', 'blocking_reasons')}, {_JOINED.format('review_reasons', 'review_reasons')} FROM lanes",
     "pattern_input": f"""WITH {O.LANES} SELECT doc_id, question_id, CAST(row_number() OVER (PARTITION BY doc_id ORDER BY seq) AS INT) AS source_order, CASE eligibility_status WHEN 'eligible_for_ingestion' THEN 'ready_for_ingestion' ELSE 'manual_review' END AS ingestion_action
       FROM lanes WHERE eligibility_status IN ('eligible_for_ingestion', 'review_required')""",
-    "canonical_slots": f"""WITH {O.ITEMS}, {_EXPECTED}, ranked AS (SELECT i.*, row_number() OVER (PARTITION BY doc_id, question_number ORDER BY CASE WHEN {strip('stem')} <> '' THEN 1 ELSE 0 END DESC, CASE WHEN usable >= 4 THEN 1 ELSE 0 END DESC, answered DESC, solved DESC, len(issues), seq) AS place,
-        count(*) OVER (PARTITION BY doc_id, question_number) AS competitors FROM items i JOIN expected USING (doc_id) WHERE question_number BETWEEN 1 AND expected_count),
+    "canonical_slots": f"""WITH {O.ITEMS}, {_EXPECTED}, ranked AS (SELECT i.*, row_number() OVER (PARTITION BY doc_id, question_number ORDER BY CASE WHEN {strip('stem')} <> '' AND len(list_filter(issues, lambda x: {_CORRUPT})) = 0 THEN 1 ELSE 0 END DESC, CASE WHEN usable >= 4 THEN 1 ELSE 0 END DESC, coalesce(answered AND t.told, false) DESC, solved DESC, len(issues), seq) AS place,
+        count(*) OVER (PARTITION BY doc_id, question_number) AS competitors FROM items i JOIN expected USING (doc_id) LEFT JOIN (SELECT DISTINCT doc_id, seq, key AS answer_key, true AS told FROM opts WHERE {strip('text')} <> '') t USING (doc_id, seq, answer_key) WHERE question_number BETWEEN 1 AND expected_count),
       spine AS (SELECT doc_id, unnest(range(1, expected_count + 1))::INT AS question_number FROM expected WHERE expected_count > 0)
       SELECT doc_id, question_number, coalesce(question_id, printf('fq_missing_%04d', question_number)) AS final_question_id, coalesce(validation_status, 'blocked') AS status, round(coalesce(item_confidence, 0), 6) AS confidence, coalesce(competitors, 0) AS competitors, question_id IS NULL AS placeholder
       FROM spine LEFT JOIN (SELECT * FROM ranked WHERE place = 1) USING (doc_id, question_number)""",
