@@ -148,11 +148,11 @@ def language_profiles(spark, sf_dir):
 
 
 def option_keys(spark, sf_dir):
-    """Canonical keys of labels in many forms, over the lines of the corpus."""
-    n = F.col("line_number") + F.col("doc_id")
-    letter = F.substring(F.lit("ABCDEabcdΑВΔx1"), (n % 14 + 1).cast("int"), F.lit(1))
-    label = F.when(n % 6 == 0, F.concat(F.lit("("), letter, F.lit(")"))).when(n % 6 == 1, F.concat(F.lit("- **"), letter, F.lit("**"))).when(n % 6 == 2, F.concat(F.lit("Option "), letter)).when(n % 6 == 3, F.concat(letter, F.lit("."))).when(n % 6 == 4, F.concat(F.lit("**"), letter, F.lit("**"))).otherwise(F.concat(F.lit("Ans ("), letter, F.lit(")")))
-    lines = tables.classified(spark, sf_dir).select(label.alias("label"))
+    """Canonical keys of what may be a label: the first and the second word of every line, and both."""
+    words = F.split(T.strip(F.col("raw")), T.uni(r"\s+"))
+    second = F.coalesce(F.get(words, F.lit(1)), F.lit(""))
+    labels = F.array(F.get(words, F.lit(0)), second, F.when(second != "", F.concat_ws(" ", F.get(words, F.lit(0)), second)).otherwise(""))
+    lines = tables.classified(spark, sf_dir).select(F.explode(labels).alias("label")).where("label <> ''")
     return lines.select("label", T.option_key(F.col("label")).alias("option_key"), T.answer_key(F.col("label")).alias("answer_key")).groupBy("label", "option_key", "answer_key").agg(F.count(F.lit(1)).alias("n"))
 
 
@@ -187,7 +187,6 @@ def _key_sql(word: str) -> str:
     return f"coalesce({formed}, CASE WHEN regexp_full_match({single}, '[A-E]') THEN {single} END)"
 
 
-_LABEL = "CASE n % 6 WHEN 0 THEN '(' || c || ')' WHEN 1 THEN '- **' || c || '**' WHEN 2 THEN 'Option ' || c WHEN 3 THEN c || '.' WHEN 4 THEN '**' || c || '**' ELSE 'Ans (' || c || ')' END"
 _WORD = OL.strip(f"regexp_replace({OL.strip('label')}, {OL.q(OL.P.OPTION_WORD)}, '')")
 ORACLES = {
     "recovered_options": f"""WITH RECURSIVE {OL.CLASSIFIED}, known AS (SELECT *, line_type = 'option_candidate' AS option FROM classified
@@ -232,7 +231,7 @@ ORACLES = {
     "language_profiles": """WITH t AS (SELECT conv_id, CASE WHEN conv_id % 3 = 0 THEN coalesce(text, '') || ' हिन्दी' WHEN conv_id % 7 = 1 THEN '१२ ।' WHEN conv_id % 7 = 2 THEN '12' ELSE text END AS x FROM conversations),
       g AS (SELECT conv_id, bool_or(regexp_matches(x, '[ऀ-ॿ]')) AS d, bool_or(regexp_matches(x, '[A-Za-z]')) AS l FROM t GROUP BY conv_id)
       SELECT conv_id, CASE WHEN d AND l THEN 'mixed' WHEN d THEN 'hindi' WHEN l THEN 'english' ELSE 'unknown' END AS profile FROM g""",
-    "option_keys": f"""WITH {LINES_SQL}, n AS (SELECT line_number + doc_id AS n FROM lines), c AS (SELECT n, substr('ABCDEabcdΑВΔx1', CAST(n % 14 + 1 AS INT), 1) AS c FROM n), k AS (SELECT {_LABEL} AS label FROM c), w AS (SELECT label, {_WORD} AS word FROM k), r AS (
+    "option_keys": f"""WITH {LINES_SQL}, words AS (SELECT string_split_regex({OL.strip('raw')}, '\\s+') AS w FROM lines), labels AS (SELECT unnest([w[1], coalesce(w[2], ''), CASE WHEN len(w) > 1 THEN w[1] || ' ' || w[2] ELSE '' END]) AS label FROM words), k AS (SELECT label FROM labels WHERE label <> ''), w AS (SELECT label, {_WORD} AS word FROM k), r AS (
       SELECT label, {_key_sql('word')} AS option_key, coalesce(CASE WHEN {OL.has('label', OL.P.ANSWER_PREFIX)} THEN upper({OL.part('label', OL.P.ANSWER_PREFIX)}) END, {_key_sql('word')}) AS answer_key FROM w)
       SELECT label, option_key, answer_key, count(*) AS n FROM r GROUP BY ALL""",
 }

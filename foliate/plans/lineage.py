@@ -29,7 +29,9 @@ def durable(df: DataFrame, label: str = "stage") -> DataFrame:
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.stored_at = path
+    return out
 
 
 def _path(spark: SparkSession, path: str):
@@ -45,18 +47,15 @@ def version(spark: SparkSession, path: str) -> str:
 
 
 def exists(df: DataFrame) -> bool:
-    """Whether the files of a table made by :func:`durable` are still there."""
-    return all(files.exists(at) for at, files in (_path(df.sparkSession, f) for f in df.inputFiles()))
+    """Whether the folder of a table made by :func:`durable` is still there; its files are not listed."""
+    at, files = _path(df.sparkSession, df.stored_at)
+    return files.exists(at)
 
 
 def drop(df: DataFrame) -> None:
-    """Delete the files of a table made by :func:`durable` that nothing reads any more."""
-    spark = df.sparkSession
-    jvm = spark.sparkContext._jvm
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
-    for parent in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
-        path = jvm.org.apache.hadoop.fs.Path(parent)
-        path.getFileSystem(conf).delete(path, True)
+    """Delete the folder of a table made by :func:`durable` that nothing reads any more."""
+    at, files = _path(df.sparkSession, df.stored_at)
+    files.delete(at, True)
 
 
 def split_join(left: DataFrame, right: DataFrame, keys: list[str], how: str = "inner") -> DataFrame:
