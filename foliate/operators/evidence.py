@@ -1,4 +1,4 @@
-"""Evidence of two engines: duplicates by similarity, merging, repeated anchors, chunks of bounded size."""
+"""Evidence of two engines: duplicates by similarity, merging, recovered options, chunks of bounded size."""
 
 from __future__ import annotations
 
@@ -92,27 +92,8 @@ def accepted(places: Column, distance: int = ANCHOR_DISTANCE) -> Column:
     return F.aggregate(places, start, step, lambda acc: acc["kept"])
 
 
-def anchors(lines: DataFrame, distance: int = ANCHOR_DISTANCE) -> DataFrame:
-    """Question anchors, repeats of a number within ``distance`` lines of an accepted one left out."""
-    found = lines.where("line_type = 'question_anchor'").withColumn("number", F.regexp_extract("detected_label", r"(\d+)", 1).try_cast("int"))
-    by_number = found.groupBy("doc_id", "number").agg(F.array_sort(F.collect_list("line_number")).alias("places"))
-    return by_number.select("doc_id", "number", F.explode(accepted(F.col("places"), distance)).alias("line_number"))
-
-
-def windows(lines: DataFrame, anchored: DataFrame) -> DataFrame:
-    """One row a question: the lines from its anchor to the next one, of the earliest anchor of each number."""
-    first = anchored.groupBy("doc_id", "number").agg(F.min("line_number").alias("line_number"))
-    marks = lines.select("doc_id", "line_number", "line_type", "detected_label").join(first, ["doc_id", "line_number"], "left")
-    order = W.partitionBy("doc_id").orderBy("line_number").rowsBetween(W.unboundedPreceding, 0)
-    numbered = marks.withColumn("window", F.count("number").over(order)).where("window > 0")
-    keys = F.size(F.collect_set(F.when(F.col("line_type") == "option_candidate", F.col("detected_label"))))
-    out = numbered.groupBy("doc_id", "window").agg(F.max("number").alias("question_number"), F.min("line_number").alias("start_line"), F.max("line_number").alias("end_line"), F.count(F.lit(1)).alias("n_lines"), keys.alias("options_found"))
-    status = F.when(F.col("options_found") >= 4, "ready").otherwise("incomplete_options")
-    return out.withColumn("window_id", F.format_string("qw_%04d", "window")).withColumn("status", status).withColumn("confidence", F.when(F.col("options_found") >= 4, 0.8).otherwise(0.4)).drop("window")
-
-
-def chunks(wins: DataFrame, most: int = CHUNK_LINES) -> DataFrame:
-    """Windows packed in order into chunks of at most ``most`` lines; a longer window stands alone.
+def chunk_windows(wins: DataFrame, most: int = CHUNK_LINES) -> DataFrame:
+    """(doc_id, chunk_index, window_id, start_line, n_lines): windows packed in order into chunks of at most ``most`` lines; a longer window stands alone.
 
     The sum starts anew with each chunk, so it is folded over each document's windows.
     """
@@ -125,8 +106,12 @@ def chunks(wins: DataFrame, most: int = CHUNK_LINES) -> DataFrame:
         return F.struct(F.array_append(acc["ids"], chunk).alias("ids"), chunk.alias("chunk"), F.when(fits, acc["size"] + x["n_lines"]).otherwise(x["n_lines"]).alias("size"))
 
     placed = ordered.withColumn("ids", F.aggregate("w", start, step, lambda acc: acc["ids"])).select("doc_id", F.explode(F.arrays_zip("w", "ids")).alias("z"))
-    flat = placed.select("doc_id", F.col("z.ids").alias("chunk_index"), F.col("z.w.window_id").alias("window_id"), F.col("z.w.n_lines").alias("n_lines"))
-    return flat.groupBy("doc_id", "chunk_index").agg(F.count(F.lit(1)).alias("windows"), F.sum("n_lines").alias("n_lines"), F.min("window_id").alias("first_window"), F.max("window_id").alias("last_window"))
+    return placed.select("doc_id", F.col("z.ids").alias("chunk_index"), *(F.col(f"z.w.{c}").alias(c) for c in ("window_id", "start_line", "n_lines")))
+
+
+def chunks(wins: DataFrame, most: int = CHUNK_LINES) -> DataFrame:
+    """What each chunk of :func:`chunk_windows` holds."""
+    return chunk_windows(wins, most).groupBy("doc_id", "chunk_index").agg(F.count(F.lit(1)).alias("windows"), F.sum("n_lines").alias("n_lines"), F.min("window_id").alias("first_window"), F.max("window_id").alias("last_window"))
 
 
 def ranges(numbers: DataFrame) -> DataFrame:

@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from foliate.operators import detect as D
-from foliate.operators import evidence as V
 from foliate.operators import mapping as M
 from foliate.operators import segment as S
 from foliate.plans import evidence_queries as EQ
@@ -49,8 +48,7 @@ def layout_signals(spark, sf_dir):
 def section_sanity(spark, sf_dir):
     """Whether each document has about as many windows and solutions as expected."""
     content, cands = PQ._candidates(spark, sf_dir)
-    lines = tables.classified(spark, sf_dir)
-    return D.section_sanity(PQ._expected(cands), V.windows(lines, V.anchors(lines, EQ.DISTANCE)), M.solutions(content))
+    return D.section_sanity(PQ._expected(cands), EQ._windows(spark, sf_dir), M.solutions(content))
 
 
 def question_coverage(spark, sf_dir):
@@ -93,7 +91,7 @@ ORACLES = {
       g AS (SELECT *, CASE WHEN {OL.has('raw', D.SHEET)} AND NOT {EQ._INSTR} THEN 1 ELSE 0 END + CASE WHEN contains(lower(raw), 'question id') THEN 1 ELSE 0 END AS hits, {_METADATA} AS chosen, line_number - lag(line_number) OVER (PARTITION BY doc_id, number ORDER BY line_number) AS gap FROM b),
       d AS (SELECT doc_id, sum(hits)::BIGINT AS sheet_hits, bool_or(chosen) AS chosen_option_detected, coalesce(array_to_string(list_sort(list_distinct(list(number) FILTER (number IS NOT NULL AND gap >= {D.REPEAT_DISTANCE}))), ','), '') AS repeated_numbers FROM g GROUP BY doc_id)
       SELECT *, sheet_hits >= 3 OR (chosen_option_detected AND sheet_hits >= 1) AS response_sheet, chosen_option_detected AS unsupported FROM d""",
-    "section_sanity": f"""WITH {O.MAPPINGS}, {_WINDOW_CTES}, {_EXPECTED}, q AS (SELECT doc_id, count(*) AS n FROM wins GROUP BY doc_id), s AS (SELECT doc_id, count(*) AS n FROM solutions GROUP BY doc_id), j AS (
+    "section_sanity": f"""WITH RECURSIVE {O.MAPPINGS}, {_WINDOW_CTES}, {_EXPECTED}, q AS (SELECT doc_id, count(*) AS n FROM wins GROUP BY doc_id), s AS (SELECT doc_id, count(*) AS n FROM solutions GROUP BY doc_id), j AS (
       SELECT doc_id, expected_count, coalesce(q.n, 0) AS question_windows, coalesce(s.n, 0) AS solution_windows FROM expected LEFT JOIN q USING (doc_id) LEFT JOIN s USING (doc_id)), c AS (
       SELECT *, expected_count > 0 AND question_windows < floor(expected_count * CAST({D.MIN_WINDOWS} AS DOUBLE)) AS few, expected_count > 0 AND solution_windows > floor(expected_count * CAST({D.MOST_SOLUTIONS} AS DOUBLE)) AS many FROM j), r AS (
       SELECT *, CASE WHEN few AND many THEN 'question_solution_split_failed' WHEN few OR question_windows = 0 THEN 'question_window_build_failed' WHEN many THEN 'solution_over_detection' END AS failure_reason FROM c)

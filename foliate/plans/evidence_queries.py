@@ -11,12 +11,12 @@ from foliate.operators import export as X
 from foliate.plans import oracle_lines as OL
 from foliate.plans import oracle_packages as O
 from foliate.plans import package_queries as PQ
-from foliate.plans import tables
+from foliate.plans import section_queries, tables
 from foliate.plans.lineage import durable
 from foliate.sources import layout
 from foliate.sources.corpus import LINES_SQL
 
-DISTANCE, CHUNK = 8, 40
+CHUNK = 40
 
 
 def _responses(spark, sf_dir):
@@ -66,8 +66,7 @@ def ocr_merge(spark, sf_dir):
 
 
 def _windows(spark, sf_dir):
-    lines = tables.classified(spark, sf_dir)
-    return V.windows(lines, V.anchors(lines, DISTANCE))
+    return section_queries.ranked_windows(spark, sf_dir).withColumn("n_lines", F.size("line_numbers").cast("long"))
 
 
 def binder_chunks(spark, sf_dir):
@@ -162,10 +161,13 @@ QUERIES = {
 }
 
 _NUMBERED = LINES_SQL.split("placed AS")[0].rstrip().rstrip(",")
-_WINDOWS = f"""{OL.CLASSIFIED}, an AS (SELECT doc_id, line_number, CAST(regexp_extract(detected_label, '(\\d+)', 1) AS INT) AS number FROM classified WHERE line_type = 'question_anchor'
-), kept AS (SELECT doc_id, number, min(line_number) AS start FROM (SELECT *, lag(line_number) OVER (PARTITION BY doc_id, number ORDER BY line_number) AS before FROM an) WHERE before IS NULL OR line_number - before >= {DISTANCE} GROUP BY doc_id, number
-), marks AS (SELECT c.doc_id, c.line_number, c.line_type, c.detected_label, k.number, count(k.number) OVER (PARTITION BY c.doc_id ORDER BY c.line_number ROWS UNBOUNDED PRECEDING) AS win FROM classified c LEFT JOIN kept k ON k.doc_id = c.doc_id AND k.start = c.line_number
-), wins AS (SELECT doc_id, max(number) AS question_number, min(line_number) AS start_line, max(line_number) AS end_line, count(*) AS n_lines, CAST(count(DISTINCT detected_label) FILTER (line_type = 'option_candidate') AS INT) AS options_found, printf('qw_%04d', CAST(win AS INT)) AS window_id FROM marks WHERE win > 0 GROUP BY doc_id, win
+_WINDOWS = section_queries.WINDOWS
+_FITS = f"(f.size = 0 OR f.size + o.n_lines <= {CHUNK})"
+#: CTEs up to ``chunked``, the ranked windows with their chunks.
+CHUNKED = f"""{_WINDOWS}, in_order AS (SELECT doc_id, window_id, start_line, n_lines, row_number() OVER (PARTITION BY doc_id ORDER BY start_line) AS rn FROM wins
+), chunked AS (
+  SELECT doc_id, window_id, start_line, n_lines, rn, 0 AS chunk_index, n_lines AS size FROM in_order WHERE rn = 1 UNION ALL
+  SELECT o.doc_id, o.window_id, o.start_line, o.n_lines, o.rn, CASE WHEN {_FITS} THEN f.chunk_index ELSE f.chunk_index + 1 END, CASE WHEN {_FITS} THEN f.size + o.n_lines ELSE o.n_lines END FROM chunked f JOIN in_order o ON o.doc_id = f.doc_id AND o.rn = f.rn + 1
 )"""
 _STATUS = f"CASE WHEN {OL.strip('stem')} = '' THEN 'blocked' WHEN visual THEN 'visual_required' WHEN usable < 4 OR list_contains(issues, 'answer_option_mismatch') THEN 'review' ELSE 'ready' END"
 _PUBLIC = f"""{O.ITEMS}, pub AS (SELECT doc_id, seq, question_number, printf('Q%03d', question_number) AS external_id, {_STATUS} AS status, answer_key FROM items
@@ -203,10 +205,8 @@ ORACLES = {
       ) SELECT b.doc_id, b.line_id, o.line_id AS option_line, o.said AS option_text FROM blanks b JOIN walk w ON w.doc_id = b.doc_id AND w.k = b.k LEFT JOIN offers o ON o.doc_id = w.doc_id AND o.r = w.pick""",
     "layout_lines": f"WITH {_NUMBERED} SELECT doc_id, CAST((i - i % 10) / 10 AS INT) + 1 AS page_number, CAST(i % 10 AS INT) AS line_index, line AS text_raw, CAST(i AS DOUBLE) AS x0, CAST(i * 2 AS DOUBLE) AS y0, CAST(i + 10 AS DOUBLE) AS x1, CAST(i * 2 + 3 AS DOUBLE) AS y1 FROM numbered",
     "layout_summary": f"WITH {_NUMBERED} SELECT doc_id, CAST((max(i) - max(i) % 10) / 10 AS INT) + 1 AS pages, CAST(count(*) AS INT) AS lines, CASE WHEN doc_id % 2 = 0 THEN 1 ELSE 0 END AS tables, 0 AS paragraphs, CASE WHEN doc_id % 5 = 0 THEN 1 ELSE 0 END AS figures FROM numbered GROUP BY doc_id",
-    "binder_chunks": f"""WITH RECURSIVE {_WINDOWS}, ordered AS (SELECT doc_id, window_id, n_lines, row_number() OVER (PARTITION BY doc_id ORDER BY start_line) AS rn FROM wins
-      ), f AS (SELECT doc_id, window_id, n_lines, rn, 0 AS chunk_index, n_lines AS size FROM ordered WHERE rn = 1 UNION ALL
-        SELECT o.doc_id, o.window_id, o.n_lines, o.rn, CASE WHEN f.size + o.n_lines <= {CHUNK} THEN f.chunk_index ELSE f.chunk_index + 1 END, CASE WHEN f.size + o.n_lines <= {CHUNK} THEN f.size + o.n_lines ELSE o.n_lines END FROM f JOIN ordered o ON o.doc_id = f.doc_id AND o.rn = f.rn + 1)
-      SELECT doc_id, chunk_index, count(*) AS windows, sum(n_lines)::BIGINT AS n_lines, min(window_id) AS first_window, max(window_id) AS last_window FROM f GROUP BY doc_id, chunk_index""",
+    "binder_chunks": f"""WITH RECURSIVE {CHUNKED}
+      SELECT doc_id, chunk_index, count(*) AS windows, sum(n_lines)::BIGINT AS n_lines, min(window_id) AS first_window, max(window_id) AS last_window FROM chunked GROUP BY doc_id, chunk_index""",
     "number_ranges": f"""WITH {OL.CLASSIFIED}, d AS (SELECT DISTINCT doc_id, CAST(regexp_extract(detected_label, '(\\d+)', 1) AS INT) AS number FROM classified WHERE line_type = 'question_anchor')
       SELECT doc_id, min(number) AS first, max(number) AS last, count(*) AS n FROM (SELECT *, number - row_number() OVER (PARTITION BY doc_id ORDER BY number) AS island FROM d) GROUP BY doc_id, island""",
     "public_questions": f"WITH {_PUBLIC} SELECT p.doc_id, external_id, status, CAST(coalesce(n_options, 0) AS INT) AS n_options, answer_key AS answer_label, a.text AS answer_text FROM pub p LEFT JOIN pub_options o USING (doc_id, seq) LEFT JOIN pub_answers a ON a.doc_id = p.doc_id AND a.seq = p.seq AND a.key = p.answer_key",

@@ -4,13 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from foliate.operators import evidence as V
 from foliate.operators import gates as G
 from foliate.plans import evidence_queries as EQ
 from foliate.plans import oracle_lines as OL
 from foliate.plans import oracle_packages as O
 from foliate.plans import package_queries as PQ
-from foliate.plans import tables
 
 
 def _items(spark, sf_dir):
@@ -39,8 +37,7 @@ def bad_items(spark, sf_dir):
 def filled_items(spark, sf_dir):
     """Items of validated candidates, filled from question windows."""
     items, _ = _items(spark, sf_dir)
-    lines = tables.classified(spark, sf_dir)
-    return G.filled(items.where("validation_status in ('validated', 'needs_review')"), V.windows(lines, V.anchors(lines, EQ.DISTANCE)))
+    return G.filled(items.where("validation_status in ('validated', 'needs_review')"), EQ._windows(spark, sf_dir))
 
 
 def threshold_violations(spark, sf_dir):
@@ -72,7 +69,7 @@ ORACLES = {
       SELECT doc_id, expected_count, actual, actual = expected_count AS count_match, greatest(0, actual - expected_count) AS overflow, extra_items, extra_numbers FROM x JOIN expected USING (doc_id)""",
     "bad_items": f"""WITH {O.ITEMS}, {_EXPECTED}, b AS (SELECT doc_id, question_id, question_number, concat_ws('+', CASE WHEN question_number < 1 OR question_number > expected_count THEN 'question_number_out_of_range' END, CASE WHEN row_number() OVER (PARTITION BY doc_id, question_number ORDER BY seq) > 1 THEN 'duplicate_question_number' END,
       CASE WHEN {_KEY_LINE} THEN 'answer_key_without_question' END, CASE WHEN {_NOTICE} THEN 'noise_or_ad_as_question' END, CASE WHEN {_BARE} = '' THEN 'empty_question_text' END) AS classes FROM items JOIN expected USING (doc_id)) SELECT * FROM b WHERE classes <> ''""",
-    "filled_items": f"""WITH {O.ITEMS}, {_WINDOW_CTES}, own AS (SELECT doc_id, question_number, question_id FROM items WHERE validation_status IN ('validated', 'needs_review')), u AS (
+    "filled_items": f"""WITH RECURSIVE {O.ITEMS}, {_WINDOW_CTES}, own AS (SELECT doc_id, question_number, question_id FROM items WHERE validation_status IN ('validated', 'needs_review')), u AS (
       SELECT doc_id, question_number, 'item' AS origin, question_id AS ref FROM own UNION ALL SELECT doc_id, question_number, 'window', window_id FROM wins ANTI JOIN own USING (doc_id, question_number))
       SELECT *, CAST(row_number() OVER (PARTITION BY doc_id ORDER BY coalesce(question_number, 0), origin, ref) AS INT) AS global_order FROM u""",
     "threshold_violations": f"""WITH {_GATED}, {_EXPECTED}, s AS (SELECT doc_id, count(*) AS items, count(*) FILTER (usable >= 4) AS with_four, count(*) FILTER (answered) AS answered FROM gated GROUP BY doc_id)

@@ -62,14 +62,20 @@ _MARKED = f"""{_HEADS}, numbered_anchors AS (
   SELECT doc_id, number, k, line_number, line_number AS last, true AS kept FROM steps WHERE k = 1
   UNION ALL SELECT s.doc_id, s.number, s.k, s.line_number, CASE WHEN s.line_number - w.last >= {S.DISTANCE} THEN s.line_number ELSE w.last END, s.line_number - w.last >= {S.DISTANCE} FROM walked w JOIN steps s ON s.doc_id = w.doc_id AND s.number = w.number AND s.k = w.k + 1
 ), anchors AS (SELECT n.* FROM numbered_anchors n JOIN walked w USING (doc_id, number, line_number) WHERE w.kept
-), expected AS (SELECT doc_id, max(number) AS expected_count FROM anchors GROUP BY doc_id
+), highest AS (SELECT doc_id, max(number) AS expected_count FROM anchors GROUP BY doc_id
 ), ranked AS (
   SELECT a.doc_id, a.number, a.line_number, NOT coalesce(a.line_number >= h.heading_line, false) OR (h.section_type = 'answer_key_section' AND {A.goes_on(_C, 'raw')}) AS early, {A.anchor_rank(_C, 'raw')} - CASE WHEN a.line_number >= h.heading_line THEN 10000 ELSE 0 END AS rank
   FROM anchors a LEFT JOIN heads h USING (doc_id) WHERE NOT starts AND NOT key_anchor
 ), best AS (SELECT doc_id, number, first(line_number ORDER BY rank DESC, line_number) AS anyhow, first(line_number ORDER BY rank DESC, line_number) FILTER (early) AS strict FROM ranked GROUP BY doc_id, number
-), chosen AS (SELECT doc_id, count(strict) < floor(max(expected_count) * CAST({S.LEAST_SHARE} AS DOUBLE)) AND count(anyhow) > count(strict) AS fallback FROM best JOIN expected USING (doc_id) GROUP BY doc_id
+), chosen AS (SELECT doc_id, count(strict) < floor(max(expected_count) * CAST({S.LEAST_SHARE} AS DOUBLE)) AND count(anyhow) > count(strict) AS fallback FROM best JOIN highest USING (doc_id) GROUP BY doc_id
 ), picked AS (SELECT doc_id, number, CASE WHEN fallback THEN anyhow ELSE strict END AS line_number FROM best JOIN chosen USING (doc_id)
 )"""
+#: CTEs up to ``wins``, the ranked windows with the number of their lines.
+WINDOWS = f"""{_MARKED}, walled AS (
+  SELECT f.doc_id, f.line_number, f.key_row, p.number, count(p.number) OVER (PARTITION BY f.doc_id ORDER BY f.line_number ROWS UNBOUNDED PRECEDING) AS win FROM flagged f LEFT JOIN picked p USING (doc_id, line_number)
+), wins AS (
+  SELECT doc_id, max(number) AS question_number, min(line_number) AS start_line, max(line_number) FILTER (NOT key_row) AS end_line, count(*) FILTER (NOT key_row) AS n_lines, printf('qw_%04d', CAST(win AS INT)) AS window_id FROM walled WHERE win > 0 GROUP BY doc_id, win
+)"""
 _META = f"({_BARE} <> '' AND NOT {{i}} AND ({OL.has(_BARE, markers.CHOSEN)} OR (contains(lower({_BARE}), 'chosen option') AND contains({_BARE}, ':'))))"
 _PHRASED = " OR ".join(f"contains(lower({_BARE}), '{p}')" for p in markers.INSTRUCTION_PHRASES)
 _META = _META.format(i=f"({OL.has(_BARE, markers.CHOSEN_INSTRUCTION)} OR {OL.has(_BARE, markers.SHEET_INSTRUCTION)} OR (contains(lower({_BARE}), 'chosen option') AND NOT contains({_BARE}, ':') AND ({_PHRASED})))")
