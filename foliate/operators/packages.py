@@ -19,6 +19,7 @@ BLOCKING = [
 ]
 REVIEWED = ["visual_question_requires_review", "visual_question_requires_diagram_syntax", "low_confidence_answer"]
 EXPORT_MODES = {"eligible_only": ["eligible_for_ingestion"], "include_review": ["eligible_for_ingestion", "review_required"], "all": ["eligible_for_ingestion", "review_required", "blocked"]}
+ANSWER_MODES = ("required", "optional", "question_only")
 OVER_DETECTION = 1.5
 
 
@@ -62,8 +63,21 @@ def package_counts(items: DataFrame) -> DataFrame:
     )
 
 
-def eligibility(items: DataFrame) -> DataFrame:
-    """Blocking and review reasons and the lane of each item (answers optional)."""
+def eligibility(items: DataFrame, mode: str = "optional", review_ids: DataFrame | None = None) -> DataFrame:
+    """Blocking and review reasons, all reasons and the lane of each item.
+
+    ``mode`` is one of ANSWER_MODES: where answers are required an item without one is blocked and one without a solution reviewed; where
+    they are optional one without is reviewed; with question_only it is told and no more.  ``review_ids``
+    (doc_id, question_id), repeats allowed, are items that the review export names.
+    """
+    if mode not in ANSWER_MODES:
+        raise ValueError(f"mode is one of {', '.join(ANSWER_MODES)}")
+    unanswered = F.col("answer_key").isNull()
+    if review_ids is None:
+        items = items.withColumn("_flagged", F.lit(False))
+    else:
+        named = review_ids.select("doc_id", "question_id").distinct().withColumn("_flagged", F.lit(True))
+        items = items.join(named, ["doc_id", "question_id"], "left").withColumn("_flagged", F.coalesce("_flagged", F.lit(False)))
     status = F.col("validation_status")
     visual = T.is_visual(F.col("question_text_raw")) | (F.col("assets") > 0)
     some = lambda *pairs: F.array_compact(F.array(*(F.when(c, F.lit(i)) for c, i in pairs)))
@@ -75,7 +89,9 @@ def eligibility(items: DataFrame) -> DataFrame:
             (T.strip(F.col("question_text_raw")) == "", "missing_question_text"),
             (status == "incomplete", "validation_incomplete"),
             (status == "duplicate_conflict", "validation_duplicate_conflict"),
+            (status == "rejected", "validation_rejected"),
             (conflict, "duplicate_solution_conflict"),
+            (unanswered & F.lit(mode == "required"), "missing_answer_required_mode"),
         ),
     )
     held = F.arrays_overlap("issues", F.array(*map(F.lit, BLOCKING)))
@@ -85,13 +101,17 @@ def eligibility(items: DataFrame) -> DataFrame:
             (status == "needs_review", "validation_needs_review"),
             (visual & ~held & (status != "validated"), "visual_question_uncertain"),
             (repeated & ~conflict, "duplicate_solution_harmless"),
-            (F.col("answer_key").isNull(), "question_only_no_answer"),
+            (unanswered & F.lit(mode == "optional"), "question_only_no_answer"),
+            (F.col("solution").isNull() & F.lit(mode == "required"), "missing_solution"),
+            (F.col("_flagged"), "review_export_flagged"),
             (F.col("item_confidence") < ELIGIBLE_CONFIDENCE, "low_confidence"),
         ),
     )
     judged = items.withColumns({"blocking_reasons": F.array_sort(F.array_distinct(blocking)), "review_reasons": F.array_sort(F.array_distinct(review))})
     lane = F.when(F.size("blocking_reasons") > 0, "blocked").when(F.size("review_reasons") > 0, "review_required").otherwise("eligible_for_ingestion")
-    return judged.withColumn("eligibility_status", lane)
+    told = some((lane == "eligible_for_ingestion", "clean_validated_item"), (unanswered & F.lit(mode == "question_only"), "question_only_mode"))
+    reasons = F.array_sort(F.array_distinct(F.concat("blocking_reasons", "review_reasons", told)))
+    return judged.withColumns({"eligibility_status": lane, "eligibility_reasons": reasons}).drop("_flagged")
 
 
 def pattern_input(lanes: DataFrame, mode: str = "eligible_only") -> DataFrame:

@@ -2,13 +2,18 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import functions as F
 
+from foliate.operators import export as X
 from foliate.operators import gates as G
+from foliate.operators import packages as K
 from foliate.plans import evidence_queries as EQ
 from foliate.plans import oracle_lines as OL
 from foliate.plans import oracle_packages as O
 from foliate.plans import package_queries as PQ
+from foliate.plans.lineage import durable
 
 
 def _items(spark, sf_dir):
@@ -51,7 +56,16 @@ def answer_gaps(spark, sf_dir):
     return G.answer_gaps(PQ._mapped(spark, sf_dir)[1])
 
 
-QUERIES = {f.__name__: f for f in (acceptance_gate, count_reconciliation, bad_items, filled_items, threshold_violations, answer_gaps)}
+def eligibility_modes(spark, sf_dir):
+    """Lane and reasons of every question for each mode of answers, with those that the review export names."""
+    items, _ = _items(spark, sf_dir)
+    named = durable(X.review_items(items).select("doc_id", "question_id"), "review-ids")
+    lanes = [K.eligibility(items, mode, named).withColumn("mode", F.lit(mode)) for mode in K.ANSWER_MODES]
+    out = reduce(lambda a, b: a.unionByName(b), lanes)
+    return out.select("doc_id", "question_id", "mode", "eligibility_status", *(F.array_join(c, "+").alias(c) for c in ("blocking_reasons", "review_reasons", "eligibility_reasons")))
+
+
+QUERIES = {f.__name__: f for f in (eligibility_modes, acceptance_gate, count_reconciliation, bad_items, filled_items, threshold_violations, answer_gaps)}
 
 _EXPECTED = PQ._EXPECTED
 _NOTICE = OL.has(OL.strip("stem"), G.NOTICE)
@@ -62,7 +76,15 @@ _WINDOW_CTES = EQ._WINDOWS.split(OL.CLASSIFIED, 1)[1].lstrip(", ")
 _PAIRS = f"len(regexp_extract_all({OL.strip('stem')}, {OL.q('(?:^|[^0-9/])' + OL.P.KEY_PAIR)}))"
 _BARE = OL.strip("stem")
 _KEY_LINE = f"({_BARE} <> '' AND ({OL.has(_BARE, OL.P.KEY_BARE)} OR {_PAIRS} >= 2 OR ({_PAIRS} = 1 AND length({_BARE}) < 48 AND contains({_BARE}, '|')) OR ({_PAIRS} = 1 AND length({_BARE}) < 16)))"
+_MODES = ", ".join(f"('{m}')" for m in K.ANSWER_MODES)
 ORACLES = {
+    "eligibility_modes": f"""WITH {O.LANES}, named AS (SELECT doc_id, question_id FROM ({EQ.ORACLES['review_export']})), em AS (
+      SELECT r.doc_id, r.question_id, m.mode, r.answered, list_sort(list_concat(blocking_reasons, CASE WHEN mode = 'required' AND NOT answered THEN ['missing_answer_required_mode'] ELSE [] END)) AS b,
+        list_sort(list_concat(list_concat(list_filter(review_reasons, lambda x: x <> 'question_only_no_answer' OR mode = 'optional'), CASE WHEN mode = 'required' AND NOT solved THEN ['missing_solution'] ELSE [] END), CASE WHEN n.question_id IS NOT NULL THEN ['review_export_flagged'] ELSE [] END)) AS v
+      FROM reasons r CROSS JOIN (VALUES {_MODES}) m(mode) LEFT JOIN named n ON n.doc_id = r.doc_id AND n.question_id = r.question_id
+      ), el AS (SELECT *, CASE WHEN len(b) > 0 THEN 'blocked' WHEN len(v) > 0 THEN 'review_required' ELSE 'eligible_for_ingestion' END AS eligibility_status FROM em)
+      SELECT doc_id, question_id, mode, eligibility_status, array_to_string(b, '+') AS blocking_reasons, array_to_string(v, '+') AS review_reasons,
+        array_to_string(list_sort(list_distinct(list_concat(list_concat(b, v), list_filter([CASE WHEN eligibility_status = 'eligible_for_ingestion' THEN 'clean_validated_item' END, CASE WHEN mode = 'question_only' AND NOT answered THEN 'question_only_mode' END], lambda x: x IS NOT NULL)))), '+') AS eligibility_reasons FROM el""",
     "acceptance_gate": f"""WITH {_GATED} SELECT doc_id, question_id, CAST(usable AS INT) AS usable_options, answer_text, concat_ws('+', CASE WHEN few THEN 'incomplete_options' END, CASE WHEN lost THEN 'correct_answer_text_unavailable' END, CASE WHEN blank THEN 'question_text_missing' END) AS gate_issues,
       CASE WHEN blank THEN 'blocked' WHEN visual THEN 'visual_required' WHEN few OR lost THEN 'review_required' WHEN NOT answered THEN 'answer_unavailable' ELSE 'accepted_safe' END AS quality FROM gated""",
     "count_reconciliation": f"""WITH {_EXTRA}, x AS (SELECT doc_id, count(reason) AS extra_items, coalesce(array_to_string(list_sort(list_distinct(list(question_number) FILTER (reason IS NOT NULL AND question_number IS NOT NULL))), ','), '') AS extra_numbers, count(*) AS actual FROM extra GROUP BY doc_id)
