@@ -4,6 +4,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from foliate.functions import anchors as A
+from foliate.functions import patterns as P
+from foliate.functions import text as T
 from foliate.operators import mapping as M
 from foliate.operators import sections as S
 
@@ -91,3 +93,27 @@ def test_identical_duplicates_are_harmless(spark):
     )
     got = {r.question_number: (r.answers_identical, r.texts_identical, r.safety_decision, r.chosen_line) for r in M.duplicate_solutions(sols).collect()}
     assert got == {3: (True, True, "harmless_duplicate_same_text", 10), 4: (False, False, "duplicate_conflict", 12), 5: (True, False, "duplicate_conflict", 14)}
+
+
+def test_strip_removes_what_the_pattern_of_white_space_does(spark):
+    chars = [chr(c) for c in range(1, 0x10000) if not 0xD800 <= c <= 0xDFFF]
+    df = spark.createDataFrame([(f"{c}a{c}b{c}",) for c in chars] + [("",), (" \n\t ",), (None,)], "t string")
+    by_pattern = F.regexp_replace("t", r"(?U)^\s+|\s+$", "")
+    assert df.where(~T.strip(F.col("t")).eqNullSafe(by_pattern) | ~F.expr(A.stripped(A.Spark, "t")).eqNullSafe(by_pattern)).count() == 0
+
+
+def test_guards_let_every_line_pass_for_which_their_predicates_hold(spark):
+    marks = ["", " ", "|", "| ", "||| ", "- ", "* ", "**", "- **", "•  ", "_#", " "]
+    bodies = ["12. of what colour is it", "Q.3) (a) so", "q 7", "3 . B", "Q 12", "12.  Ans. (c) x", "Solutions", "A n s w e r s", "answer key:", "Explanations", "# detailed solutions", "no", "1) | 2. C | 3. D", "so", "a 9. A"]
+    df = spark.createDataFrame([(m + b + e,) for m in marks for b in bodies for e in ("", " ", "** ", "|")], "raw string")
+    for predicate in S._GUARDS:
+        plain = F.expr(predicate(A.Spark, "raw"))
+        assert df.where(~S._is(predicate).eqNullSafe(plain)).count() == 0
+        assert df.where(plain).count() > 0
+
+
+def test_anchors_are_found_by_one_look_at_each_line(spark):
+    """In a filter each pattern would stand once more for every use of what it is part of."""
+    lines = spark.createDataFrame([(1, 1, "1. of what colour is it")], "doc_id long, line_number int, raw string")
+    plan = S.question_anchors(lines)._jdf.queryExecution().optimizedPlan()
+    assert not [f for f in plan.toString().split("\n") if "Filter" in f and P.ANCHOR_INSTRUCTION in f]
