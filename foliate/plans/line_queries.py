@@ -44,8 +44,9 @@ def classification_gate(spark, sf_dir):
 
 def role_hints(spark, sf_dir):
     """How many lines have each combination of roles."""
-    lines = tables.classified(spark, sf_dir)
-    hints = lines.select("doc_id", F.concat_ws("+", T.role_hints(F.col("raw"), F.col("plain"), T.target(F.col("plain")))).alias("roles"))
+    # a column of its own, as the label's patterns each ask for it
+    lines = tables.classified(spark, sf_dir).withColumn("plainer", T.target(F.col("plain")))
+    hints = lines.select("doc_id", F.concat_ws("+", T.role_hints(F.col("raw"), F.col("plain"), F.col("plainer"))).alias("roles"))
     return hints.groupBy("roles").agg(F.count(F.lit(1)).alias("n_lines"), F.count_distinct("doc_id").alias("n_docs"))
 
 

@@ -23,3 +23,12 @@ def test_candidates_shuffle_lines_by_document_once_and_join_nothing(spark):
     plan = S.candidates(stored)._jdf.queryExecution().executedPlan().toString()
     assert "Join" not in plan
     assert plan.count("Exchange hashpartitioning") == 1
+
+
+def test_role_hints_undecorate_a_line_once(spark, tmp_path):
+    from foliate.functions import patterns as P
+    from foliate.plans import line_queries
+
+    spark.createDataFrame([(1, "one word")], "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    plan = line_queries.role_hints(spark, str(tmp_path))._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count(P.BOLD) == 1
