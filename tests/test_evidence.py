@@ -172,3 +172,12 @@ def test_gates(spark):
     assert [(r.global_order, r.ref) for r in G.filled(items, windows).where("doc_id = 1").orderBy("global_order").collect()] == [(1, "q_0001"), (2, "q_0002"), (3, "q_0003"), (4, "q_0005"), (5, "qw_0002"), (6, "q_0004")]
     violations = {r.doc_id: r.violations for r in G.threshold_violations(gated, expected).collect()}
     assert violations == {1: ["answers"], 2: ["item_count", "four_options", "answers"]}
+
+
+def test_slots_may_rank_remains_of_keys_by_their_other_merits(spark):
+    kind = "doc_id long, seq int, question_id string, question_number int, question_text_raw string, issues array<string>, options array<struct<key:string,text:string>>, answer_key string, solution struct<raw_text:string>, validation_status string, item_confidence double"
+    options = [(k, "text") for k in "ABCD"]
+    rows = [(1, 1, "key", 1, "3. a and 4. b", [], options, "A", ("s",), "validated", 0.9), (1, 2, "plain", 1, "What is it", [], None, None, None, "incomplete", 0.9)]
+    items, expected = spark.createDataFrame(rows, kind), spark.createDataFrame([(1, 1)], "doc_id long, expected_count int")
+    assert [r.final_question_id for r in K.slots(items, expected).collect()] == ["plain"]
+    assert [r.final_question_id for r in K.slots(items, expected, keys_last=False).collect()] == ["key"]
