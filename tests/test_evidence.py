@@ -174,6 +174,25 @@ def test_gates(spark):
     assert violations == {1: ["answers"], 2: ["item_count", "four_options", "answers"]}
 
 
+def test_only_near_lines_are_compared(spark):
+    import random
+    from difflib import SequenceMatcher
+
+    kinds = "doc_id long, line_id string, page_number int, text string"
+    rnd = random.Random(7)
+    words = ["stone", "river", "late", "cloud", "a", "the", "market", "Öl", "été"]
+    texts = [" ".join(rnd.choice(words) for _ in range(rnd.randrange(2, 60))) for _ in range(30)]
+    change = lambda t, k: t.replace("e", "c", k) + " ." * (k % 2)
+    own = [(1, f"o{i}", i % 3 + 1, change(t, i % 6)) for i, t in enumerate(texts)] + [(1, "far", 1, "x" * 40)]
+    other = [(1, f"m{i}", None if i % 10 == 0 else i % 3 + 1, t) for i, t in enumerate(texts)] + [(1, "near", 1, "x" * 20 + "e" * 20)]
+    second, first = spark.createDataFrame(own, kinds), spark.createDataFrame(other, kinds)
+    pairs = {(r.line_id, r.u) for r in V.near_pairs(second, first).collect()}
+    assert ("far", "x" * 20 + "e" * 20) not in pairs
+    alike = lambda t, u: SequenceMatcher(None, t, u).ratio() >= V.SIMILAR
+    want = {(i, any((q is None or q == p) and alike(t.lower(), u.lower()) for _, _, q, u in other)) for _, i, p, t in own}
+    assert {(r.line_id, r.duplicate) for r in V.duplicates(second, first).collect()} == want
+
+
 def test_slots_may_rank_remains_of_keys_by_their_other_merits(spark):
     kind = "doc_id long, seq int, question_id string, question_number int, question_text_raw string, issues array<string>, options array<struct<key:string,text:string>>, answer_key string, solution struct<raw_text:string>, validation_status string, item_confidence double"
     options = [(k, "text") for k in "ABCD"]
