@@ -117,3 +117,18 @@ def test_anchors_are_found_by_one_look_at_each_line(spark):
     lines = spark.createDataFrame([(1, 1, "1. of what colour is it")], "doc_id long, line_number int, raw string")
     plan = S.question_anchors(lines)._jdf.queryExecution().optimizedPlan()
     assert not [f for f in plan.toString().split("\n") if "Filter" in f and P.ANCHOR_INSTRUCTION in f]
+
+
+def test_anchors_ask_each_line_once(spark):
+    lines = table(spark, ["1. What is the first question?", "x", "1. What is close to it?", "3. A third question here", "a", "b", "1. What is far from it?"])
+    got = S.question_anchors(lines)
+    assert sorted((r.number, r.line_number, r.raw[:12]) for r in got.collect()) == [(1, 1, "1. What is t"), (1, 7, "1. What is f"), (3, 4, "3. A third q")]
+    assert got._jdf.queryExecution().optimizedPlan().toString().count("LocalRelation") + got._jdf.queryExecution().optimizedPlan().toString().count("LogicalRDD") == 1
+
+
+def test_guards_hold_where_their_predicates_do(spark):
+    texts = ["1. one", "(a) x", "(*b*) y", "- c. z", "x a. b", "plain words", "Choſen  Option : 2", "1 ) x"]
+    df = spark.createDataFrame(list(enumerate(texts)), "i int, raw string")
+    asked = df.select("raw", T.has(F.col("raw"), P.LABEL_GUARD).alias("guard"), F.expr(A.option_labels(A.Spark, "raw")).alias("labels"), T.has(F.col("raw"), P.CHOSEN_GUARD).alias("chosen")).collect()
+    assert [r.raw for r in asked if r.labels and not r.guard] == [] and sum(r.guard for r in asked) == 6
+    assert [r.raw for r in asked if r.chosen] == ["Choſen  Option : 2"]
