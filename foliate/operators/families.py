@@ -34,9 +34,10 @@ def _numeric_key(raw: Column) -> Column:
     return F.when(raw.rlike("^[1-4]$"), F.translate(raw, "1234", "ABCD"))
 
 
-def _several(text: Column, pattern: str, rank: Column | int, key=F.upper) -> Column:
+def _several(text: Column, pattern: str, rank: Column | int, asked: Column, key=F.upper) -> Column:
+    """The entries of ``pattern``, which only texts that are ``asked`` may have."""
     every = lambda g: F.regexp_extract_all(text, F.lit(T.uni(pattern)), F.lit(g))
-    return F.transform(F.arrays_zip(every(1).alias("k"), every(2).alias("t")), lambda z: _entry(rank, key(z["k"]), z["k"], T.strip(z["t"])))
+    return F.when(asked, F.transform(F.arrays_zip(every(1).alias("k"), every(2).alias("t")), lambda z: _entry(rank, key(z["k"]), z["k"], T.strip(z["t"])))).otherwise(_none())
 
 
 def _one(text: Column, pattern: str, rank: int, key=F.upper) -> Column:
@@ -92,22 +93,25 @@ def line_options(lines: DataFrame, text: str = "raw", anchor: Column | None = No
     # what is left may look like an anchor again
     again = _looks_anchored(F.col("_t")) & ~T.has(T.strip(F.regexp_replace(F.col("_t"), T.uni(P.ANCHOR_STRIP), "")), P.FIRST_MARKER)
     out = out.withColumn("_t", F.when(~again & T.has(F.col("_t"), P.MATCHED_ANYWHERE), F.col("_t")).otherwise(""))
-    t, key_line = F.col("_t"), T.is_answer_key_line(F.col("_t"))
-    labels = sum((F.regexp_count(t, F.lit(T.uni(p))) for p in P.EXPLICIT_LABELS[1:]), F.regexp_count(t, F.lit(T.uni(P.EXPLICIT_LABELS[0]))))
+    t, key_line = F.col("_t"), T.has(F.col("_t"), P.DIGIT) & T.is_answer_key_line(F.col("_t"))
+    # what a text must have for a family of markers, so that the dear patterns are asked of few
+    out = out.withColumns({"_bold": t.contains("**"), "_paren": t.contains("(") & t.rlike(P.PAREN_LABEL), "_dot": T.has(t, P.DOT_LABEL), "_digit": T.has(t, P.NUMBER_LABEL), "_bar": t.contains("|")})
+    bold, paren, dot, bar = F.col("_bold"), F.col("_paren"), F.col("_dot"), F.col("_bar")
+    labels = sum((F.when(asked, F.regexp_count(t, F.lit(T.uni(p)))).otherwise(0) for p, asked in zip(P.EXPLICIT_LABELS, (bold, paren, paren, dot), strict=True)), F.lit(0))
     cells = F.filter(F.transform(F.split(t, r"\|", -1), T.strip), lambda c: c != "")
     bare = T.strip(F.regexp_replace(T.strip(F.regexp_replace(t, "(?i)</?b>", "")), r"^\|+|\|+$", ""))
-    out = out.withColumns({"_labels": labels, "_bare": bare, "_key_line": key_line, "_cells": F.when(t.contains("|"), F.transform(cells, lambda c: F.struct(c.alias("cell"), T.option_key(c).alias("key"))))})
+    out = out.withColumns({"_labels": labels, "_bare": bare, "_key_line": key_line, "_cells": F.when(bar, F.transform(cells, lambda c: F.struct(c.alias("cell"), T.option_key(c).alias("key"))))})
     out = out.withColumn("_row", F.when(F.size("_cells") >= 2, _row(F.col("_cells"))).otherwise(_none()))
     wide = (F.size(F.split(t, r"\|", -1)) > 3) & (F.size("_row") >= 2)
     row = F.transform("_row", lambda o: _entry(F.when(wide, WIDE_ROW).otherwise(ROW), o["key"], o["raw"], o["text"]))
     bare = F.col("_bare")
-    table = F.when(~T.part(t, P.PIPE_TABLE_OPTION, 2).startswith("-"), _one(t, P.PIPE_TABLE_OPTION, PIPE_TABLE)).otherwise(_none())
-    mathsf = F.when(T.has(t, P.MATHSF_OPTION), F.array(_entry(MATHSF, F.upper(T.part(t, P.MATHSF_OPTION)), T.part(t, P.MATHSF_OPTION), t))).otherwise(_none())
-    marked = [_several(t, p, F.when(F.col("_labels") > 1, MARKED + k).otherwise(LAST + k)) for k, p in enumerate(P.SEVERAL)]
+    table = F.when(bar & ~T.part(t, P.PIPE_TABLE_OPTION, 2).startswith("-"), _one(t, P.PIPE_TABLE_OPTION, PIPE_TABLE)).otherwise(_none())
+    mathsf = F.when(t.contains("\\") & T.has(t, P.MATHSF_OPTION), F.array(_entry(MATHSF, F.upper(T.part(t, P.MATHSF_OPTION)), T.part(t, P.MATHSF_OPTION), t))).otherwise(_none())
+    marked = [_several(t, p, F.when(F.col("_labels") > 1, MARKED + k).otherwise(LAST + k), asked) for k, (p, asked) in enumerate(zip(P.SEVERAL, (paren, bold, bold, paren, dot), strict=True))]
     single = [_one(bare, p, ONE + k) for k, p in enumerate(P.SINGLE)]
-    early = F.concat(table, mathsf, row, *marked, *single, _one(t, P.TABLE_OPTION, ONE + len(P.SINGLE), T.option_key))
+    early = F.concat(table, mathsf, row, *marked, *single, F.when(bar, _one(t, P.TABLE_OPTION, ONE + len(P.SINGLE), T.option_key)).otherwise(_none()))
     numeric = F.concat(*(_one(t, p, NUMERIC, _numeric_key) for p in (NUMERIC_OPTION, PAREN_OPTION)))
-    late = F.concat(_delimited(t), _several(t, P.SEVERAL_NUMERIC, NUMBERED, _numeric_key), F.when(~t.rlike(r"(?i)<br\s*/?>"), numeric).otherwise(_none()))
+    late = F.concat(F.when(paren, _delimited(t)).otherwise(_none()), _several(t, P.SEVERAL_NUMERIC, NUMBERED, F.col("_digit"), _numeric_key), F.when(~t.rlike(r"(?i)<br\s*/?>"), numeric).otherwise(_none()))
     out = out.withColumn("_all", F.when(t == "", _none()).when(F.col("_key_line"), late).otherwise(F.concat(early, late)))
     out = out.withColumn("_all", F.filter("_all", lambda o: o["key"].isNotNull() & (o["text"] != "")))
     out = out.withColumn("_rank", F.array_min(F.transform("_all", lambda o: o["rank"])))
@@ -132,8 +136,9 @@ def read_lines(lines: DataFrame) -> DataFrame:
     """
     raw = T.strip(F.coalesce(F.col("raw"), F.lit("")))
     without = T.strip(F.regexp_replace(raw, P.IMAGE_REF, ""))
-    lone = raw.rlike(P.IMAGE_REF) & (F.char_length(without) < IMAGE_ALONE)
-    says = lines.where((raw != "") & ~T.has(raw, P.OPTION_NOISE) & ~T.is_answer_key_line(raw) & ~lone)
+    lone = raw.contains("![") & raw.rlike(P.IMAGE_REF) & (F.char_length(without) < IMAGE_ALONE)
+    noise = (F.lower(raw).rlike(P.OPTION_NOISE_GUARD) | raw.rlike(P.FOLDED)) & T.has(raw, P.OPTION_NOISE)
+    says = lines.where((raw != "") & ~noise & ~(T.has(raw, P.DIGIT) & T.is_answer_key_line(raw)) & ~lone)
     return line_options(says, anchor=F.col("is_anchor"))
 
 

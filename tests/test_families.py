@@ -62,3 +62,17 @@ def test_windows(spark, rows, options, stem):
     (got,) = families.window_options(families.read_lines(df)).collect()
     assert {o.key: o.text for o in got.options} == options and got.stem == stem
     assert families.window_options(families.read_lines(df.limit(0))).count() == 0
+
+
+def test_noise_is_asked_of_lines_that_may_be(spark):
+    from pyspark.sql import functions as F
+
+    from foliate.functions import patterns as P
+    from foliate.functions import text as T
+
+    noise = ["Free  Mock", "DOWNLOAD pdf", "www.x", "ſubscribe now", "all EXAMS", "one subscription", "attempt free mock", "personalIsed report", "unlimited re-attempt", "exam covered", "Refund", "unlİmited reattempt"]
+    df = spark.createDataFrame([(t,) for t in [*noise, "a plain line"]], "raw string")
+    raw = F.col("raw")
+    told = df.select("raw", T.has(raw, P.OPTION_NOISE).alias("noise"), (F.lower(raw).rlike(P.OPTION_NOISE_GUARD) | raw.rlike(P.FOLDED)).alias("asked")).collect()
+    assert [r.raw for r in told if r.noise and not r.asked] == [] and not told[-1].asked
+    assert sum(r.noise for r in told) >= 11
