@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from foliate.operators import detect as D
-from foliate.operators import mapping as M
 from foliate.operators import segment as S
 from foliate.plans import evidence_queries as EQ
 from foliate.plans import oracle_lines as OL
@@ -47,8 +46,8 @@ def layout_signals(spark, sf_dir):
 
 def section_sanity(spark, sf_dir):
     """Whether each document has about as many windows and solutions as expected."""
-    content, cands = PQ._candidates(spark, sf_dir)
-    return D.section_sanity(PQ._expected(cands), EQ._windows(spark, sf_dir), M.solutions(content))
+    cands = PQ._candidates(spark, sf_dir)[1]
+    return D.section_sanity(PQ._expected(cands), EQ._windows(spark, sf_dir), PQ._solutions(spark, sf_dir))
 
 
 def question_coverage(spark, sf_dir):

@@ -55,3 +55,9 @@ def test_shared_tables_follow_their_input(spark, tmp_path):
     assert lines("two words")[0].endswith("two words")
     lineage.drop(tables.classified(spark, str(tmp_path)))
     assert [r.raw for r in tables.classified(spark, str(tmp_path)).collect() if "word" in r.raw]
+
+
+def test_solutions_are_found_once(spark):
+    for name in ("duplicate_solutions", "unmatched_solutions", "answer_solution_map"):
+        catalog.QUERIES[name](spark, DATA).count()
+    assert sum(label == "solutions" for _, sf_dir, label in tables._made if sf_dir == DATA) == 1
