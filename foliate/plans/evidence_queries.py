@@ -113,7 +113,7 @@ def review_export(spark, sf_dir):
 
 def review_merge(spark, sf_dir):
     """Questions after an edited review: by external id, else by number."""
-    base = durable(_public(spark, sf_dir).select("doc_id", "seq", "external_id", "question_number", "status"), "public")
+    base = tables.stored(spark, sf_dir, _public(spark, sf_dir).select("doc_id", "seq", "external_id", "question_number", "status"), "public")
     edited = base.where("status <> 'ready' and (doc_id + seq) % 3 = 0")
     lost_id = F.when(F.col("seq") % 2 == 0, F.col("external_id"))
     review = edited.select("doc_id", lost_id.alias("external_id"), "question_number", F.lit("ready").alias("status"), F.col("seq").alias("position"))

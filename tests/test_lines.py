@@ -129,3 +129,11 @@ def test_answer_key_lines(spark):
     rows = [("12. B", True), ("1. A 2. C", True), ("1. A long sentence follows here", False), ("| 3. D |", True), ("2/3. B is not one", False), ("", False), (None, False)]
     df = spark.createDataFrame(rows, "raw string, want boolean")
     assert [(r.raw, r.got) for r in df.select("raw", T.is_answer_key_line(F.col("raw")).alias("got")).collect()] == rows
+
+
+def test_rows_without_cells_go_and_cells_keep_their_page(spark):
+    out = L.content_lines(L.classified_lines(of(spark, "<!-- PageNumber: 3 -->", "| --- |", "| (a) x<br><br>y | <br> |", "(b) z"))).orderBy("line_number")
+    assert [(r.raw, r.line_type, r.detected_label, r.page_number, r.cell_index, r.segment_index, r.source_kind) for r in out.collect()] == [
+        ("<!-- PageNumber: 3 -->", "page_number_marker", "3", 3, None, None, "raw_line"), ("(a) x", "option_candidate", "A", 3, 0, 0, "table_cell_segment"),
+        ("y", "text", None, 3, 0, 1, "table_cell_segment"), ("<br>", "text", None, 3, 1, 0, "table_cell_segment"), ("(b) z", "option_candidate", "B", 3, None, None, "raw_line"),
+    ]

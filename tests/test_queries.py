@@ -6,7 +6,13 @@ from pathlib import Path
 import duckdb
 import pytest
 
+from foliate.operators import lines as L
+from foliate.operators import mapping as M
+from foliate.operators import packages as K
+from foliate.operators import segment as S
 from foliate.plans import catalog, lineage, tables
+from foliate.plans import package_queries as PQ
+from foliate.plans import section_queries as SQ
 
 DATA = "/root/testdata/sf0.001"
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
@@ -61,3 +67,29 @@ def test_solutions_are_found_once(spark):
     for name in ("duplicate_solutions", "unmatched_solutions", "answer_solution_map"):
         catalog.QUERIES[name](spark, DATA).count()
     assert sum(label == "solutions" for _, sf_dir, label in tables._made if sf_dir == DATA) == 1
+
+
+def exchanges(df):
+    """How often rows are shuffled for a table that is made of ``df``."""
+    with lineage.joined_as_dealt(df.sparkSession):
+        return df.select("*")._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning")
+
+
+def test_lines_are_shuffled_once(spark):
+    lines, content = tables.classified(spark, DATA), tables.content(spark, DATA)
+    cands, items = PQ._items(spark, DATA)
+    assert exchanges(L.content_lines(lines)) == 0
+    assert exchanges(S.candidates(content)) == 0
+    assert exchanges(M.solutions(content)) == 0
+    assert exchanges(K.final_items(cands, PQ._mapped(spark, DATA)[1])) == 0
+    assert exchanges(SQ.ranked_windows(spark, DATA).join(items, ["doc_id", "question_number"])) == 0
+
+
+def test_dealt_tables_hold_every_row_and_empty_ones_too(spark):
+    rows = spark.createDataFrame([(i % 7, i, str(i)) for i in range(100)] + [(None, -1, None)], "doc_id long, n long, t string")
+    for some in (rows, rows.where("n > 100")):
+        stored = lineage.dealt(some, "dealt-test", 3)
+        assert stored.schema.names == rows.schema.names and sorted(map(tuple, stored.collect()), key=str) == sorted(map(tuple, some.collect()), key=str)
+        assert exchanges(stored.groupBy("doc_id", "n").count()) == 0
+        lineage.drop(stored)
+        assert not lineage.exists(stored)
