@@ -93,7 +93,7 @@ def line_options(lines: DataFrame, text: str = "raw", anchor: Column | None = No
     # what is left may look like an anchor again
     again = _looks_anchored(F.col("_t")) & ~T.has(T.strip(F.regexp_replace(F.col("_t"), T.uni(P.ANCHOR_STRIP), "")), P.FIRST_MARKER)
     out = out.withColumn("_t", F.when(~again & T.has(F.col("_t"), P.MATCHED_ANYWHERE), F.col("_t")).otherwise(""))
-    t, key_line = F.col("_t"), T.has(F.col("_t"), P.DIGIT) & T.is_answer_key_line(F.col("_t"))
+    t, key_line = F.col("_t"), T.is_answer_key_line(F.col("_t"))
     # what a text must have for a family of markers, so that the dear patterns are asked of few
     out = out.withColumns({"_bold": t.contains("**"), "_paren": t.contains("(") & t.rlike(P.PAREN_LABEL), "_dot": T.has(t, P.DOT_LABEL), "_digit": T.has(t, P.NUMBER_LABEL), "_bar": t.contains("|")})
     bold, paren, dot, bar = F.col("_bold"), F.col("_paren"), F.col("_dot"), F.col("_bar")
@@ -138,7 +138,7 @@ def read_lines(lines: DataFrame) -> DataFrame:
     without = T.strip(F.regexp_replace(raw, P.IMAGE_REF, ""))
     lone = raw.contains("![") & raw.rlike(P.IMAGE_REF) & (F.char_length(without) < IMAGE_ALONE)
     noise = (F.lower(raw).rlike(P.OPTION_NOISE_GUARD) | raw.rlike(P.FOLDED)) & T.has(raw, P.OPTION_NOISE)
-    says = lines.where((raw != "") & ~noise & ~(T.has(raw, P.DIGIT) & T.is_answer_key_line(raw)) & ~lone)
+    says = lines.where((raw != "") & ~noise & ~T.is_answer_key_line(raw) & ~lone)
     return line_options(says, anchor=F.col("is_anchor"))
 
 

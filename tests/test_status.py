@@ -107,3 +107,10 @@ def test_top_issues_keep_the_order_of_equals(spark):
     cands = spark.createDataFrame([(1, 1, 1, ["b", "a"]), (1, 2, 2, ["unlabeled_option_images", "a"]), (1, 3, None, ["unlabeled_visual_assets"]), (2, 1, 1, [])], "doc_id long, seq long, question_number int, issues array<string>")
     assert [tuple(r) for r in R.top_issues(cands, most=2).orderBy("rank").collect()] == [(1, 1, "a", 2), (1, 2, "unlabeled_visual_assets", 2)]
     assert {(r.issue, tuple(r.numbers)) for r in R.issue_numbers(cands).collect()} == {("b", (1,)), ("a", (1, 2)), ("unlabeled_option_images", (2,))}
+
+
+def test_matchable_texts(spark):
+    cases = {" - **Bold** and  wide\tblanks\n": "bold and wide blanks", "(A)  Red": "a red", "plain Text": "plain text", "no\u00a0break": "no break", "a ** b": "a ** b", "": "", "   ": "", None: None}
+    df = spark.createDataFrame([(k,) for k in cases], "t string")
+    assert {r.t: r.m for r in df.select("t", R.matchable(F.col("t")).alias("m")).collect()} == cases
+    assert R.matchable(F.col("t"))._jc.toString().count("btrim") <= 2
