@@ -2,6 +2,7 @@
 
 from pyspark.sql import functions as F
 
+from foliate.functions import patterns as P
 from foliate.functions import text as T
 from foliate.operators import lines as L
 from foliate.operators import mapping as M
@@ -137,3 +138,15 @@ def test_rows_without_cells_go_and_cells_keep_their_page(spark):
         ("<!-- PageNumber: 3 -->", "page_number_marker", "3", 3, None, None, "raw_line"), ("(a) x", "option_candidate", "A", 3, 0, 0, "table_cell_segment"),
         ("y", "text", None, 3, 0, 1, "table_cell_segment"), ("<br>", "text", None, 3, 1, 0, "table_cell_segment"), ("(b) z", "option_candidate", "B", 3, None, None, "raw_line"),
     ]
+
+
+def test_guarded_parts_of_the_classification_give_what_their_patterns_give(spark):
+    marks = ["", " ", "- ", "* **", "**", "## ", "#", "- # ", "( ", "+ "]
+    bodies = ["Q 12. x", "q.7", "Question No. 3", "Que 4", "12. of what", "٣. of what", "(12) of what", "7) words here", "(a) x", "Ans. (b)", "anſ: b", "x**", "**b** c", "WWW.x", "http://x", "copyright", "COPYRİGHT", "all rights reſerved", "viſıt us at", "©", "plain", ""]
+    df = spark.createDataFrame([(m + b + e,) for m in marks for b in bodies for e in ("", " ", "** y", "\u3000")] + [(None,)], "raw string").withColumn("bare", T.strip(F.col("raw"))).withColumn("plain", T.target(F.col("raw")))
+    raw, bare, plain = F.col("raw"), F.col("bare"), F.col("plain")
+    assert df.where(~T.target_of(bare).eqNullSafe(plain) | ~T.target_of(plain).eqNullSafe(T.target(plain))).count() == 0
+    for p in (*P.ANCHOR_PREFIXED, *P.ANCHOR_NUMERIC):
+        assert df.where(T.has(plain, p) & ~T.has(plain, P.QUESTION_LEAD)).count() == 0
+    assert df.where(T.has(raw, P.FOOTER) & ~T.has(raw, P.FOOTER_GUARD)).count() == 0 and df.where(T.has(raw, P.FOOTER)).count() > 200
+    assert df.where(~(F.lower(F.substring(plain, 1, 3)) == "ans").eqNullSafe(F.lower(plain).startswith("ans"))).count() == 0
