@@ -112,6 +112,20 @@ def test_guards_let_every_line_pass_for_which_their_predicates_hold(spark):
         assert df.where(plain).count() > 0
 
 
+def test_inner_guards_let_every_line_pass_for_which_their_predicates_hold(spark):
+    marks = ["", "x ", "x", "1 ", ">", "-  ", "( "]
+    bodies = ["Free  Mock", "download pdf", "www.x", "Subſcribe now", "PREVİOUS paper", "prevıous papers", "all  exams", "one subscription", "personaliſed report", "unlimited re-attempt", "exam covered", "refund", "mock test",
+              "3 . x", "12) y", "(b) z", "(*c*)z", "(*D) z", "a.  b", "anſ 4", "ans   4", "ANS4", "status :", "ſtatuſ:", "Question  ID", "question", "plain words", ""]
+    df = spark.createDataFrame([(m + b + e,) for m in marks for b in bodies for e in ("", " q", ".")] + [(None,)], "raw string")
+    for predicate in S._INNER_GUARDS:
+        plain = F.expr(predicate(A.Spark, "raw"))
+        assert df.where(~S._is(predicate).eqNullSafe(plain)).count() == 0
+        assert df.where(plain).count() > 0
+    labels = [f"regexp_extract_all(raw, r'(?U){p}', 1)" for p in P.WINDOW_LABELS]
+    assert df.where(~F.expr(A.option_labels(A.Spark, "raw")).eqNullSafe(F.expr(f"transform(concat({', '.join(labels)}), x -> upper(x))")) & F.col("raw").isNotNull()).count() == 0
+    assert df.where(T.has(F.col("raw"), P.OPTION_NOISE) & ~T.has(F.col("raw"), P.NOISE_GUARD)).count() == 0
+
+
 def test_anchors_are_found_by_one_look_at_each_line(spark):
     """In a filter each pattern would stand once more for every use of what it is part of."""
     lines = spark.createDataFrame([(1, 1, "1. of what colour is it")], "doc_id long, line_number int, raw string")
