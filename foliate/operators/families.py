@@ -137,7 +137,7 @@ def read_lines(lines: DataFrame) -> DataFrame:
     raw = T.strip(F.coalesce(F.col("raw"), F.lit("")))
     without = T.strip(F.regexp_replace(raw, P.IMAGE_REF, ""))
     lone = raw.contains("![") & raw.rlike(P.IMAGE_REF) & (F.char_length(without) < IMAGE_ALONE)
-    noise = (F.lower(raw).rlike(P.OPTION_NOISE_GUARD) | raw.rlike(P.FOLDED)) & T.has(raw, P.OPTION_NOISE)
+    noise = T.has(raw, P.NOISE_GUARD) & T.has(raw, P.OPTION_NOISE)
     says = lines.where((raw != "") & ~noise & ~T.is_answer_key_line(raw) & ~lone)
     return line_options(says, anchor=F.col("is_anchor"))
 
