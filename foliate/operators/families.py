@@ -36,8 +36,11 @@ def _numeric_key(raw: Column) -> Column:
 
 def _several(text: Column, pattern: str, rank: Column | int, asked: Column, key=F.upper) -> Column:
     """The entries of ``pattern``, which only texts that are ``asked`` may have."""
-    every = lambda g: F.regexp_extract_all(text, F.lit(T.uni(pattern)), F.lit(g))
-    return F.when(asked, F.transform(F.arrays_zip(every(1).alias("k"), every(2).alias("t")), lambda z: _entry(rank, key(z["k"]), z["k"], T.strip(z["t"])))).otherwise(_none())
+    # looking ahead for the next marker at every character is dear, so it is done once and not for each group
+    alone = f"^{pattern.split('(?=')[0].removesuffix('+?)')}+)$"
+    found = F.regexp_extract_all(text, F.lit(T.uni(pattern)), F.lit(0))
+    split = F.transform(found, lambda m: F.struct(T.part(m, alone).alias("k"), T.part(m, alone, 2).alias("t")))
+    return F.when(asked, F.transform(split, lambda z: _entry(rank, key(z["k"]), z["k"], T.strip(z["t"])))).otherwise(_none())
 
 
 def _one(text: Column, pattern: str, rank: int, key=F.upper) -> Column:

@@ -76,3 +76,20 @@ def test_noise_is_asked_of_lines_that_may_be(spark):
     told = df.select("raw", T.has(raw, P.OPTION_NOISE).alias("noise"), (F.lower(raw).rlike(P.OPTION_NOISE_GUARD) | raw.rlike(P.FOLDED)).alias("asked")).collect()
     assert [r.raw for r in told if r.noise and not r.asked] == [] and not told[-1].asked
     assert sum(r.noise for r in told) >= 11
+
+
+def test_options_of_one_line_are_split_as_their_pattern_groups_them(spark):
+    from pyspark.sql import functions as F
+
+    from foliate.functions import patterns as P
+    from foliate.functions import text as T
+
+    texts = ["(a) one (*b*) two  (c)   (d)", "(a)  x (b)", "- **a** one * **b** two", "**a** x **b**  **c** y z", "a. one b. two", "x A.  one B. two\rC. three", "1. one 2) two Ans 3 . three", "answer 12) x ٣. y", "(a) (b) c", "plain"]
+    df = spark.createDataFrame([(t + e,) for t in texts for e in ("", " (b) end", " **c** end", " D. end", " 4) end")], "raw string")
+    for pattern in (*P.SEVERAL, P.SEVERAL_NUMERIC):
+        every = [F.regexp_extract_all("raw", F.lit(T.uni(pattern)), F.lit(g)) for g in (1, 2)]
+        entries = families._several(F.col("raw"), pattern, 1, F.lit(True))
+        found = df.select(F.transform(entries, lambda e: F.concat_ws("|", e["raw"], e["text"])).alias("got"), F.zip_with(*every, lambda k, t: F.concat_ws("|", k, T.strip(t))).alias("want")).collect()
+        assert [r.got for r in found] == [r.want for r in found] and any(len(r.got) > 1 for r in found)
+    plan = df.select(families._several(F.col("raw"), P.SEVERAL[0], 1, F.lit(True)).alias("x"))._jdf.queryExecution().analyzed().toString()
+    assert plan.count("regexp_extract_all") == 1
