@@ -114,3 +114,13 @@ def test_matchable_texts(spark):
     df = spark.createDataFrame([(k,) for k in cases], "t string")
     assert {r.t: r.m for r in df.select("t", R.matchable(F.col("t")).alias("m")).collect()} == cases
     assert R.matchable(F.col("t"))._jc.toString().count("btrim") <= 2
+
+
+def test_matchable_texts_have_single_blanks_whatever_these_were(spark):
+    from foliate.functions import patterns as P
+
+    texts = [f"a{w}b{v}C" for w in ("", " ", "  ", *P.WHITE) for v in ("", " ", "　 ", "\x1c")]
+    df = spark.createDataFrame([(t,) for t in texts], "raw string")
+    got = df.select(R.matchable(F.col("raw")).alias("m"), F.lower(F.regexp_replace("raw", r"(?U)\s+", " ")).alias("want")).collect()
+    assert [r.m for r in got] == [r.want for r in got]
+    assert r"\s\s" not in str(df.select(R.matchable(F.col("raw")))._jdf.queryExecution().analyzed())
